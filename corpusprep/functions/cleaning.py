@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .numbers import number_chain
 from .regex import NW, S, SPACE, W, q
-from .rules import Chain, Dead, Expr, Regex, Replace, Translate
+from .rules import Chain, Dead, Expr, MapChars, Regex, Replace, Translate, char_class
 
 # ---------------------------------------------------------------------------------------------
 # Fixed values (must equal the reference's behaviour), in the reference's order.
@@ -99,13 +99,20 @@ def _dots_and_ellipsis(rid: str) -> list[Regex]:
 
 
 def _protect_gap(rid: str, delete: str, to_space: str = "") -> Expr:
-    """Keep ``<gap>``, map other characters inside the text between gaps, pad gaps with spaces."""
-    src = to_space + delete
-    dst = " " * len(to_space)
+    """Keep ``<gap>``, delete / blank other characters between gaps, pad gaps with spaces."""
+
+    def clean(p: Column) -> Column:
+        p = F.regexp_replace(p, char_class(delete), "")
+        return F.regexp_replace(p, char_class(to_space), " ") if to_space else p
+
+    def clean_sql(p: str) -> str:
+        p = f"regexp_replace({p}, {q(char_class(delete))}, '', 'g')"
+        return f"regexp_replace({p}, {q(char_class(to_space))}, ' ', 'g')" if to_space else p
+
     return Expr(
         rid, "protect gap, clean, pad",
-        fn=lambda c: F.array_join(F.transform(F.split(c, GAP), lambda p: F.translate(p, src, dst)), f" {GAP} "),
-        fn_sql=lambda e: f"array_to_string(list_transform(string_split({e}, {q(GAP)}), lambda p_: translate(p_, {q(src)}, {q(dst)})), {q(' ' + GAP + ' ')})",
+        fn=lambda c: F.array_join(F.transform(F.split(c, GAP), clean), f" {GAP} "),
+        fn_sql=lambda e: f"array_to_string(list_transform(string_split({e}, {q(GAP)}), lambda p_: {clean_sql('p_')}), {q(' ' + GAP + ' ')})",
     )
 
 
@@ -128,8 +135,9 @@ def _collapse_gaps(rid: str) -> Regex:
 def _subscripts_rule() -> Expr:
     from .regex import sub_with, sub_with_sql
 
-    java = f"(?<=[{SUBSCRIPT_LETTERS}])\\p{{Nd}}+"
-    re2 = f"[{SUBSCRIPT_LETTERS}]\\p{{Nd}}+"
+    # The letter is matched too (translate leaves it alone): same digits as a lookbehind.
+    java = f"[{SUBSCRIPT_LETTERS}]\\p{{Nd}}+"
+    re2 = java
     return Expr("A17", "digits after a letter → subscripts", stage=True,
                 fn=lambda c: sub_with(c, java, lambda m: F.translate(m, "0123456789", SUBSCRIPTS)),
                 fn_sql=lambda e: sub_with_sql(e, re2, lambda m: f"translate({m}, '0123456789', {q(SUBSCRIPTS)})"))
@@ -165,7 +173,7 @@ def source_chain() -> Chain:
         _word("A21", "PN|Pn", GAP, "PN → gap"),
         _word("A22", "break", "", "break → '' (broken was already xxx)"),
         _bracket_gap("A23"),
-        Translate("A24", "remove square brackets", src="[]", dst=""),
+        MapChars("A24", "remove square brackets", groups=(("[]", ""),)),
         _spaced_dots("A25"),
         *_dots_and_ellipsis("A26"),
         Regex("A28a", "xx+ → gap", java="xx+", jrep=GAP),

@@ -49,7 +49,7 @@ NUM = f"{DIGIT}+(?:\\.{DIGIT}+)?"
 ADD = f"({NUM}){S}*\\+{S}*({NUM})"
 FRAC = f"({DIGIT}+){S}+({DIGIT}+)/({DIGIT}+)|({DIGIT}+)/({DIGIT}+)"
 DEC_J = f"(?<!{W}){DIGIT}+\\.{DIGIT}+(?!{W})"
-DEC_R = f"(^|{NW})({DIGIT}+\\.{DIGIT}+)($|{NW})"
+DEC_R = f"(^|{NW})({DIGIT}+\\.{DIGIT}+)"
 
 
 # ---------------------------------------------------------------------------------------------
@@ -181,16 +181,18 @@ def _decimals(c: Column) -> Column:
 
 
 def _decimals_sql(e: str) -> str:
-    # RE2 has no lookaround: the match carries its boundary characters (groups 1 and 3).
-    def one(m: str) -> str:
-        b1 = f"regexp_extract({m}, {q(DEC_R)}, 1)"
-        n = f"regexp_extract({m}, {q(DEC_R)}, 2)"
-        b3 = f"regexp_extract({m}, {q(DEC_R)}, 3)"
-        return f"({b1} || {_decimal_to_fraction_one_sql(n)} || {b3})"
-
-    # Neighbouring decimals share a boundary character, so RE2 needs a second pass.
-    step = sub_with_sql("acc_", DEC_R, one)
-    return f"list_reduce([{e}, NULL, NULL], lambda acc_, z_: {step})"
+    """RE2 has no lookaround. The match carries its left boundary character (group 1); the right
+    boundary is checked on the first character of the following part: a maximal digit run
+    followed by a word character is left unchanged, as Python's ``\\b`` would leave it."""
+    p = q(DEC_R)
+
+    def one(m: str, nxt: str) -> str:
+        b1 = f"regexp_extract({m}, {p}, 1)"
+        n = f"regexp_extract({m}, {p}, 2)"
+        return (f"(CASE WHEN regexp_matches(left(coalesce({nxt}, ''), 1), {q(W)}) THEN {m} "
+                f"ELSE {b1} || {_decimal_to_fraction_one_sql(n)} END)")
+
+    return sub_with_sql(e, DEC_R, one, next_aware=True)
 
 
 # ---------------------------------------------------------------------------------------------

@@ -62,34 +62,34 @@ def sub_with(c: Column, pattern: str, fn) -> Column:
     """``re.sub(pattern, fn, text)`` as native columns (no Python UDF).
 
     ``split`` yields the text between matches, ``regexp_extract_all`` the matches, in the same
-    find() order, so part i is followed by match i. ``c`` is referenced twice: callers bind it
-    first (a rule with ``stage=True``). Texts without a match skip the split entirely.
+    find() order, so part i is followed by match i; ``zip_with`` pairs them (the last part gets a
+    NULL match). Both arrays are computed once per row. ``c`` is referenced more than once:
+    callers bind it first (a rule with ``stage=True``). Texts without a match skip the split.
     """
     parts = F.split(c, pattern)
     matches = F.regexp_extract_all(c, F.lit(pattern), 0)
     rebuilt = F.array_join(
-        F.transform(
-            parts,
-            lambda p, i: F.concat(
-                p,
-                F.when(i < F.size(matches), fn(F.try_element_at(matches, i + 1))).otherwise(F.lit("")),
-            ),
-        ),
+        F.zip_with(parts, matches, lambda p, m: F.concat(p, F.when(m.isNull(), F.lit("")).otherwise(fn(m)))),
         "",
     )
     return F.when(c.rlike(pattern), rebuilt).otherwise(c)
 
 
-def sub_with_sql(e: str, pattern: str, fn_sql) -> str:
-    """DuckDB rendering of :func:`sub_with`; ``fn_sql`` maps a SQL expression to a SQL expression.
+def sub_with_sql(e: str, pattern: str, fn_sql, next_aware: bool = False) -> str:
+    """DuckDB rendering of :func:`sub_with`; ``fn_sql(match[, next_part])`` maps SQL to SQL.
 
     ``e`` must be a plain column reference (the caller binds it in its own stage).
     """
     p = q(pattern)
-    m = f"regexp_extract_all({e}, {p}, 0)[i]"
+    parts = f"regexp_split_to_array({e}, {p})"
+    ms = f"regexp_extract_all({e}, {p}, 0)"
+    if next_aware:
+        z = f"list_zip({parts}, {ms}, {parts}[2:])"
+        body = f"CASE WHEN z_[2] IS NULL THEN '' ELSE {fn_sql('z_[2]', 'z_[3]')} END"
+    else:
+        z = f"list_zip({parts}, {ms})"
+        body = f"CASE WHEN z_[2] IS NULL THEN '' ELSE {fn_sql('z_[2]')} END"
     return (
-        f"(CASE WHEN regexp_matches({e}, {p}) THEN array_to_string(list_transform("
-        f"regexp_split_to_array({e}, {p}), lambda p_, i: p_ || "
-        f"CASE WHEN i <= len(regexp_extract_all({e}, {p}, 0)) THEN {fn_sql(m)} ELSE '' END), '') "
-        f"ELSE {e} END)"
+        f"(CASE WHEN regexp_matches({e}, {p}) THEN array_to_string(list_transform({z}, "
+        f"lambda z_: z_[1] || {body}), '') ELSE {e} END)"
     )

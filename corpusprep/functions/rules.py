@@ -64,6 +64,33 @@ class Translate(Rule):
         return f"translate({e}, {q(self.src)}, {q(self.dst)})"
 
 
+def char_class(chars: str) -> str:
+    """A regex character class matching exactly ``chars`` (each escaped)."""
+    return "[" + "".join("\\" + ch if ch in "\\^-[]&" else ch for ch in dict.fromkeys(chars)) + "]"
+
+
+@dataclass(frozen=True)
+class MapChars(Rule):
+    """Simultaneous character map written as one pass per target value.
+
+    Spark's ``translate`` allocates per character; a regex character class is a cheap scan. Only
+    valid when no target character is itself a source character (so passes cannot interact):
+    ``groups`` is ``((chars, replacement), ...)``.
+    """
+
+    groups: tuple[tuple[str, str], ...] = ()
+
+    def spark(self, c: Column) -> Column:
+        for chars, rep in self.groups:
+            c = F.regexp_replace(c, char_class(chars), rep)
+        return c
+
+    def sql(self, e: str) -> str:
+        for chars, rep in self.groups:
+            e = f"regexp_replace({e}, {q(char_class(chars))}, {q(rep)}, 'g')"
+        return e
+
+
 @dataclass(frozen=True)
 class Regex(Rule):
     """``regexp_replace``. ``java``/``jrep`` for Spark; ``re2``/``rrep`` for DuckDB (defaults to

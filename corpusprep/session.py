@@ -60,3 +60,16 @@ def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tu
     if is_small(df, max_rows):
         return F.broadcast(df), True
     return df, False
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin rows over the cluster when a scan yields fewer partitions than cores.
+
+    Text cleaning is CPU-bound per row. A large input already arrives in many splits and is left
+    alone (no shuffle); a small file with a single row group would otherwise run in one task.
+    """
+    sc = df.sparkSession.sparkContext
+    target = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
