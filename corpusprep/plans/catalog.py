@@ -66,3 +66,76 @@ def annotate(spark: SparkSession, sf: str) -> DataFrame:
     """Minimum slice: damaged documents → chain A → tokens → dictionary join → glossed text."""
     clean = clean_source(spark, sf)
     return DI.annotate(clean, dictionary(spark, sf), ["oare_id"], "transliteration_clean")
+
+
+# ---------------------------------------------------------------------------------------------
+# alignment and corpus assembly
+# ---------------------------------------------------------------------------------------------
+from ..functions.tokens import py_strip_sql  # noqa: E402
+from ..operators import align as AL  # noqa: E402
+
+_ALIGN_SQL = AL.align_sentences_sql(D.documents_sql(), D.sentences_sql())
+_ALIGN_X_SQL = AL.align_sentences_sql(D.documents_sql(), D.sentences_sql(), extra=True)
+_FALLBACK_SQL = f"""
+SELECT *,
+  (({py_strip_sql('transliteration')} = '') AND last_text IS NOT NULL AND last_text <> '') AS fallback_transliteration,
+  (translation = '' AND last_translation IS NOT NULL AND last_translation <> '') AS fallback_translation
+FROM ({_ALIGN_X_SQL})"""
+_FALLBACK_OUT_SQL = f"""
+SELECT oare_id, sentence_id AS sentence_uuid,
+  CASE WHEN fallback_transliteration THEN last_text ELSE transliteration END AS transliteration,
+  CASE WHEN fallback_translation THEN last_translation ELSE translation END AS translation,
+  fallback_transliteration, fallback_translation, sord
+FROM ({_FALLBACK_SQL})"""
+_UNALIGNED_SQL = f"""
+SELECT * FROM ({D.documents_sql()}) d
+WHERE NOT EXISTS (SELECT 1 FROM ({_ALIGN_SQL}) a WHERE a.oare_id = d.oare_id)"""
+
+
+@register("align_sentences", _ALIGN_SQL)
+def align_sentences(spark: SparkSession, sf: str) -> DataFrame:
+    return AL.align_sentences(D.documents(spark, sf), D.sentences(spark, sf))
+
+
+@register("align_fallback", f"SELECT * EXCLUDE (sord) FROM ({_FALLBACK_OUT_SQL})")
+def align_fallback(spark: SparkSession, sf: str) -> DataFrame:
+    a = AL.align_sentences(D.documents(spark, sf), D.sentences(spark, sf), keep_doc_fallback=True)
+    fb = AL.with_fallback(a)
+    return fb.select("oare_id", F.col("sentence_id").alias("sentence_uuid"), F.col("_t").alias("transliteration"),
+                     F.col("_tr2").alias("translation"), "fallback_transliteration", "fallback_translation")
+
+
+@register("unaligned_docs", _UNALIGNED_SQL)
+def unaligned_docs(spark: SparkSession, sf: str) -> DataFrame:
+    docs = D.documents(spark, sf)
+    return AL.unaligned_documents(docs, AL.align_sentences(docs, D.sentences(spark, sf)))
+
+
+def _clean_train_sql() -> str:
+    rows = f"""
+SELECT oare_id, sentence_uuid, transliteration AS _src, translation AS _tgt, 0 AS _kind, sord AS _ord FROM ({_FALLBACK_OUT_SQL})
+UNION ALL
+SELECT oare_id, NULL AS sentence_uuid, transliteration AS _src, translation AS _tgt, 1 AS _kind, doc_ordinal AS _ord FROM ({_UNALIGNED_SQL})"""
+    a = SOURCE.sql_select(rows, "_src", "oare_id, sentence_uuid, _tgt, _kind, _ord", "transliteration")
+    e = TARGET.sql_select(a, "_tgt", "oare_id, sentence_uuid, transliteration, _kind, _ord", "translation")
+    ann = DI.annotate_sql(e, DICTIONARY_SQL, ["_kind", "_ord"], "transliteration")
+    return f"SELECT oare_id, sentence_uuid, transliteration, transliteration_with_annotations, translation FROM ({ann})"
+
+
+CLEAN_TRAIN_SQL = _clean_train_sql()
+
+
+@register("clean_train", CLEAN_TRAIN_SQL)
+def clean_train(spark: SparkSession, sf: str) -> DataFrame:
+    return AL.build_clean_train(D.documents(spark, sf), D.sentences(spark, sf), dictionary(spark, sf))
+
+
+def _clean_test_sql() -> str:
+    a = SOURCE.sql_select(D.test_documents_sql(), "transliteration",
+                          "id, text_id, line_start, line_end, transliteration", "transliteration_clean")
+    return DI.annotate_sql(a, DICTIONARY_SQL, ["id"], "transliteration_clean")
+
+
+@register("clean_test", _clean_test_sql())
+def clean_test(spark: SparkSession, sf: str) -> DataFrame:
+    return AL.build_clean_test(D.test_documents(spark, sf), dictionary(spark, sf))

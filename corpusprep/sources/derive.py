@@ -93,6 +93,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(target_damage(first_line, d.doc_id))
         .alias("translation"),
         "lang",
+        d.doc_id.alias("doc_ordinal"),
     )
 
 
@@ -101,7 +102,7 @@ def documents_sql() -> str:
     return (
         f"SELECT CAST(doc_id AS VARCHAR) AS oare_id, {source_damage_sql('text', 'doc_id')} AS transliteration, "
         f"CASE WHEN doc_id % 5 = 0 THEN NULL ELSE {target_damage_sql(first_line, 'doc_id')} END AS translation, "
-        f"lang FROM documents"
+        f"lang, doc_id AS doc_ordinal FROM documents"
     )
 
 
@@ -109,6 +110,7 @@ def documents_sql() -> str:
 # sentences
 # ---------------------------------------------------------------------------------------------
 MIN_NUMBERED_TOKENS = 3
+LINE_STRIDE = 1_000_000
 
 
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,6 +137,7 @@ def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(x.doc_id.cast("string"), F.lit("-"), F.lpad(x.pos.cast("string"), 4, "0")).alias("sentence_uuid"),
         start.alias("first_word_number"),
         F.when(x.n < MIN_NUMBERED_TOKENS, F.lit(None).cast("string")).otherwise(x.line).alias("translation"),
+        (x.doc_id * LINE_STRIDE + x.pos).alias("sent_ordinal"),
     )
 
 
@@ -148,13 +151,41 @@ SELECT CAST(doc_id AS VARCHAR) AS text_uuid,
             WHEN n < {MIN_NUMBERED_TOKENS} THEN NULL
             ELSE CAST(1 + coalesce(sum(n) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS VARCHAR) END
          AS first_word_number,
-       CASE WHEN n < {MIN_NUMBERED_TOKENS} THEN NULL ELSE line END AS translation
+       CASE WHEN n < {MIN_NUMBERED_TOKENS} THEN NULL ELSE line END AS translation,
+       doc_id * {LINE_STRIDE} + pos AS sent_ordinal
 FROM (SELECT doc_id, line, pos - 1 AS pos, len({split_ws_sql('line')}) AS n
       FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
                    generate_subscripts(string_split(text, chr(10)), 1) AS pos
             FROM documents WHERE lang <> 'es'))"""
 
 
+# ---------------------------------------------------------------------------------------------
+# test documents (T3): lines of the Spanish documents (the ones without sentence rows)
+# ---------------------------------------------------------------------------------------------
+def test_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang").filter(F.col("lang") == "es"))
+    x = d.select("doc_id", F.posexplode(F.split(d.text, "\n")).alias("pos", "line"))
+    n = F.size(split_ws(x.line))
+    return x.select(
+        (x.doc_id * LINE_STRIDE + x.pos).cast("string").alias("id"),
+        x.doc_id.cast("string").alias("text_id"),
+        (x.pos + 1).cast("string").alias("line_start"),
+        (x.pos + n).cast("string").alias("line_end"),
+        source_damage(x.line, x.doc_id + x.pos).alias("transliteration"),
+    )
+
+
+def test_documents_sql() -> str:
+    dmg = source_damage_sql("line", "(doc_id + pos)")
+    return f"""
+SELECT CAST(doc_id * {LINE_STRIDE} + pos AS VARCHAR) AS id, CAST(doc_id AS VARCHAR) AS text_id,
+       CAST(pos + 1 AS VARCHAR) AS line_start, CAST(pos + len({split_ws_sql('line')}) AS VARCHAR) AS line_end,
+       {dmg} AS transliteration
+FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+             generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos
+      FROM documents WHERE lang = 'es')"""
+
+
 # ---------------------------------------------------------------------------------------------
 # definitions (T5): word, definition, ordinal (file order)
 # ---------------------------------------------------------------------------------------------
