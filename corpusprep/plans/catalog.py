@@ -139,3 +139,272 @@ def _clean_test_sql() -> str:
 @register("clean_test", _clean_test_sql())
 def clean_test(spark: SparkSession, sf: str) -> DataFrame:
     return AL.build_clean_test(D.test_documents(spark, sf), dictionary(spark, sf))
+
+
+# ---------------------------------------------------------------------------------------------
+# single rule families on whole documents (chain F parts, subscripts, gaps, token edges)
+# ---------------------------------------------------------------------------------------------
+from ..functions import numbers as NU  # noqa: E402
+from ..functions.rules import Chain  # noqa: E402
+from ..functions.tokens import edge_strip, edge_strip_sql, split_ws, split_ws_sql  # noqa: E402
+
+
+def _rules(chain: Chain, ids: list[str]) -> Chain:
+    return Chain("+".join(ids), tuple(r for r in chain.rules if r.id in ids or any(r.id.startswith(i + ".") for i in ids)))
+
+
+_F = NU.number_chain()
+_FAMILIES = {
+    "canon_numbers": (_F, "translation"),
+    "canon_sum": (_rules(_F, ["F03"]), "transliteration"),
+    "canon_fraction": (_rules(_F, ["F06", "F07", "F08", "F09", "F11"]), "translation"),
+    "canon_month": (_rules(_F, ["F05"]), "translation"),
+    "subscript_digits": (_rules(SOURCE, ["A17"]), "transliteration"),
+    "gap_collapse": (_rules(SOURCE, ["A23", "A24", "A25", "A26a", "A26b", "A28a", "A28b", "A30", "A31a", "A31b", "A31c", "A34", "A35"]), "transliteration"),
+}
+
+
+def _family(name: str, chain: Chain, col: str):
+    def fn(spark: SparkSession, sf: str) -> DataFrame:
+        docs = D.documents(spark, sf).select("oare_id", col)
+        return chain.apply(docs, col, "out").select("oare_id", "out")
+
+    register(name, chain.sql_select(D.documents_sql(), col, "oare_id", "out"))(fn)
+
+
+for _name, (_chain, _col) in _FAMILIES.items():
+    _family(_name, _chain, _col)
+
+
+@register("edge_strip_tokens", f"""
+SELECT oare_id, len(tok) AS tokens, len(list_filter(tok, lambda x_: {edge_strip_sql('x_')} = '')) AS emptied,
+       array_to_string(list_transform(tok, lambda x_: {edge_strip_sql('x_')}), ' ') AS stripped
+FROM (SELECT oare_id, {split_ws_sql('transliteration')} AS tok FROM ({D.documents_sql()}))""")
+def edge_strip_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    """X1 + X2: whitespace tokens and their edge-stripped forms, per document."""
+    d = D.documents(spark, sf).select("oare_id", split_ws(F.col("transliteration")).alias("tok"))
+    stripped = F.transform("tok", edge_strip)
+    return d.select("oare_id", F.size("tok").cast("long").alias("tokens"),
+                    F.size(F.filter(stripped, lambda x: x == "")).cast("long").alias("emptied"),
+                    F.array_join(stripped, " ").alias("stripped"))
+
+
+# ---------------------------------------------------------------------------------------------
+# pairs, splits, byte tokens, stats
+# ---------------------------------------------------------------------------------------------
+from ..functions import bytetok as BT  # noqa: E402
+from ..operators import split as SP  # noqa: E402
+from ..operators import stats as ST  # noqa: E402
+
+_PAIRS_SQL = SP.prepare_pairs_sql(D.pairs_sql(), "input_text", "target_text", ["conv_id", "turn"])
+_PAIR_KEY_SQL = "(CAST(conv_id AS VARCHAR) || '|' || CAST(turn AS VARCHAR))"
+
+
+def _pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return SP.prepare_pairs(D.pairs(spark, sf), "input_text", "target_text", ["conv_id", "turn"])
+
+
+def _pair_key() -> "F.Column":
+    return F.concat(F.col("conv_id").cast("string"), F.lit("|"), F.col("turn").cast("string"))
+
+
+@register("scan_filter_pairs", _PAIRS_SQL)
+def scan_filter_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return _pairs(spark, sf)
+
+
+_SPLIT_SQL = SP.split_exact_sql(_PAIRS_SQL, _PAIR_KEY_SQL)
+
+
+@register("split_exact", _SPLIT_SQL)
+def split_exact(spark: SparkSession, sf: str) -> DataFrame:
+    return SP.split_exact(_pairs(spark, sf), _pair_key())
+
+
+@register("split_group", SP.split_group_sql(_PAIRS_SQL, "CAST(conv_id AS VARCHAR)"))
+def split_group(spark: SparkSession, sf: str) -> DataFrame:
+    return SP.split_group(_pairs(spark, sf), F.col("conv_id").cast("string"))
+
+
+@register("split_counts", SP.split_counts_sql(_SPLIT_SQL))
+def split_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return SP.split_counts(split_exact(spark, sf))
+
+
+@register("byte_tokens", f"""
+SELECT conv_id, turn, {BT.byte_ids_sql('input_text')} AS input_ids,
+       {BT.attention_mask_sql(BT.byte_ids_sql('input_text'))} AS attention_mask,
+       {BT.byte_ids_sql('target_text')} AS labels
+FROM ({_PAIRS_SQL})""")
+def byte_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    p = _pairs(spark, sf)
+    ids = BT.byte_ids(F.col("input_text"))
+    return p.select("conv_id", "turn", ids.alias("input_ids"), BT.attention_mask(ids).alias("attention_mask"),
+                    BT.byte_ids(F.col("target_text")).alias("labels"))
+
+
+@register("byte_length_stats", ST.length_stats_sql(_SPLIT_SQL, "split", ["input_text", "target_text"]))
+def byte_length_stats(spark: SparkSession, sf: str) -> DataFrame:
+    return ST.length_stats(split_exact(spark, sf), "split", ["input_text", "target_text"])
+
+
+@register("byte_roundtrip", f"SELECT oare_id, {BT.byte_prefix_sql('translation')} AS decoded FROM ({D.documents_sql()})")
+def byte_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """decode(encode(x)) on every document translation (cut at 511 bytes)."""
+    d = D.documents(spark, sf)
+    return d.select("oare_id", BT.decode_ids(BT.byte_ids(F.col("translation"))).alias("decoded"))
+
+
+# ---------------------------------------------------------------------------------------------
+# BLEU
+# ---------------------------------------------------------------------------------------------
+from ..operators import bleu as BL  # noqa: E402
+
+_BLEU_BASE_SQL = "SELECT doc_id, lower(text) AS hyp, text AS ref FROM documents"
+_BLEU_STATS_SQL = BL.bleu_stats_sql(_BLEU_BASE_SQL, "doc_id", "hyp", "ref")
+
+
+def _bleu_input(spark: SparkSession, sf: str) -> DataFrame:
+    d = D.read_table(spark, sf, "documents")
+    return d.select("doc_id", F.lower("text").alias("hyp"), F.col("text").alias("ref"))
+
+
+@register("bleu_stats", _BLEU_STATS_SQL)
+def bleu_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Corpus BLEU sufficient statistics: lower-cased documents against the originals."""
+    return BL.bleu_stats(_bleu_input(spark, sf), "doc_id", "hyp", "ref")
+
+
+@register("bleu_score", BL.bleu_from_stats_sql(_BLEU_STATS_SQL))
+def bleu_score(spark: SparkSession, sf: str) -> DataFrame:
+    return BL.bleu_from_stats(bleu_stats(spark, sf))
+
+
+# ---------------------------------------------------------------------------------------------
+# scoring through a pluggable predictor
+# ---------------------------------------------------------------------------------------------
+from ..functions.tokens import py_strip_sql as _pss  # noqa: E402
+from ..operators import scoring as SC  # noqa: E402
+
+_PRED_INPUT_SQL = ("SELECT conv_id * 1000 + turn AS row_key, CASE WHEN role = 'user' THEN text ELSE '' END AS text "
+                   "FROM conversations")
+_BLANK_TEXT_SQL = _pss("coalesce(text, '')")
+_PRED_SQL = (f"SELECT row_key, CASE WHEN {_BLANK_TEXT_SQL} = '' THEN '' "
+             f"ELSE array_to_string(list_reverse({split_ws_sql('text')}), ' ') END AS predicted_translation "
+             f"FROM ({_PRED_INPUT_SQL})")
+
+
+def _pred_input(spark: SparkSession, sf: str) -> DataFrame:
+    c = D.read_table(spark, sf, "conversations")
+    return c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("row_key"),
+                    F.when(F.col("role") == "user", F.col("text")).otherwise(F.lit("")).alias("text"))
+
+
+@register("predict_blank_passthrough", _PRED_SQL)
+def predict_blank_passthrough(spark: SparkSession, sf: str) -> DataFrame:
+    """Blank inputs skip the predictor and get ''; rows keep their key."""
+    return SC.predict(_pred_input(spark, sf), SC.reverse_words, "row_key", "text")
+
+
+@register("prediction_summary", f"SELECT count(*) AS rows, count(*) FILTER (WHERE length(predicted_translation) > 0) AS non_empty FROM ({_PRED_SQL})")
+def prediction_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return SC.prediction_summary(predict_blank_passthrough(spark, sf))
+
+
+@register("segment_table", f"""
+SELECT p.row_key, p.input_text, p.target_text, coalesce(q.predicted_translation, '') AS predicted_translation
+FROM (SELECT conv_id * 1000 + turn AS row_key, input_text, target_text FROM ({_PAIRS_SQL})) p
+LEFT JOIN ({_PRED_SQL}) q ON p.row_key = q.row_key""")
+def segment_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs with the prediction made for their input turn, joined by key."""
+    pairs = _pairs(spark, sf).select((F.col("conv_id") * 1000 + F.col("turn")).alias("row_key"), "input_text", "target_text")
+    return SC.segment_table(pairs, predict_blank_passthrough(spark, sf), "row_key")
+
+
+# ---------------------------------------------------------------------------------------------
+# lexicon, URLs, payloads
+# ---------------------------------------------------------------------------------------------
+from ..functions import urls as U  # noqa: E402
+
+_QUEUE_SQL = DI.extract_lexicon_sql(D.lexicon_sql())
+_PARAM, _NAME = D.URL_PARAM, "word"
+
+
+@register("lexicon_first_seen", _QUEUE_SQL)
+def lexicon_first_seen(spark: SparkSession, sf: str) -> DataFrame:
+    return DI.extract_lexicon(D.lexicon(spark, sf))
+
+
+def _url_cols_sql() -> str:
+    lemma, raw, api = U.dictionary_urls_sql("url", _PARAM, _NAME)
+    return f"{lemma} AS lemma, {raw} AS raw_url, {api} AS api_url"
+
+
+@register("url_params", f"SELECT token, url, {_url_cols_sql()} FROM ({_QUEUE_SQL}) WHERE contains(url, '{_PARAM}')")
+def url_params(spark: SparkSession, sf: str) -> DataFrame:
+    q = DI.extract_lexicon(D.lexicon(spark, sf)).filter(F.col("url").contains(_PARAM))
+    lemma, raw, api = U.dictionary_urls(F.col("url"), _PARAM, _NAME)
+    return q.select("token", "url", lemma.alias("lemma"), raw.alias("raw_url"), api.alias("api_url"))
+
+
+_MEANINGS_SQL = f"SELECT url, {U.meanings_text_sql('list_append(meanings, NULL)')} AS definition FROM ({D.payloads_sql()})"
+
+
+@register("payload_meanings", _MEANINGS_SQL)
+def payload_meanings(spark: SparkSession, sf: str) -> DataFrame:
+    p = D.payloads(spark, sf)
+    return p.select("url", U.meanings_text(F.col("payload")).alias("definition"))
+
+
+@register("fetch_counters", f"""
+SELECT count(*) AS queued, count(*) FILTER (WHERE contains(url, '{_PARAM}')) AS written,
+       count(DISTINCT CASE WHEN contains(url, '{_PARAM}') THEN url END) AS fetched,
+       count(*) FILTER (WHERE contains(url, '{_PARAM}')) - count(DISTINCT CASE WHEN contains(url, '{_PARAM}') THEN url END) AS reused
+FROM ({_QUEUE_SQL})""")
+def fetch_counters(spark: SparkSession, sf: str) -> DataFrame:
+    return DI.fetch_counters(DI.extract_lexicon(D.lexicon(spark, sf)), _PARAM)
+
+
+@register("definitions_assembled", f"""
+SELECT q.token AS word, {U.dictionary_urls_sql('q.url', _PARAM, _NAME)[1]} AS raw_url,
+       {U.dictionary_urls_sql('q.url', _PARAM, _NAME)[2]} AS api_url, coalesce(m.definition, '') AS definition
+FROM ({_QUEUE_SQL}) q LEFT JOIN ({_MEANINGS_SQL}) m ON m.url = q.url
+WHERE contains(q.url, '{_PARAM}')""")
+def definitions_assembled(spark: SparkSession, sf: str) -> DataFrame:
+    """Each queued token with its URL's definition (payload parsed once per URL)."""
+    return DI.assemble_definitions(DI.extract_lexicon(D.lexicon(spark, sf)), D.payloads(spark, sf), _PARAM, _NAME)
+
+
+# ---------------------------------------------------------------------------------------------
+# QA report
+# ---------------------------------------------------------------------------------------------
+QA_N, QA_SEED = 5, 42
+
+
+def _qa_sql() -> str:
+    keys = (f"SELECT oare_id FROM (SELECT DISTINCT oare_id FROM ({D.documents_sql()})) "
+            f"ORDER BY md5('{QA_SEED}|' || oare_id), oare_id LIMIT {QA_N}")
+    docs = f"SELECT * FROM ({D.documents_sql()}) WHERE oare_id IN ({keys})"
+    sents = f"SELECT * FROM ({D.sentences_sql()}) WHERE text_uuid IN ({keys})"
+    al = AL.align_sentences_sql(docs, sents, with_order=True)
+    rows = f"""
+SELECT oare_id, sentence_no, transliteration AS raw_transliteration, translation AS raw_translation FROM ({al})
+UNION ALL
+SELECT oare_id, 1 AS sentence_no, transliteration AS raw_transliteration, translation AS raw_translation
+FROM ({docs}) d WHERE NOT EXISTS (SELECT 1 FROM ({al}) a WHERE a.oare_id = d.oare_id)"""
+    a = SOURCE.sql_select(rows, "raw_transliteration", "oare_id, sentence_no, raw_transliteration, raw_translation", "clean_transliteration")
+    e = TARGET.sql_select(a, "raw_translation", "oare_id, sentence_no, raw_transliteration, raw_translation, clean_transliteration", "clean_translation")
+    return DI.annotate_sql(e, DICTIONARY_SQL, ["oare_id", "sentence_no"], "clean_transliteration", out="annotated_transliteration")
+
+
+@register("qa_sample", _qa_sql())
+def qa_sample(spark: SparkSession, sf: str) -> DataFrame:
+    return AL.qa_report(D.documents(spark, sf), D.sentences(spark, sf), dictionary(spark, sf), QA_N, QA_SEED)
+
+
+@register("lexicon_url_map", DI.build_dictionary_sql(
+    f"SELECT form AS word, url AS definition, ordinal FROM ({D.lexicon_sql()}) "
+    f"WHERE row_type = 'word' AND {_pss('form')} <> '' AND {_pss('url')} <> ''", out_value="url"))
+def lexicon_url_map(spark: SparkSession, sf: str) -> DataFrame:
+    """Token variants → URL, last row wins."""
+    return DI.lexicon_url_map(D.lexicon(spark, sf))

@@ -11,8 +11,9 @@ documents      ``oare_id`` = doc_id, ``transliteration`` = text + deterministic
 sentences      one row per text line of documents not in Spanish: word number of the line's
                first word (running token count, computed in-row - no shuffle); short lines get
                no number and no translation; some numbers tie, some are 0 or non-numeric
-definitions    benchmark words; definition = ordered list of the items that use the word
-lexicon        pages: row type, a form (host label) and the page URL
+definitions    benchmark words; a bounded definition text from the items that use the word
+lexicon        pages: row type ('PN' for spam hosts, 'word' for https, ' word ' padded
+               otherwise), a form (host label) and the page URL
 payloads       one JSON array of ``{"meaning": ...}`` per page URL, built from the page HTML
 pairs          conversations: a user turn and the assistant turn that follows it
 =============  =============================================================================
@@ -247,7 +248,8 @@ URL_PARAM = "utm_source="
 def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "pages").select("page_id", "url")
     return p.select(
-        F.when(p.url.startswith("https"), F.lit(" word ")).otherwise(F.lit("PN")).alias("row_type"),
+        F.when(p.url.contains("spam"), F.lit("PN")).when(p.url.startswith("https"), F.lit("word"))
+        .otherwise(F.lit(" word ")).alias("row_type"),
         F.concat(F.lit(" "), F.regexp_extract(p.url, HOST_LABEL, 1)).alias("form"),
         F.concat(p.url, F.lit(" ")).alias("url"),
         p.page_id.alias("ordinal"),
@@ -256,7 +258,7 @@ def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lexicon_sql() -> str:
     return (
-        "SELECT CASE WHEN starts_with(url, 'https') THEN ' word ' ELSE 'PN' END AS row_type, "
+        "SELECT CASE WHEN contains(url, 'spam') THEN 'PN' WHEN starts_with(url, 'https') THEN 'word' ELSE ' word ' END AS row_type, "
         f"' ' || regexp_extract(url, {q(HOST_LABEL)}, 1) AS form, url || ' ' AS url, page_id AS ordinal FROM pages"
     )
 
