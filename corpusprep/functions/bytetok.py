@@ -18,14 +18,10 @@ def byte_ids(text: Column, max_len: int = MAX_LEN) -> Column:
     """UTF-8 bytes + 3, truncated to ``max_len - 1``, then eos, then pad to ``max_len``."""
     keep = max_len - 1
     hx = F.hex(F.substring(F.encode(F.coalesce(text, F.lit("")), "UTF-8"), 1, keep))
-    n = (F.length(hx) / 2).cast("int")
-    ids = F.transform(
-        F.sequence(F.lit(0), n - 1),
-        lambda i: F.conv(F.substring(hx, i * 2 + 1, 2), 16, 10).cast("int") + OFFSET,
-    )
-    ids = F.when(n > 0, ids).otherwise(F.array().cast("array<int>"))
-    body = F.concat(ids, F.array(F.lit(EOS)))
-    return F.concat(body, F.array_repeat(F.lit(PAD), max_len - F.size(body)))
+    # two hex digits per byte; the lambda only sees its own element (no per-element recompute)
+    ids = F.transform(F.regexp_extract_all(hx, F.lit(".."), 0), lambda h: F.conv(h, 16, 10).cast("int") + OFFSET)
+    pad = F.array_repeat(F.lit(PAD), (F.lit(keep) - F.length(hx) / 2).cast("int"))
+    return F.concat(ids, F.array(F.lit(EOS)), pad)
 
 
 def attention_mask(ids: Column) -> Column:

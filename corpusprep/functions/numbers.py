@@ -48,7 +48,8 @@ SMALL_DECIMAL = 0.0001
 NUM = f"{DIGIT}+(?:\\.{DIGIT}+)?"
 ADD = f"({NUM}){S}*\\+{S}*({NUM})"
 FRAC = f"({DIGIT}+){S}+({DIGIT}+)/({DIGIT}+)|({DIGIT}+)/({DIGIT}+)"
-DEC_J = f"(?<!{W}){DIGIT}+\\.{DIGIT}+(?!{W})"
+# digit first, then the left boundary as a fixed-width lookbehind (cheaper than leading with it)
+DEC_J = f"{DIGIT}(?<!{W}{DIGIT}){DIGIT}*\\.{DIGIT}+(?!{W})"
 DEC_R = f"(^|{NW})({DIGIT}+\\.{DIGIT}+)"
 
 

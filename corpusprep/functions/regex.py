@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 # Python's ``\s`` / ``str.isspace`` is the Unicode White_Space set plus U+001C..U+001F.
 WORD = r"\p{L}\p{N}_"
 SPACE = (
-    r"\t\n\x0b\x0c\r\x1c-\x1f \x85\xa0\x{1680}\x{2000}-\x{200a}"
+    r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
 DIGIT = r"\p{Nd}"
@@ -58,21 +58,27 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+MARK = "\u0001"
+
+
 def sub_with(c: Column, pattern: str, fn) -> Column:
     """``re.sub(pattern, fn, text)`` as native columns (no Python UDF).
 
-    ``split`` yields the text between matches, ``regexp_extract_all`` the matches, in the same
-    find() order, so part i is followed by match i; ``zip_with`` pairs them (the last part gets a
-    NULL match). Both arrays are computed once per row. ``c`` is referenced more than once:
-    callers bind it first (a rule with ``stage=True``). Texts without a match skip the split.
+    Fast path: ``regexp_replace`` wraps every match in U+0001 marks, a single-character
+    ``split`` (no regex compile) cuts the text, and odd positions are the matches, so ``fn`` is
+    applied to them. Texts that already contain U+0001 take the exact path instead: regex
+    ``split`` (text between matches) zipped with ``regexp_extract_all`` (the matches), which find
+    the same matches in the same order. ``c`` is referenced more than once: callers bind it
+    first (a rule with ``stage=True``).
     """
+    marked = F.regexp_replace(c, pattern, f"{MARK}$0{MARK}")
+    fast = F.array_join(
+        F.transform(F.split(marked, MARK), lambda p, i: F.when(i % 2 == 1, fn(p)).otherwise(p)), "")
     parts = F.split(c, pattern)
     matches = F.regexp_extract_all(c, F.lit(pattern), 0)
-    rebuilt = F.array_join(
-        F.zip_with(parts, matches, lambda p, m: F.concat(p, F.when(m.isNull(), F.lit("")).otherwise(fn(m)))),
-        "",
-    )
-    return F.when(c.rlike(pattern), rebuilt).otherwise(c)
+    exact = F.array_join(
+        F.zip_with(parts, matches, lambda p, m: F.concat(p, F.when(m.isNull(), F.lit("")).otherwise(fn(m)))), "")
+    return F.when(F.instr(c, MARK) == 0, fast).otherwise(exact)
 
 
 def sub_with_sql(e: str, pattern: str, fn_sql, next_aware: bool = False) -> str:
