@@ -17,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.regex import S, q
+from ..functions.regex import q
+from ..functions.tokens import split_ws, split_ws_sql
 
 MAX_ORDER = 4
 
@@ -39,7 +40,7 @@ def tokenize_13a(c: Column) -> Column:
     t = F.concat(F.lit(" "), t, F.lit(" "))
     for pat, rep in TOKENIZE_13A:
         t = F.regexp_replace(t, pat, rep)
-    return F.filter(F.split(t, f"{S}+"), lambda x: x != "")
+    return split_ws(t)
 
 
 def tokenize_13a_sql(e: str) -> str:
@@ -50,7 +51,7 @@ def tokenize_13a_sql(e: str) -> str:
     t = f"(' ' || {t} || ' ')"
     for pat, rep in TOKENIZE_13A:
         t = f"regexp_replace({t}, {q(pat)}, {q(rep.replace('$', chr(92)))}, 'g')"
-    return f"list_filter(regexp_split_to_array({t}, {q(S + '+')}), lambda x_: x_ <> '')"
+    return split_ws_sql(t)
 
 
 def _ngrams(tok: Column, n: int) -> Column:

@@ -69,8 +69,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     Text cleaning is CPU-bound per row. A large input already arrives in many splits and is left
     alone (no shuffle); a small file with a single row group would otherwise run in one task.
     """
-    sc = df.sparkSession.sparkContext
-    target = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        sc = df.sparkSession.sparkContext
+        target = min_partitions or sc.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. Spark Connect has no RDD API: leave the plan as is
+        return df
+    if current >= target:
         return df
     return df.repartition(target)
