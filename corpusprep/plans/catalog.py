@@ -107,8 +107,7 @@ def align_fallback(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("unaligned_docs", _UNALIGNED_SQL)
 def unaligned_docs(spark: SparkSession, sf: str) -> DataFrame:
-    docs = D.documents(spark, sf)
-    return AL.unaligned_documents(docs, AL.align_sentences(docs, D.sentences(spark, sf)))
+    return AL.unaligned_documents(D.documents(spark, sf), D.sentences(spark, sf))
 
 
 def _clean_train_sql() -> str:
