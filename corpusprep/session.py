@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,9 @@ from pyspark.sql import functions as F
 # Dictionaries and other "small side" tables are broadcast only below this many rows.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
+# Per driver process: the scratch folder of local sessions, the application that has the package.
+_SCRATCH: dict[str, str] = {}
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "corpusprep") -> SparkSession:
     """A local session for tests and the bench. On a cluster, use the cluster's own session."""
@@ -33,16 +38,43 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's spark.checkpoint.dir; only set a scratch one when it is unset (tests)."""
+def shared_dir(spark: SparkSession) -> str:
+    """Folder that the driver and all executors share: spark.checkpoint.dir.
+
+    Only a local master may go without the setting (tests); it then gets a scratch folder.
+    On a cluster a missing setting is an error, never a machine-local folder.
+    """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        spark.sparkContext.setCheckpointDir(current)
         return current
-    scratch = tempfile.mkdtemp(prefix="corpusprep-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", scratch)
-    spark.sparkContext.setCheckpointDir(scratch)
-    return scratch
+    master = spark.sparkContext.master
+    if not re.match(r"local(\[|$)", master):
+        raise ValueError(f"spark.checkpoint.dir is not set; {master} needs a folder that all executors share")
+    if "dir" not in _SCRATCH:
+        _SCRATCH["dir"] = tempfile.mkdtemp(prefix="corpusprep-ckpt-")
+    return _SCRATCH["dir"]
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Point the context's checkpoints at shared_dir(spark)."""
+    folder = shared_dir(spark)
+    spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application, so that functions defined
+    in it can run there wherever the driver was started from."""
+    app = spark.sparkContext.applicationId
+    if _SCRATCH.get("shipped") == app:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="corpusprep-zip-")) / "corpusprep_code.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SCRATCH["shipped"] = app
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
