@@ -1,0 +1,36 @@
+import hashlib
+
+import corpus_pipeline
+from corpusprep.llm import langid, mixing
+from test_mixing import brute_order
+from test_simhash import brute_components, brute_fingerprint
+
+
+def test_stages_against_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = {r["doc_id"]: r for r in docs.collect()}
+    model = langid.fit(docs.filter(langid.fold() != 2))
+    kept = [r for r in langid.predict(docs, model).collect() if not r["rejected"]]
+    assert len(kept) >= 0.97 * len(rows)
+    texts = {}
+    for r in kept:
+        key = r["text"].encode().lower()
+        texts[key] = max(texts.get(key, -1), r["doc_id"])
+    ids = sorted(texts.values())
+    fps = [(i, brute_fingerprint(rows[i]["text"])) for i in ids]
+    stay = sorted(set(brute_components(fps)))
+    out = corpus_pipeline.run(spark, sf).collect()
+    assert sorted(r["doc_id"] for r in out) == stay
+    order = brute_order([(i, rows[i]["source"]) for i in stay], corpus_pipeline.MIX_WEIGHTS, "mix", mixing.BLOCK_ROWS, mixing.CYCLE)
+    assert {r["doc_id"]: r["source"] for r in out} == {i: rows[i]["source"] for i in stay} and len(order) == len(out)
+    for r in out:
+        assert r["decoded_sha256"] == hashlib.sha256(rows[r["doc_id"]]["text"].encode()).hexdigest()
+        assert len(r["ids"]) == 4 * r["n_tokens"]
+
+
+def test_stage_columns(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, sf).columns == docs.columns
