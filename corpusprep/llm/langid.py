@@ -25,6 +25,8 @@ MAX_LANGUAGES = 256
 NONE = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 _PIECE = 1 << 22
+# ASCII letters are lower-cased, all other ASCII is a space: signs and digits tell no language
+_LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in range(256))
 
 
 @dataclass(frozen=True)
@@ -38,11 +40,11 @@ class Model:
 
 
 def counts(text: str | None) -> np.ndarray:
-    """Hashed byte 3-gram counts; a space stands before and after the text and for runs of spaces."""
+    """Hashed byte 3-gram counts; a space stands before and after the text and for all between words."""
     out = np.zeros(DIM, dtype=np.float32)
     text = text or ""
     for at in range(0, len(text), _PIECE):
-        data = b" " + b" ".join(text[max(0, at - 2):at + _PIECE].lower().encode("utf-8", "replace").split()) + b" "
+        data = b" " + b" ".join(text[max(0, at - 2):at + _PIECE].lower().encode("utf-8", "replace").translate(_LETTERS).split()) + b" "
         a = np.frombuffer(data, np.uint8).astype(np.uint32)
         h = (a[:-2] * np.uint32(0x9E3779B1) + a[1:-1] * np.uint32(0x85EBCA6B) + a[2:] * np.uint32(0xC2B2AE35)) >> np.uint32(20)
         out += np.bincount(h, minlength=DIM).astype(np.float32)
