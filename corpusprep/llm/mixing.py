@@ -125,9 +125,13 @@ def positions(docs: DataFrame, weights: dict[str, float], seed: str = "mix", blo
     sizes = {r["s"]: r["n"] for r in cells.groupBy("s").agg(F.sum("n").alias("n")).collect()}
     phases = plan({s: -(-n // block_rows) for s, n in sizes.items()}, weights, cycle)
     spans, places = _schedule_tables(spark, phases)
-    # rows before a cell: sums over at most 2^16 cells a source
-    before = F.sum("n").over(Window.partitionBy("s").orderBy("c").rowsBetween(Window.unboundedPreceding, -1))
-    bases = cells.select(F.col("s").alias(src + "s"), F.col("c").alias(cell + "c"), F.coalesce(before, F.lit(0).cast("long")).alias(base))
+    # rows before a cell, in two steps: among the 2^8 cells of its group, and among the 2^8 groups of its source
+    group = F.shiftright("c", _CELL_BITS // 2)
+    earlier = lambda keys, by: F.coalesce(F.sum("n").over(Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
+    groups = cells.groupBy("s", group.alias("g")).agg(F.sum("n").alias("n")).select(F.col("s").alias("s2"), F.col("g").alias("g2"), earlier(["s"], "g").alias("before"))
+    inside = cells.withColumn("g", group).select("s", "g", "c", earlier(["s", "g"], "c").alias("inside"))
+    bases = inside.join(groups, (F.col("s") == F.col("s2")) & (F.col("g") == F.col("g2"))).select(
+        F.col("s").alias(src + "s"), F.col("c").alias(cell + "c"), (F.col("inside") + F.col("before")).alias(base))
     tie = F.xxhash64(*[c for c in keep])
     within = Window.partitionBy(src, cell).orderBy(order, id_col, tie)
     ranked = rows.join(bases, (F.col(src) == F.col(src + "s")) & (F.col(cell) == F.col(cell + "c"))).withColumn(row, F.row_number().over(within) + F.col(base) - 1)
