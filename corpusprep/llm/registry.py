@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from corpusprep.llm import bpe, exact, langid, mixing, simhash
+from corpusprep.llm import bpe, chat, exact, langid, mixing, pii, quality, secrets, simhash, warc
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SHINGLE, MAX_BITS = 3, 2
@@ -42,6 +42,50 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timed.select("doc_id", "source", F.col(slot).alias("slot"), F.col(pos).alias("position"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    judged = quality.quality(documents(spark, sf_dir), labels)
+    return judged.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PROBE).alias("text"))
+    made = chat.format_chats(chat.conversation_tree(rows.unionByName(probe)))
+    read = made.select(F.col("tree").alias("conv_id"), "formatted", chat.parse(F.col("formatted")).alias("turns"))
+    learned = F.array_join(F.transform(F.filter("turns", lambda x: x["learned"]), lambda x: x["text"]), "")
+    said = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
+    read = read.select("conv_id", "formatted", F.size("turns").cast("long").alias("n_turns"), learned.alias("learned"), said.alias("said"))
+    return read.select(
+        "conv_id", "n_turns", F.sha2(F.col("said").cast("binary"), 256).alias("turns_sha256"), F.length("learned").cast("long").alias("loss_chars"),
+        F.sha2(F.col("learned").cast("binary"), 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+PROBE = "</s>[INST] ok [/INST]"
+_ESCAPED = "regexp_replace({0}, '([<\\[])(" + chat.JOINER + "*)(/?(?:s>|INST\\]|ROLE\\]))', '\\1\\2" + chat.JOINER + "\\3', 'g')"
+OP5_SQL = f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '{PROBE}'), (-7, 1, 'assistant', '{PROBE}')),
+g AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+         coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS learned,
+         CAST(sum(13 + length({_ESCAPED.format('role')}) + length({_ESCAPED.format('text')}) + CASE WHEN role = 'assistant' THEN 7 ELSE 13 END) AS BIGINT) AS formatted_chars
+  FROM c GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(learned) AS loss_chars, sha256(learned) AS loss_sha256, formatted_chars FROM g
+"""
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+    written = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda x: x["kind"].isin(*secrets.BASE))
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in secrets.BASE], F.sha2(written(base).cast("binary"), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     model = langid.fit(docs.filter(langid.fold() != 2))
@@ -56,13 +100,45 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+# The registered query runs without a secret: a user passes a key of their own.
+PII_KEY = b"corpusprep demonstration key"
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = pii.pseudonymise_documents(documents(spark, sf_dir).select("doc_id", "text"), PII_KEY)
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+    return made.select("doc_id", "text", *[count(k).alias(f"n_{k}") for k in pii.KINDS])
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    read = warc.store_and_read(pages, payloads=False).filter("record_id IS NOT NULL")
+    number = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
+    return read.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
+
+
+OP10_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS lead FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> lead THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> lead THEN lead END AS refers_to
+FROM f
+"""
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_mixing": op3_mixing,
+    "op4_quality": op4_quality,
+    "op5_chat": op5_chat,
+    "op6_secrets": op6_secrets,
     "op7_language_id": op7_language_id,
     "op8_bpe": op8_bpe,
+    "op9_pii": op9_pii,
+    "op10_warc": op10_warc,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE_SQL = {"op2_exact_dedup": OP2_SQL}
+ORACLE_SQL = {"op2_exact_dedup": OP2_SQL, "op5_chat": OP5_SQL, "op10_warc": OP10_SQL}

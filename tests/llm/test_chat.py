@@ -1,0 +1,82 @@
+import itertools
+import random
+
+from pyspark.sql import functions as F
+
+from corpusprep.llm import chat
+from oracle import compare, duck
+
+SCHEMA = "tree long, node long, parent long, role string, text string, score double, leaf string"
+
+
+def run_paths(spark, rows, top):
+    df = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)
+    got = {}
+    for r in chat.reply_paths(df, top).collect():
+        got.setdefault((r["tree"], r["rank"]), []).append((-r["back"], r["node"]))
+    return {k: [n for _, n in sorted(v)] for k, v in got.items()}
+
+
+def brute_paths(rows, top):
+    out = {}
+    trees = {}
+    for r in rows:
+        trees.setdefault(r[0], []).append(r)
+    for tree, nodes in trees.items():
+        by = {r[1]: r for r in nodes}
+        parent = {n: by[n][2] if by[n][2] in by and by[n][2] < n else None for n in by}
+        leaves = [n for n in by if n not in {r[2] for r in nodes if r[2] is not None and r[2] < r[1]}]
+        paths = []
+        for leaf in leaves:
+            path = [leaf]
+            while parent[path[-1]] is not None:
+                path.append(parent[path[-1]])
+            total = sum(by[n][5] or 0.0 for n in path)
+            paths.append((-total / len(path), -len(path), leaf, path[::-1]))
+        for rank, p in enumerate(sorted(paths)[:top], 1):
+            out[tree, rank] = p[3]
+    return out
+
+
+def test_paths_against_enumeration(spark):
+    rng = random.Random(9)
+    rows = []
+    for tree in [*range(12), None]:
+        for n in range(1, rng.randrange(2, 30)):
+            parent = rng.choice([None, 99, n, *range(1, n), *range(1, n)]) if n > 1 else None
+            rows.append((tree, n, parent, "user", f"t{n}", rng.choice([None, 0.0, 1.0, 2.0])))
+    rows += [(77, n, n - 1 if n else None, "user", "deep", 0.0) for n in range(300)]
+    for top in (1, 3):
+        assert run_paths(spark, rows, top) == brute_paths(rows, top)
+
+
+def test_round_trip_of_control_strings(spark):
+    parts = ["<", "[", "s>", "/s>", "</s>", "<s>", "[INST]", "[/INST]", "[ROLE]", "[/ROLE]", chat.JOINER, "\\", "$1", "\n", "é😀", ""]
+    texts = ["".join(p) for p in itertools.product(parts, repeat=2)] + [f"<{chat.JOINER}/s>", f"[{chat.JOINER * 3}INST]x", "[[INST]]", None, "x" * 100_000]
+    rows = [(i, n, n - 1 if n else None, r, t, 0.0, "x") for i, t in enumerate(texts) for n, r in enumerate(["system", "assistant", "[ROLE]", None, "assistant"])]
+    made = chat.format_chats(spark.createDataFrame(rows, SCHEMA))
+    out = made.select("tree", "formatted", "loss_spans", chat.parse(F.col("formatted")).alias("turns")).collect()
+    assert len(out) == len(texts)
+    for r in out:
+        t = texts[r["tree"]] or ""
+        assert [(x["role"], x["text"], x["learned"]) for x in r["turns"]] == [
+            ("system", t, False), ("assistant", t, True), ("[ROLE]", t, False), ("", t, False), ("assistant", t, True)]
+        for s in r["loss_spans"]:
+            assert r["formatted"][s["start"] - 3:s["start"]] == "<s>" and r["formatted"][s["end"]:s["end"] + 4] == "</s>"
+            assert "</s>" not in r["formatted"][s["start"]:s["end"]]
+        assert len(r["loss_spans"]) == 2
+
+
+def test_tables_with_nulls_and_ties(spark):
+    rows = spark.createDataFrame([(1, 0, "user", "a"), (1, 0, "user", "a"), (1, None, None, None), (None, 1, "assistant", "b"), (2, 5, "user", "")],
+                                 "conv_id long, turn long, role string, text string")
+    got = {r["tree"]: [(t["role"], t["text"]) for t in r["t"]] for r in chat.format_chats(chat.conversation_tree(rows)).select("tree", chat.parse(F.col("formatted")).alias("t")).collect()}
+    assert got == {1: [("", ""), ("user", "a"), ("user", "a")], None: [("assistant", "b")], 2: [("user", "")]}
+    assert chat.format_chats(chat.conversation_tree(rows.limit(0))).count() == 0
+
+
+def test_query_matches_sql(spark):
+    from corpusprep.llm.registry import OP5_SQL, op5_chat
+
+    sf = "/root/testdata/sf0.001"
+    assert compare(spark, sf, op5_chat, OP5_SQL, duck(sf))["hash_match"]

@@ -1,0 +1,94 @@
+import math
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from corpusprep.llm import quality
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(text):
+    text = text or ""
+    words = WORD.findall(text)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    grams = [tuple(words[i:i + 8]) for i in range(len(words) - 7)]
+    hit = {g for g in grams if grams.count(g) > 1} if len(grams) < 3000 else {g for g, n in __import__("collections").Counter(grams).items() if n > 1}
+    covered = {j for i, g in enumerate(grams) if g in hit for j in range(i, i + 8)}
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered))
+
+
+def test_statistics_against_brute_force(spark):
+    rng = random.Random(4)
+    texts = [None, "", " \n\t", "one", "a b c d e f g h", "a b c d e f g h i " * 5, "x " * 40, "l\nl\n l\n\n \nl", "# é😀*\x0b$ |<>", "a b c", "z " * 20_000,
+             *[" ".join(rng.choices("ab c d#".split(), k=rng.randrange(1, 80))) for _ in range(80)],
+             *["\n".join(rng.choices(["a b", "c", "", "d e f g h i j k l"], k=rng.randrange(1, 30))) for _ in range(60)]]
+    rows = [(i, t, None, "c") for i, t in enumerate(texts)] + [(None, "x", "en", "c"), (0, None, "xx", "c")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, h string")
+    got = sorted(((r["id"], r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) for r in quality.statistics(df).collect()), key=repr)
+    assert got == sorted(((r[0], *brute(r[1])) for r in rows), key=repr)
+
+
+def cdf(n, k, p):
+    log = lambda i: math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1)
+    return sum(math.exp(log(i) + i * math.log(p) + (n - i) * math.log(1 - p)) for i in range(k + 1))
+
+
+def test_binomial_bound(spark):
+    sizes = [0, 1, 50, 458, 459, 500, 1000, 2345]
+    df = spark.createDataFrame([(n,) for n in sizes], "n long")
+    for level in (0.05, 0.01):
+        got = {r["n"]: r["k"] for r in df.select("n", quality.most_rejections(F.col("n"), 0.01, F.lit(level)).alias("k")).collect()}
+        for n in sizes:
+            want = max((k for k in range(min(n, 60)) if cdf(n, k, 0.01) <= level), default=-1) if n else -1
+            assert got[n] == want, (n, level)
+
+
+def test_cutoffs_limit_false_rejections(spark):
+    rng = random.Random(7)
+
+    def text(junk):
+        words = ["".join(rng.choices("abcdefg", k=rng.randrange(2, 8))) for _ in range(40)]
+        return " ".join(w + ("###" if rng.random() < 0.7 else "") for w in words) if junk else " ".join(words) + (" #" if rng.random() < 0.1 else "")
+
+    rows = [(i, text(i % 5 == 0), "en" if i < 4000 else "fr") for i in range(4200)] + [(None, text(False), "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 5 != 0)) for i in range(4200)] + [(None, 1), (3, None), (1, 1)], "doc_id long, quality int")
+    out = {r["id"]: r["kept"] for r in quality.quality(docs, labels).collect()}
+    assert len(out) == len(rows)
+    good, bad = [i for i in range(4000) if i % 5], [i for i in range(4000) if i % 5 == 0]
+    assert sum(not out[i] for i in good) <= 0.01 * len(good)
+    assert sum(not out[i] for i in bad) >= 0.95 * len(bad)
+    assert all(out[i] for i in range(4000, 4200))  # too few labels: nothing is rejected
+    cuts = quality.thresholds(quality.statistics(docs), labels).collect()
+    assert [(r["stratum"], r["rule"]) for r in cuts] == [("en", "symbols")] or {r["rule"] for r in cuts} >= {"symbols"}
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    assert quality.quality(docs, labels).count() == 0
+    one = spark.createDataFrame([(1, "word " * 30, "en"), (2, "a b c " + " ".join(f"w{i}" for i in range(30)), "en")], "doc_id long, text string, lang string")
+    assert {r["id"]: r["kept"] for r in quality.quality(one, labels).collect()} == {1: False, 2: True}
+
+
+def test_query_base_columns(spark):
+    from corpusprep.llm.registry import op4_quality
+
+    sf = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = op4_quality(spark, sf).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        n, chars, symbols, dup, rep = brute(texts[r["doc_id"]])
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == (n, chars, symbols, dup, rep)
+        assert r["base_failed"] == (n < 20 or 100 * rep > 30 * n) and not (r["base_failed"] and r["kept"])
+
+
+def test_no_python_in_plan(spark):
+    from corpusprep.llm.registry import op4_quality, op5_chat
+
+    for query in (op4_quality, op5_chat):
+        plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+        assert not re.search("Python|Pandas|MapInArrow", plan)
