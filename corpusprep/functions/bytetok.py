@@ -14,10 +14,15 @@ PAD, EOS, UNK, OFFSET = 0, 1, 2, 3
 MAX_LEN = 512
 
 
-def byte_ids(text: Column, max_len: int = MAX_LEN) -> Column:
-    """UTF-8 bytes + 3, truncated to ``max_len - 1``, then eos, then pad to ``max_len``."""
+def byte_ids(text: Column, max_len: int | None = MAX_LEN) -> Column:
+    """UTF-8 bytes + 3, truncated to ``max_len - 1``, then eos, then pad to ``max_len`` (None: the
+    whole text, no padding)."""
+    raw = F.encode(F.coalesce(text, F.lit("")), "UTF-8")
+    if max_len is None:
+        ids = F.transform(F.regexp_extract_all(F.hex(raw), F.lit(".."), 0), lambda h: F.conv(h, 16, 10).cast("int") + OFFSET)
+        return F.concat(ids, F.array(F.lit(EOS)))
     keep = max_len - 1
-    hx = F.hex(F.substring(F.encode(F.coalesce(text, F.lit("")), "UTF-8"), 1, keep))
+    hx = F.hex(F.substring(raw, 1, keep))
     # two hex digits per byte; the lambda only sees its own element (no per-element recompute)
     ids = F.transform(F.regexp_extract_all(hx, F.lit(".."), 0), lambda h: F.conv(h, 16, 10).cast("int") + OFFSET)
     pad = F.array_repeat(F.lit(PAD), (F.lit(keep) - F.length(hx) / 2).cast("int"))
@@ -43,24 +48,13 @@ def attention_mask_sql(ids: str) -> str:
 
 
 def decode_ids(ids: Column) -> Column:
-    """Keep ids below 256 (pad/eos/unk are skipped as special), bytes = id - 3, UTF-8 decode
-    dropping invalid sequences (a valid U+FFFD in the bytes is dropped too)."""
-    byte_ids_ = F.filter(ids, lambda t: (t >= OFFSET) & (t < 256))
-    hx = F.array_join(F.transform(byte_ids_, lambda t: F.lpad(F.hex(t - OFFSET), 2, "0")), "")
+    """Keep byte ids (pad/eos/unk and extra ids are skipped as special), bytes = id - 3, UTF-8
+    decode dropping invalid sequences; a valid U+FFFD stays."""
+    kept = F.filter(ids, lambda t: (t >= OFFSET) & (t < 256))
+    hx = F.array_join(F.transform(kept, lambda t: F.lpad(F.hex(t - OFFSET), 2, "0")), " ")
+    # EF starts a sequence wherever it stands, so valid U+FFFD can be cut out before the others
+    parts = F.split(hx, "EF BF BD")
     # binary → string does not validate; make_valid_utf8 marks each bad sequence with U+FFFD
-    text = F.make_valid_utf8(F.unhex(hx).cast("string"))
-    return F.replace(text, F.lit("�"), F.lit(""))
-
-
-def decode_ids_sql(ids: str) -> str:
-    hx = f"array_to_string(list_transform(list_filter({ids}, lambda t_: t_ >= {OFFSET} AND t_ < 256), lambda t_: lpad(hex(t_ - {OFFSET}), 2, '0')), '')"
-    return f"replace(decode(unhex({hx})), chr(65533), '')"
-
-
-def byte_prefix_sql(e: str, max_len: int = MAX_LEN) -> str:
-    """The text an id sequence decodes to: the longest prefix of at most ``max_len - 1`` bytes
-    (a character cut by the truncation is dropped). Computed from the text itself."""
-    keep = max_len - 1
-    head = f"left(coalesce({e}, ''), {keep})"
-    k = f"len(list_filter(range(1, length({head}) + 1), lambda k_: octet_length(encode(left({head}, k_))) <= {keep}))"
-    return f"left({head}, {k})"
+    text = F.transform(parts, lambda p: F.replace(
+        F.make_valid_utf8(F.unhex(F.replace(p, F.lit(" "), F.lit(""))).cast("string")), F.lit("\ufffd"), F.lit("")))
+    return F.array_join(text, "\ufffd")

@@ -18,12 +18,11 @@ from .rules import Chain, Dead, Expr, Regex
 # ---------------------------------------------------------------------------------------------
 # Bracket pairs whose bracketed integers are unwrapped, in order.
 BRACKETS = [("(", ")"), ("[", "]"), ("˹", "˺"), ("⌈", "⌋"), ("「", "」"), ("⸢", "⸣")]
-# "Month"/"month" + Roman numeral → Arabic, tried in this order.
+# "Month"/"month" + Roman numeral → Arabic.
 ROMAN_MONTHS = {
     "I": "1", "II": "2", "III": "3", "IV": "4", "V": "5", "VI": "6",
     "VII": "7", "VIII": "8", "IX": "9", "X": "10", "XI": "11", "XII": "12",
 }
-ROMAN_ORDER = ["VIII", "XII", "VII", "III", "XI", "IX", "VI", "IV", "II", "X", "V", "I"]
 # Written fractions → Unicode fraction characters, applied in this order.
 FRACTION_TEXT = [
     ("1", "6", "⅙"), ("1", "4", "¼"), ("1", "3", "⅓"), ("1", "2", "½"),
@@ -97,10 +96,11 @@ def _add_once(c: Column) -> Column:
 
 
 def add_fixed_point(c: Column) -> Column:
-    """Each pass that changes the text consumes at least one '+', so ``count('+')`` passes reach
-    the fixed point; later passes are no-ops (and skip the split: no match)."""
-    k = F.regexp_count(c, F.lit("\\+"))
-    return F.aggregate(F.array_repeat(F.lit(0), k.cast("int")), c, lambda acc, _: _add_once(acc))
+    """Every pass adds the numbers on both sides of each second '+' of a chain, so a chain of n signs
+    needs log2(n) + 1 passes. Only signs between digits count; a text without one takes no pass."""
+    k = F.regexp_count(c, F.lit(f"{DIGIT}{S}*\\+(?={S}*{DIGIT})"))
+    passes = F.when(k > 0, F.ceil(F.log2(k.cast("double"))) + 1).otherwise(0).cast("int")
+    return F.aggregate(F.array_repeat(F.lit(0), passes), c, lambda acc, _: _add_once(acc))
 
 
 def add_fixed_point_sql(e: str) -> str:
@@ -211,7 +211,7 @@ def number_chain(live_brackets: str = "()[]˹˺⌈⌋「」⸢⸣", months: bool
             else Dead(f"F02.{i}", f"unwrap {o}n{c}: brackets removed earlier")
         )
     rules.append(Expr("F03", "a+b to a fixed point", stage=True, fn=add_fixed_point, fn_sql=add_fixed_point_sql))
-    for roman in ROMAN_ORDER:
+    for roman in ROMAN_MONTHS:  # each pattern ends at a word boundary, so the order does not matter
         rid = f"F05.{roman}"
         if not months:
             rules.append(Dead(rid, "Month → Montḫ earlier"))

@@ -26,8 +26,10 @@ def param_value_sql(url: str, param: str) -> str:
 
 
 def unquote(c: Column) -> Column:
-    """Percent-decoding that keeps '+' (Python ``unquote``); malformed escapes keep the text."""
-    return F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
+    """Percent-decoding that keeps '+' (Python ``unquote``): valid escapes are decoded, a '%' that starts
+    none stays."""
+    plain = F.regexp_replace(F.replace(c, F.lit("+"), F.lit("%2B")), "%(?![0-9A-Fa-f]{2})", "%25")
+    return F.coalesce(F.try_url_decode(plain), c)
 
 
 def unquote_sql(e: str) -> str:

@@ -77,10 +77,9 @@ def ngram_rows(df: DataFrame, row_id: str, hyp: str, ref: str) -> DataFrame:
     return grams.select("_rid", "x.*")
 
 
-def bleu_stats(df: DataFrame, row_id: str, hyp: str, ref: str, num_partitions: int | None = None) -> DataFrame:
+def bleu_stats(df: DataFrame, row_id: str, hyp: str, ref: str) -> DataFrame:
     """One row: sys_len, ref_len, match_1..4, total_1..4."""
-    n_parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    base = df.select(row_id, hyp, ref).repartition(n_parts, row_id)
+    base = df.select(row_id, hyp, ref).repartition(row_id)
     grams = ngram_rows(base, row_id, hyp, ref)
     per_gram = grams.groupBy("_rid", "n", "g").agg(F.sum("h").alias("h"), F.sum("r").alias("r"))
     per_n = per_gram.groupBy("n").agg(
@@ -118,7 +117,11 @@ def bleu_from_stats(stats: DataFrame) -> DataFrame:
     c = F.col
     precisions = []
     smooth = F.lit(1.0)
-    alive = F.lit(True)
+    # a corpus without any match scores 0: there is nothing to smooth
+    matched = F.lit(False)
+    for n in range(1, MAX_ORDER + 1):
+        matched = matched | (c(f"match_{n}") > 0)
+    alive = matched
     for n in range(1, MAX_ORDER + 1):
         m, t = c(f"match_{n}").cast("double"), c(f"total_{n}").cast("double")
         alive = alive & (t > 0)
@@ -138,7 +141,7 @@ def bleu_from_stats(stats: DataFrame) -> DataFrame:
 
 def bleu_from_stats_sql(stats_sql: str) -> str:
     smooth = "1.0"
-    alive = "TRUE"
+    alive = "(" + " OR ".join(f"match_{n} > 0" for n in range(1, MAX_ORDER + 1)) + ")"
     ps = []
     for n in range(1, MAX_ORDER + 1):
         m, t = f"match_{n}::DOUBLE", f"total_{n}::DOUBLE"

@@ -1,18 +1,21 @@
 """Batch scoring through a pluggable predictor.
 
 The model is not part of the engine: any ``predict(texts: list[str]) -> list[str]`` runs inside
-``mapInPandas`` on Arrow batches (``spark.sql.execution.arrow.maxRecordsPerBatch`` rows each).
-Blank inputs never reach the predictor; they get '' and keep their key, so results are joined to
-their rows by key, never by position.
+``mapInArrow`` on batches (``spark.sql.execution.arrow.maxRecordsPerBatch`` rows each). Blank
+inputs never reach the predictor; they get ''. The package is sent to the workers first, so a
+session can be started from any folder.
 """
 
 from __future__ import annotations
 
 from typing import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import ship_package
 
 Predictor = Callable[[list], list]
 
@@ -22,20 +25,24 @@ def reverse_words(texts: list) -> list:
     return [" ".join(reversed(t.split())) for t in texts]
 
 
-def predict(df: DataFrame, predictor: Predictor, key: str, text: str, out: str = "predicted_translation") -> DataFrame:
-    """(key, out): ``out`` = predictor(text) for non-blank texts, '' for blank/NULL ones."""
+def predict(df: DataFrame, predictor: Predictor, text: str, out: str = "predicted_translation") -> DataFrame:
+    """df plus ``out`` = predictor(text) for non-blank texts, '' for blank/NULL ones. All columns
+    travel with their row, so no join back is needed. An existing ``out`` is replaced."""
+    ship_package(df.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b[text].fillna("").astype(str)
-            mask = texts.str.strip() != ""
-            res = pd.Series([""] * len(b), index=b.index, dtype=object)
-            if mask.any():
-                res[mask] = predictor(texts[mask].tolist())
-            yield pd.DataFrame({key: b[key], out: res})
+            texts = [t or "" for t in b.column(at).to_pylist()]
+            full = [i for i, t in enumerate(texts) if t.strip()]
+            res = [""] * len(texts)
+            for i, r in zip(full, predictor([texts[i] for i in full]) if full else [], strict=True):
+                res[i] = r
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(res, pa.string())], names=[*b.schema.names, out])
 
-    key_type = df.schema[key].dataType.simpleString()
-    return df.select(key, text).mapInPandas(run, f"{key} {key_type}, {out} string")
+    rows = df.drop(out)
+    at = rows.columns.index(text)
+    fields = [T.StructField(f.name, f.dataType, True) for f in rows.schema.fields]
+    return rows.mapInArrow(run, T.StructType([*fields, T.StructField(out, T.StringType())]))
 
 
 def prediction_summary(pred: DataFrame, out: str = "predicted_translation") -> DataFrame:
@@ -43,8 +50,8 @@ def prediction_summary(pred: DataFrame, out: str = "predicted_translation") -> D
     return pred.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.length(F.col(out)) > 0).alias("non_empty"))
 
 
-def segment_table(pairs: DataFrame, pred: DataFrame, key: str) -> DataFrame:
+def segment_table(pairs: DataFrame, pred: DataFrame, keys: list[str]) -> DataFrame:
     """Input, target and prediction side by side, joined by key (never by position)."""
-    return pairs.join(pred, key, "left").select(
-        key, "input_text", "target_text", F.coalesce(F.col("predicted_translation"), F.lit("")).alias("predicted_translation")
+    return pairs.join(pred, keys, "left").select(
+        *keys, "input_text", "target_text", F.coalesce(F.col("predicted_translation"), F.lit("")).alias("predicted_translation")
     )

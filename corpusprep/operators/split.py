@@ -4,8 +4,8 @@
 ``max(1, int(0.1 * n))`` rows are validation, the rest train. The shuffle is a hash order
 (md5 of seed and row key), and the cut is found without sorting the data or funnelling it
 through one task: a histogram over the top 16 hash bits, then over the next 16 bits inside the
-bucket that holds the cut, then the handful of rows of that sub-bucket. Each step reads the
-(checkpointed) input once and brings at most 65,536 counts to the driver.
+bucket that holds the cut, then the counts of the few keys of that sub-bucket. Each step reads the
+key columns only and brings at most 65,536 counts to the driver.
 
 ``split_group`` keeps every row of a group (e.g. a document) on one side: threshold on the
 hash of the group key (no leak between sides; counts are approximate by design).
@@ -13,11 +13,10 @@ hash of the group key (no leak between sides; counts are approximate by design).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.tokens import py_strip, py_strip_sql
-from ..session import cut_lineage
 
 SEED = 42
 VALIDATION_SHARE = 0.1
@@ -69,26 +68,40 @@ def _pick(hist: dict[int, int], rank: int) -> tuple[int, int]:
     raise ValueError("rank beyond the data")
 
 
-def split_exact(df: DataFrame, key: Column, seed: int = SEED, share: float = VALIDATION_SHARE,
-                checkpoint: bool = True) -> DataFrame:
-    """Adds ``split`` ('validation' | 'train'). ``key`` must identify a row uniquely."""
-    hashed = df.withColumn("_h", order_hash(key, seed)).withColumn("_k", key)
-    if checkpoint:
-        hashed = cut_lineage(hashed)
+def split_exact(df: DataFrame, key: Column, seed: int = SEED, share: float = VALIDATION_SHARE) -> DataFrame:
+    """Adds ``split`` ('validation' | 'train').
+
+    The cut value comes from histograms over the keys alone; rows then pass through with one
+    comparison. Rows that share the cut key beyond the exact size are told apart by their other
+    columns, and rows equal in all columns by their number.
+    """
+    h, k = order_hash(F.coalesce(key, F.lit("")), seed), F.coalesce(key, F.lit(""))
+    keys = df.select(h.alias("_h"), k.alias("_k"))
     hex_digits = LEVEL_BITS // 4
     b1 = _bits(F.col("_h"), 1, hex_digits)
     b2 = _bits(F.col("_h"), 1 + hex_digits, hex_digits)
-    hist1 = _histogram(hashed, b1)
-    n = sum(hist1.values())
-    n_val = validation_size(n, share)
+    hist1 = _histogram(keys, b1)
+    n_val = validation_size(sum(hist1.values()), share)
     if n_val == 0:
-        return hashed.withColumn("split", F.lit("train")).drop("_h", "_k")
+        return df.withColumn("split", F.lit("train"))
     top, r1 = _pick(hist1, n_val)
-    inside = hashed.filter(b1 == top)
+    inside = keys.filter(b1 == top)
     sub, r2 = _pick(_histogram(inside, b2), r1)
-    last = inside.filter(b2 == sub).select("_h", "_k").orderBy("_h", "_k").collect()[r2 - 1]
-    cut = (F.col("_h") < F.lit(last["_h"])) | ((F.col("_h") == F.lit(last["_h"])) & (F.col("_k") <= F.lit(last["_k"])))
-    return hashed.withColumn("split", F.when(cut, F.lit("validation")).otherwise(F.lit("train"))).drop("_h", "_k")
+    # distinct keys of one 2^-32 share of the hash range, with their counts
+    last = inside.filter(b2 == sub).groupBy("_h", "_k").count().orderBy("_h", "_k").collect()
+    at, need = _pick(dict(enumerate(r["count"] for r in last)), r2)
+    cut = last[at]
+    same = (h == cut["_h"]) & (k == cut["_k"])
+    first = (h < cut["_h"]) | ((h == cut["_h"]) & (k <= cut["_k"]))
+    named = lambda c: F.when(c, F.lit("validation")).otherwise(F.lit("train"))
+    if need == cut["count"]:
+        return df.withColumn("split", named(first))
+    tied = df.filter(same).groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n")).withColumn("_r", F.xxhash64(*df.columns))
+    order = Window.partitionBy(F.lit(0)).orderBy("_r", *df.columns).rowsBetween(Window.unboundedPreceding, -1)
+    tied = tied.withColumn("_before", F.coalesce(F.sum("_n").over(order), F.lit(0).cast("long")))
+    tied = tied.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
+    tied = tied.select(*df.columns, named(F.col("_before") + F.col("_i") <= need).alias("split"))
+    return df.filter(~same).withColumn("split", named(first)).unionByName(tied)
 
 
 def split_exact_sql(base_sql: str, key_sql: str, seed: int = SEED, share: float = VALIDATION_SHARE) -> str:

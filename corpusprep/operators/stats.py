@@ -6,20 +6,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bytetok import MAX_LEN
+from ..functions.tokens import py_strip, py_strip_sql
+
+PERCENTILES = (50, 95)
 
 
 def length_stats(df: DataFrame, group: str, cols: list[str], max_len: int = MAX_LEN) -> DataFrame:
-    """Per group and text column: rows, non-blank rows, char/byte sums and maxima, and rows whose
-    UTF-8 length exceeds ``max_len - 1`` bytes (they are truncated by the byte tokeniser)."""
+    """Per group and text column: rows, non-blank rows, char/byte sums, averages, maxima and exact
+    percentiles (their state is one counter per distinct length), and rows whose UTF-8 length exceeds ``max_len - 1`` bytes (they are truncated by the byte tokeniser)."""
     aggs = [F.count(F.lit(1)).alias("rows")]
     for c in cols:
         b = F.octet_length(F.coalesce(F.col(c), F.lit("")))
         aggs += [
-            F.count_if(F.length(F.trim(F.coalesce(F.col(c), F.lit("")))) > 0).alias(f"{c}_non_blank"),
+            F.count_if(py_strip(F.coalesce(F.col(c), F.lit(""))) != "").alias(f"{c}_non_blank"),
             F.sum(F.length(F.coalesce(F.col(c), F.lit("")))).cast("long").alias(f"{c}_chars"),
             F.max(F.length(F.coalesce(F.col(c), F.lit("")))).alias(f"{c}_max_chars"),
             F.sum(b).cast("long").alias(f"{c}_bytes"),
             F.max(b).alias(f"{c}_max_bytes"),
+            F.avg(b).alias(f"{c}_avg_bytes"),
+            *[F.percentile(b, p / 100).alias(f"{c}_p{p}_bytes") for p in PERCENTILES],
             F.count_if(b > max_len - 1).alias(f"{c}_truncated"),
         ]
     return df.groupBy(group).agg(*aggs)
@@ -30,11 +35,13 @@ def length_stats_sql(base_sql: str, group: str, cols: list[str], max_len: int =
     for c in cols:
         v = f"coalesce({c}, '')"
         parts += [
-            f"count(*) FILTER (WHERE length(trim({v})) > 0) AS {c}_non_blank",
+            f"count(*) FILTER (WHERE {py_strip_sql(v)} <> '') AS {c}_non_blank",
             f"CAST(sum(length({v})) AS BIGINT) AS {c}_chars",
             f"CAST(max(length({v})) AS INTEGER) AS {c}_max_chars",
             f"CAST(sum(octet_length(encode({v}))) AS BIGINT) AS {c}_bytes",
             f"CAST(max(octet_length(encode({v}))) AS INTEGER) AS {c}_max_bytes",
+            f"avg(octet_length(encode({v}))) AS {c}_avg_bytes",
+            *[f"quantile_cont(octet_length(encode({v})), {p / 100}) AS {c}_p{p}_bytes" for p in PERCENTILES],
             f"count(*) FILTER (WHERE octet_length(encode({v})) > {max_len - 1}) AS {c}_truncated",
         ]
     return f"SELECT {group}, {', '.join(parts)} FROM ({base_sql}) GROUP BY {group}"

@@ -61,11 +61,11 @@ def dictionary_build(spark: SparkSession, sf: str) -> DataFrame:
 _CLEAN_DOCS_SQL = SOURCE.sql_select(D.documents_sql(), "transliteration", "oare_id", "transliteration_clean")
 
 
-@register("annotate", DI.annotate_sql(_CLEAN_DOCS_SQL, DICTIONARY_SQL, ["oare_id"], "transliteration_clean"))
+@register("annotate", DI.annotate_sql(_CLEAN_DOCS_SQL, DICTIONARY_SQL, "transliteration_clean"))
 def annotate(spark: SparkSession, sf: str) -> DataFrame:
     """Minimum slice: damaged documents → chain A → tokens → dictionary join → glossed text."""
     clean = clean_source(spark, sf)
-    return DI.annotate(clean, dictionary(spark, sf), ["oare_id"], "transliteration_clean")
+    return DI.annotate(clean, dictionary(spark, sf), "transliteration_clean")
 
 
 # ---------------------------------------------------------------------------------------------
@@ -112,12 +112,12 @@ def unaligned_docs(spark: SparkSession, sf: str) -> DataFrame:
 
 def _clean_train_sql() -> str:
     rows = f"""
-SELECT oare_id, sentence_uuid, transliteration AS _src, translation AS _tgt, 0 AS _kind, sord AS _ord FROM ({_FALLBACK_OUT_SQL})
+SELECT oare_id, sentence_uuid, transliteration AS _src, translation AS _tgt FROM ({_FALLBACK_OUT_SQL})
 UNION ALL
-SELECT oare_id, NULL AS sentence_uuid, transliteration AS _src, translation AS _tgt, 1 AS _kind, doc_ordinal AS _ord FROM ({_UNALIGNED_SQL})"""
-    a = SOURCE.sql_select(rows, "_src", "oare_id, sentence_uuid, _tgt, _kind, _ord", "transliteration")
-    e = TARGET.sql_select(a, "_tgt", "oare_id, sentence_uuid, transliteration, _kind, _ord", "translation")
-    ann = DI.annotate_sql(e, DICTIONARY_SQL, ["_kind", "_ord"], "transliteration")
+SELECT oare_id, NULL AS sentence_uuid, transliteration AS _src, translation AS _tgt FROM ({_UNALIGNED_SQL})"""
+    a = SOURCE.sql_select(rows, "_src", "oare_id, sentence_uuid, _tgt", "transliteration")
+    e = TARGET.sql_select(a, "_tgt", "oare_id, sentence_uuid, transliteration", "translation")
+    ann = DI.annotate_sql(e, DICTIONARY_SQL, "transliteration")
     return f"SELECT oare_id, sentence_uuid, transliteration, transliteration_with_annotations, translation FROM ({ann})"
 
 
@@ -132,7 +132,7 @@ def clean_train(spark: SparkSession, sf: str) -> DataFrame:
 def _clean_test_sql() -> str:
     a = SOURCE.sql_select(D.test_documents_sql(), "transliteration",
                           "id, text_id, line_start, line_end, transliteration", "transliteration_clean")
-    return DI.annotate_sql(a, DICTIONARY_SQL, ["id"], "transliteration_clean")
+    return DI.annotate_sql(a, DICTIONARY_SQL, "transliteration_clean")
 
 
 @register("clean_test", _clean_test_sql())
@@ -247,11 +247,11 @@ def byte_length_stats(spark: SparkSession, sf: str) -> DataFrame:
     return ST.length_stats(split_exact(spark, sf), "split", ["input_text", "target_text"])
 
 
-@register("byte_roundtrip", f"SELECT oare_id, {BT.byte_prefix_sql('translation')} AS decoded FROM ({D.documents_sql()})")
+@register("byte_roundtrip", f"SELECT oare_id, coalesce(translation, '') AS decoded FROM ({D.documents_sql()})")
 def byte_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """decode(encode(x)) on every document translation (cut at 511 bytes)."""
+    """decode(encode(x)) is x for every whole document translation."""
     d = D.documents(spark, sf)
-    return d.select("oare_id", BT.decode_ids(BT.byte_ids(F.col("translation"))).alias("decoded"))
+    return d.select("oare_id", BT.decode_ids(BT.byte_ids(F.col("translation"), max_len=None)).alias("decoded"))
 
 
 # ---------------------------------------------------------------------------------------------
@@ -285,24 +285,24 @@ def bleu_score(spark: SparkSession, sf: str) -> DataFrame:
 from ..functions.tokens import py_strip_sql as _pss  # noqa: E402
 from ..operators import scoring as SC  # noqa: E402
 
-_PRED_INPUT_SQL = ("SELECT conv_id * 1000 + turn AS row_key, CASE WHEN role = 'user' THEN text ELSE '' END AS text "
-                   "FROM conversations")
+# a small share of the turns is blank
+_PRED_INPUT_SQL = "SELECT conv_id, turn, CASE WHEN (conv_id + turn) % 61 = 0 THEN ' ' ELSE text END AS text FROM conversations"
 _BLANK_TEXT_SQL = _pss("coalesce(text, '')")
-_PRED_SQL = (f"SELECT row_key, CASE WHEN {_BLANK_TEXT_SQL} = '' THEN '' "
+_PRED_SQL = (f"SELECT conv_id, turn, CASE WHEN {_BLANK_TEXT_SQL} = '' THEN '' "
              f"ELSE array_to_string(list_reverse({split_ws_sql('text')}), ' ') END AS predicted_translation "
              f"FROM ({_PRED_INPUT_SQL})")
 
 
 def _pred_input(spark: SparkSession, sf: str) -> DataFrame:
     c = D.read_table(spark, sf, "conversations")
-    return c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("row_key"),
-                    F.when(F.col("role") == "user", F.col("text")).otherwise(F.lit("")).alias("text"))
+    blank = (F.col("conv_id") + F.col("turn")) % 61 == 0
+    return c.select("conv_id", "turn", F.when(blank, F.lit(" ")).otherwise(F.col("text")).alias("text"))
 
 
 @register("predict_blank_passthrough", _PRED_SQL)
 def predict_blank_passthrough(spark: SparkSession, sf: str) -> DataFrame:
-    """Blank inputs skip the predictor and get ''; rows keep their key."""
-    return SC.predict(_pred_input(spark, sf), SC.reverse_words, "row_key", "text")
+    """Blank inputs skip the predictor and get ''; rows keep their columns."""
+    return SC.predict(_pred_input(spark, sf), SC.reverse_words, "text").drop("text")
 
 
 @register("prediction_summary", f"SELECT count(*) AS rows, count(*) FILTER (WHERE length(predicted_translation) > 0) AS non_empty FROM ({_PRED_SQL})")
@@ -311,13 +311,11 @@ def prediction_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("segment_table", f"""
-SELECT p.row_key, p.input_text, p.target_text, coalesce(q.predicted_translation, '') AS predicted_translation
-FROM (SELECT conv_id * 1000 + turn AS row_key, input_text, target_text FROM ({_PAIRS_SQL})) p
-LEFT JOIN ({_PRED_SQL}) q ON p.row_key = q.row_key""")
+SELECT p.conv_id, p.turn, p.input_text, p.target_text, coalesce(q.predicted_translation, '') AS predicted_translation
+FROM ({_PAIRS_SQL}) p LEFT JOIN ({_PRED_SQL}) q ON p.conv_id = q.conv_id AND p.turn = q.turn""")
 def segment_table(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs with the prediction made for their input turn, joined by key."""
-    pairs = _pairs(spark, sf).select((F.col("conv_id") * 1000 + F.col("turn")).alias("row_key"), "input_text", "target_text")
-    return SC.segment_table(pairs, predict_blank_passthrough(spark, sf), "row_key")
+    return SC.segment_table(_pairs(spark, sf), predict_blank_passthrough(spark, sf), ["conv_id", "turn"])
 
 
 # ---------------------------------------------------------------------------------------------
@@ -393,7 +391,7 @@ SELECT oare_id, 1 AS sentence_no, transliteration AS raw_transliteration, transl
 FROM ({docs}) d WHERE NOT EXISTS (SELECT 1 FROM ({al}) a WHERE a.oare_id = d.oare_id)"""
     a = SOURCE.sql_select(rows, "raw_transliteration", "oare_id, sentence_no, raw_transliteration, raw_translation", "clean_transliteration")
     e = TARGET.sql_select(a, "raw_translation", "oare_id, sentence_no, raw_transliteration, raw_translation, clean_transliteration", "clean_translation")
-    return DI.annotate_sql(e, DICTIONARY_SQL, ["oare_id", "sentence_no"], "clean_transliteration", out="annotated_transliteration")
+    return DI.annotate_sql(e, DICTIONARY_SQL, "clean_transliteration", out="annotated_transliteration")
 
 
 @register("qa_sample", _qa_sql())

@@ -31,17 +31,14 @@ SENTENCE_COLUMNS = ["text_uuid", "sentence_uuid", "first_word_number", "translat
 
 def build_corpus(spark: SparkSession, train_csv: str, sentences_csv: str, definitions_csv: str,
                  test_csv: str | None, out_dir: str) -> None:
-    docs = R.ensure_columns(R.read_csv_strings(spark, train_csv), DOC_COLUMNS)
-    docs = docs.select(*DOC_COLUMNS, F.monotonically_increasing_id().alias("doc_ordinal"))
-    sents = R.read_csv_strings(spark, sentences_csv).select(
-        *SENTENCE_COLUMNS, F.monotonically_increasing_id().alias("sent_ordinal"))
+    docs = R.ensure_columns(R.read_csv_strings(spark, train_csv, ordinal="doc_ordinal"), DOC_COLUMNS)
+    docs = docs.select(*DOC_COLUMNS, "doc_ordinal")
+    sents = R.read_csv_strings(spark, sentences_csv, ordinal="sent_ordinal").select(*SENTENCE_COLUMNS, "sent_ordinal")
     dictionary = DI.build_dictionary(R.read_definitions_csv(spark, definitions_csv))
     train = AL.build_clean_train(docs, sents, dictionary)
     W.write_csv(train, f"{out_dir}/train_clean")
     if test_csv:
-        test = R.read_csv_strings(spark, test_csv)
-        key = "id" if "id" in test.columns else test.columns[0]
-        W.write_csv(AL.build_clean_test(test, dictionary, key=key), f"{out_dir}/test_clean")
+        W.write_csv(AL.build_clean_test(R.read_csv_strings(spark, test_csv), dictionary), f"{out_dir}/test_clean")
 
 
 def build_definitions(spark: SparkSession, lexicon_csv: str, payloads: DataFrame, out_dir: str,
@@ -77,8 +74,7 @@ def tokenize_splits(spark: SparkSession, split_dir: str, out_dir: str) -> None:
 
 
 def score(df: DataFrame, key: str, text: str, predictor, out_path: str) -> None:
-    pred = SC.predict(df, predictor, key, text)
-    W.write_csv(df.select(key, text).join(pred, key, "left"), out_path, quote_all=True)
+    W.write_csv(SC.predict(df.select(key, text), predictor, text), out_path, quote_all=True)
 
 
 def evaluate(df: DataFrame, key: str, hyp: str, ref: str) -> DataFrame:

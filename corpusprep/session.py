@@ -1,4 +1,4 @@
-"""Session helpers: local sessions for tests/bench, checkpoint folder, size-checked broadcast."""
+"""Session helpers: local sessions for tests/bench, the shared folder, shipping the package."""
 
 from __future__ import annotations
 
@@ -8,10 +8,6 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Dictionaries and other "small side" tables are broadcast only below this many rows.
-DEFAULT_BROADCAST_ROWS = 2_000_000
 
 # Per driver process: the scratch folder of local sessions, the application that has the package.
 _SCRATCH: dict[str, str] = {}
@@ -77,36 +73,12 @@ def ship_package(spark: SparkSession) -> None:
     _SCRATCH["shipped"] = app
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """Bounded probe: reads at most max_rows+1 rows, never the whole table."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Broadcast df only when its row count is proven below max_rows."""
-    if is_small(df, max_rows):
-        return F.broadcast(df), True
-    return df, False
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin rows over the cluster when a scan yields fewer partitions than cores.
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin rows over the cluster when the scan has fewer partitions than there are cores.
 
     Text cleaning is CPU-bound per row. A large input already arrives in many splits and is left
-    alone (no shuffle); a small file with a single row group would otherwise run in one task.
+    alone (no shuffle); a small file with a single row group would otherwise run in one task. Only
+    the number of tasks depends on this, never the rows.
     """
-    try:
-        sc = df.sparkSession.sparkContext
-        target = min_partitions or sc.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. Spark Connect has no RDD API: leave the plan as is
-        return df
-    if current >= target:
-        return df
-    return df.repartition(target)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -6,14 +6,15 @@ these adapters derive the same shapes with Spark, so every query's work grows wi
 
 =============  =============================================================================
 documents      ``oare_id`` = doc_id, ``transliteration`` = text + deterministic damage that
-               exercises the cleaning rules, ``translation`` = first line + damage (NULL for
-               every fifth id)
-sentences      one row per text line of documents not in Spanish: word number of the line's
-               first word (running token count, computed in-row - no shuffle); short lines get
-               no number and no translation; some numbers tie, some are 0 or non-numeric
+               exercises the cleaning rules, ``translation`` = whole text + damage (NULL for a
+               small share of the ids)
+sentences      one row per text line with a token: word number of the line's first word (running
+               token count, computed in-row - no shuffle); a small share of the documents has no
+               rows, a small share of the lines no number or no translation; some numbers tie,
+               some are 0 or non-numeric
 definitions    benchmark words; a bounded definition text from the items that use the word
 lexicon        pages: row type ('PN' for spam hosts, 'word' for https, ' word ' padded
-               otherwise), a form (host label) and the page URL
+               otherwise), a form (language and page number of the URL's path) and the page URL
 payloads       one JSON array of ``{"meaning": ...}`` per page URL, built from the page HTML
 pairs          conversations: a user turn and the assistant turn that follows it
 =============  =============================================================================
@@ -34,6 +35,9 @@ TABLES = [
 ]
 
 # Fixed values of the synthetic damage (ours, not the reference's).
+NO_TRANSLATION = 53  # ids divisible by it have no translation
+UNALIGNED = 41  # ids with remainder 7 have no sentences
+UNNUMBERED = 397  # lines whose id + 31 * position is divisible by it have no number and no translation
 ROMAN = ["I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX", "X", "XI", "XII"]
 
 
@@ -86,12 +90,11 @@ def target_damage_sql(text: str, i: str) -> str:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
-    first_line = F.substring_index(d.text, "\n", 1)
     return d.select(
         d.doc_id.cast("string").alias("oare_id"),
         source_damage(d.text, d.doc_id).alias("transliteration"),
-        F.when(d.doc_id % 5 == 0, F.lit(None).cast("string"))
-        .otherwise(target_damage(first_line, d.doc_id))
+        F.when(d.doc_id % NO_TRANSLATION == 0, F.lit(None).cast("string"))
+        .otherwise(target_damage(d.text, d.doc_id))
         .alias("translation"),
         "lang",
         d.doc_id.alias("doc_ordinal"),
@@ -99,10 +102,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents_sql() -> str:
-    first_line = "split_part(text, chr(10), 1)"
     return (
         f"SELECT CAST(doc_id AS VARCHAR) AS oare_id, {source_damage_sql('text', 'doc_id')} AS transliteration, "
-        f"CASE WHEN doc_id % 5 = 0 THEN NULL ELSE {target_damage_sql(first_line, 'doc_id')} END AS translation, "
+        f"CASE WHEN doc_id % {NO_TRANSLATION} = 0 THEN NULL ELSE {target_damage_sql('text', 'doc_id')} END AS translation, "
         f"lang, doc_id AS doc_ordinal FROM documents"
     )
 
@@ -110,13 +112,18 @@ def documents_sql() -> str:
 # ---------------------------------------------------------------------------------------------
 # sentences
 # ---------------------------------------------------------------------------------------------
-MIN_NUMBERED_TOKENS = 3
-LINE_STRIDE = 1_000_000
+def _line_key(doc_id: Column, pos: Column) -> Column:
+    """Composite key of a line: positions have up to ten digits, so keys never meet."""
+    return F.concat(doc_id.cast("string"), F.lit("-"), F.lpad(pos.cast("string"), 10, "0"))
+
+
+def _line_key_sql(doc_id: str, pos: str) -> str:
+    return f"(CAST({doc_id} AS VARCHAR) || '-' || lpad(CAST({pos} AS VARCHAR), 10, '0'))"
 
 
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line starts computed inside the row (prefix sums with ``aggregate``): no shuffle."""
-    d = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang").filter(F.col("lang") != "es"))
+    d = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text").filter(F.col("doc_id") % UNALIGNED != 7))
     lines = F.split(d.text, "\n")
     counts = F.transform(lines, lambda l: F.size(split_ws(l)))
     prefix = F.aggregate(
@@ -125,50 +132,54 @@ def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     prefix = F.slice(prefix, 1, F.size(lines))
     x = d.select("doc_id", F.posexplode(F.arrays_zip(lines.alias("line"), counts.alias("n"), prefix.alias("start"))))
     x = x.select("doc_id", F.col("pos"), F.col("col.line").alias("line"), F.col("col.n").alias("n"), F.col("col.start").alias("start"))
+    x = x.filter(F.col("n") > 0)
     i = x.doc_id
+    bare = (i + x.pos * 31) % UNNUMBERED == 0
     start = (
         F.when((i % 13 == 0) & (x.pos == 0), F.lit("0"))
         .when((i % 17 == 0) & (x.pos == 0), F.lit("n/a"))
-        .when((i % 11 == 0) & (x.pos == 1), F.lit("1"))  # ties with the first line
-        .when(x.n < MIN_NUMBERED_TOKENS, F.lit(None).cast("string"))
+        .when((i % 101 == 0) & (x.pos == 1), F.lit("1"))  # ties with the first line
+        .when(bare, F.lit(None).cast("string"))
         .otherwise(x.start.cast("string"))
     )
     return x.select(
         x.doc_id.cast("string").alias("text_uuid"),
-        F.concat(x.doc_id.cast("string"), F.lit("-"), F.lpad(x.pos.cast("string"), 4, "0")).alias("sentence_uuid"),
+        _line_key(x.doc_id, x.pos).alias("sentence_uuid"),
         start.alias("first_word_number"),
-        F.when(x.n < MIN_NUMBERED_TOKENS, F.lit(None).cast("string")).otherwise(x.line).alias("translation"),
-        (x.doc_id * LINE_STRIDE + x.pos).alias("sent_ordinal"),
+        F.when(bare, F.lit(None).cast("string")).otherwise(x.line).alias("translation"),
+        x.pos.cast("long").alias("sent_ordinal"),
     )
 
 
 def sentences_sql() -> str:
+    bare = f"(doc_id + pos * 31) % {UNNUMBERED} = 0"
     return f"""
 SELECT CAST(doc_id AS VARCHAR) AS text_uuid,
-       CAST(doc_id AS VARCHAR) || '-' || lpad(CAST(pos AS VARCHAR), 4, '0') AS sentence_uuid,
+       {_line_key_sql('doc_id', 'pos')} AS sentence_uuid,
        CASE WHEN doc_id % 13 = 0 AND pos = 0 THEN '0'
             WHEN doc_id % 17 = 0 AND pos = 0 THEN 'n/a'
-            WHEN doc_id % 11 = 0 AND pos = 1 THEN '1'
-            WHEN n < {MIN_NUMBERED_TOKENS} THEN NULL
+            WHEN doc_id % 101 = 0 AND pos = 1 THEN '1'
+            WHEN {bare} THEN NULL
             ELSE CAST(1 + coalesce(sum(n) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS VARCHAR) END
          AS first_word_number,
-       CASE WHEN n < {MIN_NUMBERED_TOKENS} THEN NULL ELSE line END AS translation,
-       doc_id * {LINE_STRIDE} + pos AS sent_ordinal
+       CASE WHEN {bare} THEN NULL ELSE line END AS translation,
+       CAST(pos AS BIGINT) AS sent_ordinal
 FROM (SELECT doc_id, line, pos - 1 AS pos, len({split_ws_sql('line')}) AS n
       FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
                    generate_subscripts(string_split(text, chr(10)), 1) AS pos
-            FROM documents WHERE lang <> 'es'))"""
+            FROM documents WHERE doc_id % {UNALIGNED} <> 7))
+WHERE n > 0"""
 
 
 # ---------------------------------------------------------------------------------------------
-# test documents (T3): lines of the Spanish documents (the ones without sentence rows)
+# test documents (T3): the lines of all documents
 # ---------------------------------------------------------------------------------------------
 def test_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang").filter(F.col("lang") == "es"))
+    d = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     x = d.select("doc_id", F.posexplode(F.split(d.text, "\n")).alias("pos", "line"))
     n = F.size(split_ws(x.line))
     return x.select(
-        (x.doc_id * LINE_STRIDE + x.pos).cast("string").alias("id"),
+        _line_key(x.doc_id, x.pos).alias("id"),
         x.doc_id.cast("string").alias("text_id"),
         (x.pos + 1).cast("string").alias("line_start"),
         (x.pos + n).cast("string").alias("line_end"),
@@ -179,18 +190,18 @@ def test_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def test_documents_sql() -> str:
     dmg = source_damage_sql("line", "(doc_id + pos)")
     return f"""
-SELECT CAST(doc_id * {LINE_STRIDE} + pos AS VARCHAR) AS id, CAST(doc_id AS VARCHAR) AS text_id,
+SELECT {_line_key_sql('doc_id', 'pos')} AS id, CAST(doc_id AS VARCHAR) AS text_id,
        CAST(pos + 1 AS VARCHAR) AS line_start, CAST(pos + len({split_ws_sql('line')}) AS VARCHAR) AS line_end,
        {dmg} AS transliteration
 FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
              generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos
-      FROM documents WHERE lang = 'es')"""
+      FROM documents)"""
 
 
 # ---------------------------------------------------------------------------------------------
 # definitions (T5): word, definition, ordinal (file order)
 # ---------------------------------------------------------------------------------------------
-ORDINAL_STRIDE = 1_000_000
+ORDINAL_STRIDE = 2**32  # positions in an array are below 2^31, so ordinals never meet
 
 
 def _definition(n: Column, lo: Column, hi: Column, word: Column) -> Column:
@@ -241,8 +252,8 @@ SELECT word, {d} AS definition, ordinal FROM (
 # ---------------------------------------------------------------------------------------------
 # lexicon (T4) and payloads (T14) from pages
 # ---------------------------------------------------------------------------------------------
-HOST_LABEL = r"://(?:www\.|m\.|blog\.)?([^./]+)"
-URL_PARAM = "utm_source="
+PAGE_FORM = r"://[^/]+/([a-z]+/[0-9]+)"
+URL_PARAM = "ref="
 
 
 def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,7 +261,7 @@ def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(
         F.when(p.url.contains("spam"), F.lit("PN")).when(p.url.startswith("https"), F.lit("word"))
         .otherwise(F.lit(" word ")).alias("row_type"),
-        F.concat(F.lit(" "), F.regexp_extract(p.url, HOST_LABEL, 1)).alias("form"),
+        F.concat(F.lit(" "), F.regexp_extract(p.url, PAGE_FORM, 1)).alias("form"),
         F.concat(p.url, F.lit(" ")).alias("url"),
         p.page_id.alias("ordinal"),
     )
@@ -259,7 +270,7 @@ def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lexicon_sql() -> str:
     return (
         "SELECT CASE WHEN contains(url, 'spam') THEN 'PN' WHEN starts_with(url, 'https') THEN 'word' ELSE ' word ' END AS row_type, "
-        f"' ' || regexp_extract(url, {q(HOST_LABEL)}, 1) AS form, url || ' ' AS url, page_id AS ordinal FROM pages"
+        f"' ' || regexp_extract(url, {q(PAGE_FORM)}, 1) AS form, url || ' ' AS url, page_id AS ordinal FROM pages"
     )
 
 

@@ -3,7 +3,7 @@ lexicon CSV, dictionary CSV, JSONL pair splits, and the optional-column guard.""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -20,16 +20,31 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def read_csv_strings(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+# The cells that the public dataframe reader takes as missing by default.
+MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+           "NULL", "NaN", "None", "n/a", "nan", "null")
+
+
+def file_order() -> Column:
+    """Position of a row in its input: file, split of the file, row within the split. Rows of several
+    files sort as the files' names do, however Spark packs them into tasks."""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("row"))
+
+
+def read_csv_strings(spark: SparkSession, path: str, missing: tuple[str, ...] = MISSING, multi_line: bool = True,
+                     ordinal: str | None = None) -> DataFrame:
     """Header row, quoted multi-line fields, every column a string (no inference).
 
-    With ``columns`` the schema is fixed up front (no header pass); otherwise the header names
-    the columns and all of them stay strings.
+    Columns bind by the header's names; files whose headers differ are an error. Cells in
+    ``missing`` become NULL, quoted or not. ``multi_line=False`` lets Spark split large files, for
+    inputs without line breaks inside quotes; with it, one file is one task. ``ordinal`` adds file_order().
     """
-    r = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
-    if columns:
-        r = r.schema(_strings(columns))
-    return r.csv(path)
+    r = spark.read.option("header", True).option("multiLine", multi_line).option("quote", '"').option("escape", '"')
+    df = r.option("enforceSchema", False).csv(path)
+    names = df.columns
+    cells = [F.when(~F.col(f"`{c}`").isin(*missing), F.col(f"`{c}`")).alias(c) if missing else F.col(f"`{c}`") for c in names]
+    return df.select(*cells, *([file_order().alias(ordinal)] if ordinal else []))
 
 
 def read_csv_typed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -37,28 +52,26 @@ def read_csv_typed(spark: SparkSession, path: str, schema: StructType) -> DataFr
     return spark.read.option("header", True).option("multiLine", True).option("escape", '"').schema(schema).csv(path)
 
 
-def read_lexicon_csv(spark: SparkSession, path: str, min_fields: int = 5, width: int = 8) -> DataFrame:
+def read_lexicon_csv(spark: SparkSession, path: str, min_fields: int = 5, width: int = 8, multi_line: bool = True) -> DataFrame:
     """S3: positional rows without usable headers; rows with fewer than ``min_fields`` fields are
     skipped (Spark pads short rows with NULL, so a NULL in field ``min_fields - 1`` means short).
     Returns (row_type, form, url, ordinal): fields 0, 1 and 4 plus the row's file position."""
     schema = _strings([f"_c{i}" for i in range(width)])
-    raw = spark.read.option("header", False).option("mode", "PERMISSIVE").option("escape", '"').schema(schema).csv(path)
-    raw = raw.filter(F.col(f"_c{min_fields - 1}").isNotNull())
+    raw = (spark.read.option("header", False).option("mode", "PERMISSIVE").option("escape", '"')
+           .option("multiLine", multi_line).schema(schema).csv(path))
     return raw.select(
-        F.col("_c0").alias("row_type"), F.col("_c1").alias("form"), F.col("_c4").alias("url"),
-        F.monotonically_increasing_id().alias("ordinal"),
-    )
+        F.col("_c0").alias("row_type"), F.col("_c1").alias("form"), F.col("_c4").alias("url"), file_order().alias("ordinal"),
+        F.col(f"_c{min_fields - 1}").isNotNull().alias("_full"),
+    ).filter("_full").drop("_full")
 
 
 def read_definitions_csv(spark: SparkSession, path: str) -> DataFrame:
-    """S4 + S7: (word, definition, ordinal); rows without a word are skipped; a missing file is an
-    empty dictionary."""
-    schema = _strings(["word", "raw_url", "api_url", "definition"])
+    """S4 + S7: (word, definition, ordinal) by the header's names; rows without a word are skipped;
+    a missing file is an empty dictionary, a missing column is empty."""
     if not _exists(spark, path):
-        return spark.createDataFrame([], "word string, definition string, ordinal long")
-    d = read_csv_strings(spark, path, ["word", "raw_url", "api_url", "definition"])
-    d = d.select("word", "definition", F.monotonically_increasing_id().alias("ordinal"))
-    return d.filter(F.col("word").isNotNull() & (py_strip(F.col("word")) != ""))
+        return spark.createDataFrame([], "word string, definition string, ordinal struct<file:string,block:bigint,row:bigint>")
+    d = ensure_columns(read_csv_strings(spark, path, missing=(), ordinal="ordinal"), ["word", "definition"])
+    return d.select("word", "definition", "ordinal").filter(F.col("word").isNotNull() & (py_strip(F.col("word")) != ""))
 
 
 PAIR_SCHEMA = _strings(["input_text", "target_text"])

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, quote_all: bool = False, mode: str = "overwrite") -> None:
-    """K1/K2: header row, '"' quoting with '"' escaping (RFC 4180), optionally every field quoted."""
+    """K1/K2: header row, '"' quoting with '"' escaping (RFC 4180), optionally every field quoted.
+    Spaces at the ends of a value are part of it."""
     (df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
-     .option("quoteAll", quote_all).option("emptyValue", "").csv(path))
+     .option("quoteAll", quote_all).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).option("emptyValue", "").csv(path))
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:

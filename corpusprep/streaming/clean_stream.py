@@ -3,8 +3,8 @@
 The reference is batch-only; its row rules are stateless, so they run unchanged on a stream.
 Annotation needs a per-row re-assembly (an aggregate), so it runs per micro-batch through
 ``foreachBatch``, where each batch is an ordinary DataFrame and the dictionary a broadcast side.
-Exactly-once output comes from the sink's batch id (idempotent ``mode('append')`` per batch
-directory) and the checkpoint location of the query.
+Exactly-once output comes from the sink's batch id (each batch overwrites its own directory) and
+the checkpoint location of the query.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ def clean_stream(stream: DataFrame, source_col: str | None = "transliteration",
     return out
 
 
-def start_cleaning(spark: SparkSession, input_dir: str, schema: StructType, key: str, dictionary: DataFrame,
+def start_cleaning(spark: SparkSession, input_dir: str, schema: StructType, dictionary: DataFrame,
                    output_dir: str, checkpoint_dir: str, fmt: str = "parquet",
                    available_now: bool = True) -> StreamingQuery:
     """File stream in ``input_dir`` → chains → glosses per micro-batch → Parquet in ``output_dir``."""
@@ -36,7 +36,7 @@ def start_cleaning(spark: SparkSession, input_dir: str, schema: StructType, key:
     cleaned = clean_stream(stream)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        annotated = DI.annotate(batch, dictionary, [key], "transliteration_clean")
+        annotated = DI.annotate(batch, dictionary, "transliteration_clean")
         annotated.write.mode("overwrite").parquet(f"{output_dir}/batch={batch_id}")
 
     w = cleaned.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)

@@ -1,24 +1,30 @@
 """Plain-Python corpus BLEU written from the papers, used only to cross-check the Spark plan."""
 
 import math
+import re
+from collections import Counter
 
-from corpusprep.operators.bleu import HTML_ENTITIES, MAX_ORDER, TOKENIZE_13A
-
-
-import re  # noqa: E402
-from collections import Counter  # noqa: E402
+MAX_ORDER = 4
 
 
 def corpus_bleu_local(hyps: list[str], refs: list[str]) -> float:
     """Tiny pure-Python scorer used only by tests to cross-check the Spark plan on fixtures."""
     def tok(s: str) -> list[str]:
         s = s.replace("<skipped>", "").replace("-\n", "").replace("\n", " ")
-        for a, b in HTML_ENTITIES:
-            s = s.replace(a, b)
+        s = s.replace("&quot;", '"').replace("&amp;", "&").replace("&lt;", "<").replace("&gt;", ">")
+        out = ""
         s = f" {s} "
-        for pat, rep in TOKENIZE_13A:
-            s = re.sub(pat, rep.replace("$", "\\"), s)
-        return s.split()
+        for i, c in enumerate(s):
+            before, after = s[i - 1:i], s[i + 1:i + 2]
+            if c in ".,":
+                # a dot or comma stands alone unless digits are on both sides
+                alone = not (before.isdecimal() and after.isdecimal() and before.isascii() and after.isascii())
+            elif c == "-":
+                alone = before.isdecimal() and before.isascii()
+            else:
+                alone = c.isascii() and c.isprintable() and not c.isalnum() and c not in " '"
+            out += f" {c} " if alone else c
+        return out.split()
 
     match = [0] * MAX_ORDER
     total = [0] * MAX_ORDER
@@ -32,6 +38,8 @@ def corpus_bleu_local(hyps: list[str], refs: list[str]) -> float:
             cr = Counter(tuple(tr[i:i + n]) for i in range(len(tr) - n + 1))
             match[n - 1] += sum(min(v, cr[g]) for g, v in ch.items())
             total[n - 1] += sum(ch.values())
+    if not any(match):
+        return 0.0
     smooth, logs = 1.0, []
     alive = True
     for n in range(MAX_ORDER):

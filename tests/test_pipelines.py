@@ -68,6 +68,78 @@ def test_lexicon_reader_and_definitions(spark, tmp_path):
                                      "definition": "father"}]
 
 
+def test_definitions_bind_by_header_name(spark, tmp_path):
+    for name, text in (("a", "definition,word\n\"to, for\",a-na\n"), ("b", "word,definition\na-na,to\nNA,none\n,blank\n"), ("c", "word\nx\n")):
+        (tmp_path / f"{name}.csv").write_text(text, encoding="utf-8")
+    read = lambda n: [(r.word, r.definition) for r in R.read_definitions_csv(spark, str(tmp_path / f"{n}.csv")).collect()]
+    assert read("a") == [("a-na", "to, for")]
+    assert read("b") == [("a-na", "to"), ("NA", "none")]
+    assert read("c") == [("x", "")]
+
+
+def test_rows_keep_the_order_of_their_files(spark, tmp_path):
+    """Spark packs larger files first; ordinals follow the names of the files and the rows in them."""
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    (folder / "a.csv").write_text("word,definition\nw,first\n")
+    (folder / "b.csv").write_text("word,definition\n" + "".join(f"w{i},{'x' * 50}\n" for i in range(3000)) + "w,second\n")
+    (folder / "c.csv").write_text("word,definition\nw,last\n")
+    from corpusprep.operators import dictionary as DI
+
+    d = {r.key: r.definition for r in DI.build_dictionary(R.read_definitions_csv(spark, str(folder))).collect()}
+    assert d["w"] == "last" and len(d) == 3001
+    rows = R.read_csv_strings(spark, str(folder), ordinal="o").orderBy("o").collect()
+    assert [rows[0].definition, rows[-2].definition, rows[-1].definition] == ["first", "second", "last"]
+
+
+def test_missing_cells_are_a_parameter(spark, tmp_path):
+    p = _csv(tmp_path / "m.csv", [("NA", "n/a"), ("x", "null"), ("", "None")], ["a", "b"])
+    assert [tuple(r) for r in R.read_csv_strings(spark, p).collect()] == [(None, None), ("x", None), (None, None)]
+    assert [tuple(r) for r in R.read_csv_strings(spark, p, missing=()).collect()] == [("NA", "n/a"), ("x", "null"), (None, "None")]
+    assert R.read_csv_strings(spark, p, multi_line=False).count() == 3
+
+
+def test_quoted_line_break_in_lexicon(spark, tmp_path):
+    p = tmp_path / "lex.csv"
+    p.write_text('word,"a\nbu",,,https://d/x?word=abu\nword,b,,,u\n', encoding="utf-8")
+    assert [(r.form, r.url) for r in R.read_lexicon_csv(spark, str(p)).collect()] == [("a\nbu", "https://d/x?word=abu"), ("b", "u")]
+
+
+def test_written_values_keep_their_spaces(spark, tmp_path):
+    from corpusprep.sources import writers as W
+
+    rows = [(" a b ", "\tx"), ("  ", 'q"q')]
+    W.write_csv(spark.createDataFrame(rows, "a string, b string").coalesce(1), str(tmp_path / "w"))
+    assert sorted(map(tuple, _read_csv_dir(str(tmp_path / "w")).values.tolist())) == sorted(rows)
+    assert sorted(tuple(r) for r in R.read_csv_strings(spark, str(tmp_path / "w"), missing=()).collect()) == sorted(rows)
+
+
+def test_typed_csv(spark, tmp_path):
+    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+
+    p = _csv(tmp_path / "t.csv", [("a", 1), ("b", 2)], ["k", "n"])
+    schema = StructType([StructField("k", StringType()), StructField("n", IntegerType())])
+    assert [tuple(r) for r in R.read_csv_typed(spark, p, schema).collect()] == [("a", 1), ("b", 2)]
+
+
+def test_scoring_from_another_folder(tmp_path):
+    """The workers get the package from the driver: no path has to be set for them."""
+    import subprocess
+    import sys
+
+    code = """
+import sys
+sys.path.insert(0, %r)
+from corpusprep.session import local_session
+from corpusprep.operators import scoring as SC
+s = local_session(2)
+df = s.createDataFrame([(1, "a b")], "k long, t string")
+print("RESULT", SC.predict(df, SC.reverse_words, "t").collect()[0].predicted_translation)
+""" % os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=200)
+    assert "RESULT b a" in out.stdout, out.stderr[-2000:]
+
+
 def test_missing_definitions_file_is_empty(spark, tmp_path):
     assert R.read_definitions_csv(spark, str(tmp_path / "nope.csv")).count() == 0
 
@@ -86,7 +158,7 @@ def test_streaming_cleaning(spark, tmp_path):
     from corpusprep.operators import dictionary as DI
     dct = DI.build_dictionary(spark.createDataFrame([("a-na", "to", 1)], "word string, definition string, ordinal long"))
     schema = spark.read.parquet(str(src / "part1")).schema
-    q = CS.start_cleaning(spark, str(src / "part1"), schema, "oare_id", dct, str(tmp_path / "out"), str(tmp_path / "ckpt"))
+    q = CS.start_cleaning(spark, str(src / "part1"), schema, dct, str(tmp_path / "out"), str(tmp_path / "ckpt"))
     q.awaitTermination(120)
     out = {r.oare_id: (r.transliteration_clean, r.transliteration_with_annotations, r.translation_clean)
            for r in spark.read.parquet(str(tmp_path / "out")).collect()}

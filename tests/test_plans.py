@@ -4,6 +4,7 @@ dictionary is broadcast, the exact split never sorts the data globally."""
 import pytest
 
 import __spark_entry__ as E
+from corpusprep.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -16,15 +17,15 @@ def test_filters_and_columns_reach_the_scan(spark):
     p = plan(spark, "scan_filter_pairs")
     assert "PushedFilters: [IsNotNull(role), EqualTo(role,user)" in p
     p = plan(spark, "align_sentences")
-    assert "Not(EqualTo(lang,es))" in p and "ReadSchema: struct<doc_id:bigint>" in p
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in p and "lang" not in p
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_row_at_a_time_python(spark, name):
     p = plan(spark, name)
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
-    if name != "predict_blank_passthrough" and name not in ("prediction_summary", "segment_table"):
-        assert "MapInPandas" not in p
+    if name not in ("predict_blank_passthrough", "prediction_summary", "segment_table"):
+        assert "MapInPandas" not in p and "MapInArrow" not in p
 
 
 def test_annotation_broadcasts_dictionary(spark):

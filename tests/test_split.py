@@ -13,6 +13,27 @@ def test_exact_counts(spark, n, expected):
     assert (c.train_rows, c.validation_rows) == expected
 
 
+def test_equal_keys_are_split_exactly(spark):
+    same = spark.createDataFrame([("k", "t")] * 100, "k string, t string")
+    c = SP.split_counts(SP.split_exact(same, F.col("k"))).collect()[0]
+    assert (c.train_rows, c.validation_rows) == (90, 10)
+    mixed = spark.createDataFrame([("k" if i % 3 else None, f"t{i % 7}") for i in range(1000)], "k string, t string")
+    out = SP.split_exact(mixed, F.col("k"))
+    c = SP.split_counts(out).collect()[0]
+    assert (c.train_rows, c.validation_rows) == (900, 100)
+    assert sorted(map(repr, out.drop("split").collect())) == sorted(map(repr, mixed.collect()))
+
+
+def test_histograms_read_keys_only(spark, tmp_path):
+    """The texts are not read while the cut is looked for: a plan of the histogram has the key alone."""
+    spark.range(50).select(F.col("id").cast("string").alias("k"), F.lit("long text").alias("t")).write.parquet(str(tmp_path / "x"))
+    df = spark.read.parquet(str(tmp_path / "x"))
+    plan = df.select(SP.order_hash(F.col("k")).alias("_h")).groupBy(SP._bits(F.col("_h"), 1, 4)).count()._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<k:string>" in plan
+    out = SP.split_exact(df, F.col("k"))
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_same_split_for_any_partitioning(spark):
     df = spark.range(3000).select(F.col("id").cast("string").alias("k"))
     a = {r.k: r.split for r in SP.split_exact(df.repartition(3), F.col("k")).collect()}
