@@ -11,10 +11,12 @@ word joiner (U+2060) after its bracket than it has; reading back takes one away.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import saved
+from corpusprep.llm.common import forget, saved
 
 JOINER = "⁠"
 LEARNED = "assistant"
@@ -41,23 +43,26 @@ def conversation_tree(rows: DataFrame) -> DataFrame:
 
 def _levels(slim: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     """Jump tables (tree, node, up) for distances 1, 2, 4, ..., and (tree, node, depth, total) of every
-    node: the length of its path from the root and the sum of the scores on it."""
-    state = slim.select("tree", "node", "parent", "score")
-    has = state.select(F.col("tree").alias("t2"), F.col("node").alias("n2"))
+    node: the length of its path from the root and the sum of the scores on it.
+
+    Only nodes that have not reached their root are joined again, so a few deep trees cost a few rows a level.
+    """
+    has = slim.select(F.col("tree").alias("t2"), F.col("node").alias("n2"))
     state = saved(
-        state.join(has, F.col("tree").eqNullSafe(F.col("t2")) & (F.col("parent") == F.col("n2")) & (F.col("parent") < F.col("node")), "left")
+        slim.join(has, F.col("tree").eqNullSafe(F.col("t2")) & (F.col("parent") == F.col("n2")) & (F.col("parent") < F.col("node")), "left")
         .select("tree", "node", F.col("n2").alias("up"), F.lit(1).cast("long").alias("depth"), F.col("score").alias("total")), "chat-up")
-    jumps = []
+    jumps, ended = [], []
     while True:
-        open_ = state.filter("up IS NOT NULL")
-        if open_.isEmpty():
-            return jumps, state.select("tree", "node", "depth", "total")
-        jumps.append(open_.select("tree", "node", "up"))
-        above = state.select(F.col("tree").alias("t2"), F.col("node").alias("n2"), F.col("up").alias("up2"), F.col("depth").alias("d2"), F.col("total").alias("s2"))
+        still, ends = state.filter("up IS NOT NULL"), state.filter("up IS NULL").drop("up")
+        ended.append(ends)
+        if still.isEmpty():
+            return jumps, functools.reduce(DataFrame.unionAll, ended)
+        jumps.append(still.select("tree", "node", "up"))
+        known = functools.reduce(DataFrame.unionAll, [x.withColumn("up", F.lit(None).cast("long")) for x in ended], still.select("tree", "node", "depth", "total", "up"))
+        above = known.select(F.col("tree").alias("t2"), F.col("node").alias("n2"), F.col("up").alias("up2"), F.col("depth").alias("d2"), F.col("total").alias("s2"))
         state = saved(
-            state.join(above, F.col("tree").eqNullSafe(F.col("t2")) & (F.col("up") == F.col("n2")), "left")
-            .select("tree", "node", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"),
-                    (F.col("total") + F.coalesce("s2", F.lit(0.0))).alias("total")), "chat-up")
+            still.join(above, F.col("tree").eqNullSafe(F.col("t2")) & (F.col("up") == F.col("n2")))
+            .select("tree", "node", F.col("up2").alias("up"), (F.col("depth") + F.col("d2")).alias("depth"), (F.col("total") + F.col("s2")).alias("total")), "chat-up")
 
 
 def reply_paths(messages: DataFrame, top: int = 1) -> DataFrame:
@@ -80,7 +85,9 @@ def reply_paths(messages: DataFrame, top: int = 1) -> DataFrame:
         step = jump.select(F.col("tree").alias("t2"), F.col("node").alias("n2"), "up")
         more = paths.join(step, F.col("tree").eqNullSafe(F.col("t2")) & (F.col("node") == F.col("n2"))).select(
             "tree", "leaf", "rank", F.col("up").alias("node"), (F.col("back") + 2**k).alias("back"))
-        paths = saved(paths.unionAll(more), "chat-path")
+        longer = saved(paths.unionAll(more), "chat-path")
+        forget(paths)
+        paths = longer
     return paths
 
 

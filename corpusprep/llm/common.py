@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusprep.session import shared_dir, ship_package
 
-ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -36,7 +37,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = work_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _FOLDERS[out] = path
+    return out
+
+
+def forget(df: DataFrame) -> None:
+    """Delete the files of a table made by saved(), once nothing reads it any more."""
+    path = _FOLDERS.pop(df, None)
+    if path:
+        drop_dir(df.sparkSession, path)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -5,18 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import saved
+from corpusprep.llm.common import forget, saved
 
 
 def _roots(links: DataFrame) -> DataFrame:
     """Each node points to its smallest neighbour or itself; pointers are doubled until they rest."""
     both = links.select("u", "v").unionAll(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     ptr = saved(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("p")), "cc-ptr")
+    old = ptr
     while True:
         up = ptr.select(F.col("u").alias("p"), F.col("p").alias("pp"))
-        ptr = saved(
+        new = saved(
             ptr.join(up, "p").select("u", F.col("pp").alias("p"), (F.col("pp") != F.col("p")).alias("moved")), "cc-ptr"
         )
+        forget(old)
+        ptr = old = new
         if ptr.filter("moved").isEmpty():
             return ptr.select("u", "p")
         ptr = ptr.select("u", "p")
@@ -46,8 +49,10 @@ def connected_components(links: DataFrame) -> DataFrame:
                 nodes.join(step, "root", "left").select("node", F.coalesce("next", "root").alias("root")), "cc-nodes"
             )
         a, b = root.select("u", F.col("p").alias("pu")), root.select(F.col("u").alias("v"), F.col("p").alias("pv"))
-        links = saved(
+        fewer = saved(
             links.join(a, "u").join(b, "v").filter("pu != pv")
             .select(F.least("pu", "pv").alias("u"), F.greatest("pu", "pv").alias("v")).distinct(),
             "cc-links",
         )
+        forget(links)
+        links = fewer
