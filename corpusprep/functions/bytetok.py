@@ -10,23 +10,46 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PAD, EOS, UNK, OFFSET = 0, 1, 2, 3
+PAD, EOS, UNK, OFFSET, FIRST_EXTRA = 0, 1, 2, 3, 259
+# The strings of the special tokens: pad, eos, unk and 125 extra ids.
+SPECIAL = "<pad>|</s>|<unk>|<extra_id_(?:[0-9]|[1-9][0-9]|1[01][0-9]|12[0-4])>"
 MAX_LEN = 512
 
 
+def _bytes(raw: Column) -> Column:
+    """Ids of a binary value: two hex digits per byte; the lambda only sees its own element."""
+    return F.transform(F.regexp_extract_all(F.hex(raw), F.lit(".."), 0), lambda h: F.conv(h, 16, 10).cast("int") + OFFSET)
+
+
+def _special_id(token: Column) -> Column:
+    return (F.when(token == "<pad>", PAD).when(token == "</s>", EOS).when(token == "<unk>", UNK)
+            .otherwise(F.regexp_extract(token, "([0-9]+)", 1).cast("int") + FIRST_EXTRA).cast("int"))
+
+
 def byte_ids(text: Column, max_len: int | None = MAX_LEN) -> Column:
-    """UTF-8 bytes + 3, truncated to ``max_len - 1``, then eos, then pad to ``max_len`` (None: the
-    whole text, no padding)."""
-    raw = F.encode(F.coalesce(text, F.lit("")), "UTF-8")
+    """UTF-8 bytes + 3 with special-token strings as their own ids, truncated to ``max_len - 1``, then
+    eos (unless the text ends with it), then pad to ``max_len`` (None: the whole text, no padding)."""
+    t = F.coalesce(text, F.lit(""))
+    raw = F.encode(t, "UTF-8")
+    parts, tokens = F.split(t, SPECIAL, -1), F.regexp_extract_all(t, F.lit(SPECIAL), 0)
+    mixed = F.flatten(F.transform(parts, lambda x, i: F.concat(
+        _bytes(F.encode(x, "UTF-8")),
+        F.when(i < F.size(tokens), F.array(_special_id(F.get(tokens, i)))).otherwise(F.array().cast("array<int>")))))
     if max_len is None:
-        ids = F.transform(F.regexp_extract_all(F.hex(raw), F.lit(".."), 0), lambda h: F.conv(h, 16, 10).cast("int") + OFFSET)
-        return F.concat(ids, F.array(F.lit(EOS)))
+        ids = F.when(t.rlike(SPECIAL), mixed).otherwise(_bytes(raw))
+        return F.when(F.get(ids, F.size(ids) - 1) == EOS, ids).otherwise(F.concat(ids, F.array(F.lit(EOS))))
     keep = max_len - 1
-    hx = F.hex(F.substring(raw, 1, keep))
-    # two hex digits per byte; the lambda only sees its own element (no per-element recompute)
-    ids = F.transform(F.regexp_extract_all(hx, F.lit(".."), 0), lambda h: F.conv(h, 16, 10).cast("int") + OFFSET)
-    pad = F.array_repeat(F.lit(PAD), (F.lit(keep) - F.length(hx) / 2).cast("int"))
-    return F.concat(ids, F.array(F.lit(EOS)), pad)
+    plain = _bytes(F.substring(raw, 1, keep))  # without specials only the first bytes are looked at
+
+    def closed(ids: Column) -> Column:
+        pad = F.array_repeat(F.lit(PAD), F.lit(keep) - F.size(ids))
+        return F.concat(ids, F.array(F.lit(EOS)), pad)
+
+    def special(ids: Column) -> Column:
+        body = F.when(F.get(ids, F.size(ids) - 1) == EOS, F.slice(ids, 1, F.size(ids) - 1)).otherwise(ids)
+        return closed(F.slice(body, 1, keep))
+
+    return F.when(t.rlike(SPECIAL), special(mixed)).otherwise(closed(plain))
 
 
 def attention_mask(ids: Column) -> Column:
@@ -34,7 +57,8 @@ def attention_mask(ids: Column) -> Column:
 
 
 def byte_ids_sql(e: str, max_len: int = MAX_LEN) -> str:
-    """DuckDB twin via hex text (bytes are read two hex digits at a time)."""
+    """DuckDB twin via hex text (bytes are read two hex digits at a time); for texts without
+    special-token strings."""
     keep = max_len - 1
     hx = f"left(hex(encode(coalesce({e}, ''))), {2 * keep})"
     ids = (f"list_transform(range(CAST(length({hx}) / 2 AS BIGINT)), "

@@ -156,13 +156,6 @@ class Chain:
             out[-1].append(r)
         return [s for s in out if s]
 
-    def column(self, c: Column) -> Column:
-        """Single nested expression; only valid when no rule needs a bound input."""
-        for r in self.live():
-            if r.stage and r is not self.live()[0]:
-                raise ValueError(f"rule {r.id} needs a bound input; use Chain.apply")
-            c = r.spark(c)
-        return c
 
     def apply(self, df: DataFrame, src: str, dst: str) -> DataFrame:
         """Add ``dst`` = chain(``src``) as one projection per stage."""

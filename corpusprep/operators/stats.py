@@ -45,3 +45,12 @@ def length_stats_sql(base_sql: str, group: str, cols: list[str], max_len: int =
             f"count(*) FILTER (WHERE octet_length(encode({v})) > {max_len - 1}) AS {c}_truncated",
         ]
     return f"SELECT {group}, {', '.join(parts)} FROM ({base_sql}) GROUP BY {group}"
+
+
+def previews(df: DataFrame, keep: list[str], lengths: dict[str, int]) -> DataFrame:
+    """The first characters of text columns, for reports (``<column>_preview``); NULL stays NULL."""
+    return df.select(*keep, *[F.left(F.col(c), F.lit(n)).alias(f"{c}_preview") for c, n in lengths.items()])
+
+
+def previews_sql(base_sql: str, keep: list[str], lengths: dict[str, int]) -> str:
+    return f"SELECT {', '.join([*keep, *(f'left({c}, {n}) AS {c}_preview' for c, n in lengths.items())])} FROM ({base_sql})"

@@ -247,6 +247,15 @@ def byte_length_stats(spark: SparkSession, sf: str) -> DataFrame:
     return ST.length_stats(split_exact(spark, sf), "split", ["input_text", "target_text"])
 
 
+_PREVIEWS = {"transliteration": 200, "translation": 100}
+
+
+@register("text_previews", ST.previews_sql(D.documents_sql(), ["oare_id"], _PREVIEWS))
+def text_previews(spark: SparkSession, sf: str) -> DataFrame:
+    """Heads of both texts of every document."""
+    return ST.previews(D.documents(spark, sf), ["oare_id"], _PREVIEWS)
+
+
 @register("byte_roundtrip", f"SELECT oare_id, coalesce(translation, '') AS decoded FROM ({D.documents_sql()})")
 def byte_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """decode(encode(x)) is x for every whole document translation."""

@@ -136,8 +136,8 @@ def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = x.doc_id
     bare = (i + x.pos * 31) % UNNUMBERED == 0
     start = (
-        F.when((i % 13 == 0) & (x.pos == 0), F.lit("0"))
-        .when((i % 17 == 0) & (x.pos == 0), F.lit("n/a"))
+        F.when((i % 43 == 0) & (x.pos == 0), F.lit("0"))
+        .when((i % 47 == 0) & (x.pos == 0), F.lit("n/a"))
         .when((i % 101 == 0) & (x.pos == 1), F.lit("1"))  # ties with the first line
         .when(bare, F.lit(None).cast("string"))
         .otherwise(x.start.cast("string"))
@@ -156,8 +156,8 @@ def sentences_sql() -> str:
     return f"""
 SELECT CAST(doc_id AS VARCHAR) AS text_uuid,
        {_line_key_sql('doc_id', 'pos')} AS sentence_uuid,
-       CASE WHEN doc_id % 13 = 0 AND pos = 0 THEN '0'
-            WHEN doc_id % 17 = 0 AND pos = 0 THEN 'n/a'
+       CASE WHEN doc_id % 43 = 0 AND pos = 0 THEN '0'
+            WHEN doc_id % 47 = 0 AND pos = 0 THEN 'n/a'
             WHEN doc_id % 101 = 0 AND pos = 1 THEN '1'
             WHEN {bare} THEN NULL
             ELSE CAST(1 + coalesce(sum(n) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS VARCHAR) END

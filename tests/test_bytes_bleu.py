@@ -17,6 +17,16 @@ def test_byte_ids(spark):
     assert empty[0] == 1 and len(empty) == 512
 
 
+def test_special_token_strings(spark):
+    texts = ["a</s>b<pad><unk><extra_id_0>é<extra_id_124>", "a</s>", "<extra_id_125>", "</s", "a" * 508 + "<extra_id_7><extra_id_8><extra_id_9>b"]
+    got = run_col(spark, BT.byte_ids, texts)
+    assert got[0][:11] == [100, 1, 101, 0, 2, 259, 198, 172, 383, 1, 0] and all(len(g) == 512 for g in got)
+    assert got[1][:3] == [100, 1, 0]
+    assert got[2][:3] == [b + 3 for b in b"<ex"] and got[3][:5] == [*(b + 3 for b in b"</s"), 1, 0]
+    assert got[4][507:] == [100, 266, 267, 268, 1]
+    assert run_col(spark, lambda c: BT.byte_ids(c, max_len=None), ["a<pad>", "</s>", "x"]) == [[100, 0, 1], [1], [123, 1]]
+
+
 @pytest.mark.parametrize("n", [510, 511, 512, 600])
 def test_truncation(spark, n):
     [ids] = run_col(spark, BT.byte_ids, ["a" * n])
