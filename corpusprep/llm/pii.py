@@ -36,7 +36,7 @@ _NUMBERS = re.compile(
     r"|(?P<ip>[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3})(?!\.?[0-9])"
     r"|(?P<date>[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9])"
     r"|(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])"
-    r"|(?P<phone>\+1[ .-]?\(?[2-9][0-9]{2}\)?[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}|\([2-9][0-9]{2}\)[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}|[2-9][0-9]{2}[.-][2-9][0-9]{2}[.-][0-9]{4})(?![0-9])"
+    r"|(?P<phone>\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])"
     r"|(?P<card>[0-9](?:[ -]?[0-9]){12,18})(?![0-9])"
     r")")
 
@@ -105,7 +105,7 @@ class Pseudonyms:
 
     def card(self, text: str) -> str | None:
         digits = [c for c in text if c.isdigit()]
-        if luhn(digits) or len(set(digits)) == 1:
+        if not 13 <= len(digits) <= 19 or luhn(digits) or len(set(digits)) == 1:
             return None
         body = "".join(digits[1:-1])
         new = digits[0] + self._mixed(body, f"card:{digits[0]}", [string.digits] * len(body))
@@ -157,10 +157,21 @@ class Pseudonyms:
         return f"{area + 1 + (area >= 665):03d}-{group + 1:02d}-{serial + 1:04d}"
 
     def phone(self, text: str) -> str | None:
-        digits = [c for c in text if c.isdigit()]
-        country, own = (digits[:1], digits[1:]) if text.startswith("+") else ([], digits)
+        """Numbers of the plan stay in the plan. One that is outside it counts only with its country
+        code, and gets another one outside."""
+        digits = "".join(c for c in text if c.isdigit())
+        country, own = (digits[:1], digits[1:]) if text.startswith("+") else ("", digits)
+        if own[0] in "01" or own[3] in "01":
+            if not country:
+                return None
+            new = own
+            while new == own or not (new[0] in "01" or new[3] in "01"):
+                new = self._mixed(new, "phone outside", [string.digits] * 10)
+                if new == own:
+                    break
+            return _refill(text, country + new)
         abc = ["23456789", string.digits, string.digits] * 2 + [string.digits] * 4
-        return _refill(text, "".join(country) + self._mixed("".join(own), "phone", abc))
+        return _refill(text, country + self._mixed(own, "phone", abc))
 
 
 def luhn(digits) -> int:
@@ -178,24 +189,47 @@ def _refill(shape: str, chars: str, apart: str = "") -> str:
     return "".join(c if (c in apart if apart else not c.isdigit()) else next(it) for c in shape)
 
 
-def find(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of candidates, not overlapping, in order; kinds still have to pass their check."""
-    out, at = [], text.find("@")
+def _mails(text: str):
+    """(start, end) of e-mail addresses, found from their @."""
+    at, stop = text.find("@"), 0
     while at >= 0:
-        start, stop = at, out[-1][1] if out else 0
-        while start > stop and at - start < 64 and text[start - 1] in _MAIL_CHARS:
+        start = at
+        while start > stop and at - start < 65 and text[start - 1] in _MAIL_CHARS:
             start -= 1
         m = _DOMAIN.match(text, at)
-        if m and start < at and not (at - start == 64 and start > stop and text[start - 1] in _MAIL_CHARS):
-            out.append((start, m.end(), "email"))
+        if m and 0 < at - start <= 64:
+            stop = m.end()
+            yield start, stop
         at = text.find("@", at + 1)
-    mails = [*out, (len(text) + 1, len(text) + 1, "")]
-    k = 0
-    for m in _NUMBERS.finditer(text):
+
+
+def _ends(m: re.Match) -> list[int]:
+    """Where a candidate may end: at its end, or, for kinds written in groups, before a later group."""
+    cuts = [m.start() + i for i, c in enumerate(m[0]) if c in " -"] if m.lastgroup in ("card", "iban") else []
+    return [m.end(), *reversed(cuts)]
+
+
+def replacements(text: str, names: Pseudonyms) -> list[tuple[int, int, str, str]]:
+    """(start, end, kind, pseudonym) of all values that pass their check, in order, not overlapping.
+
+    A candidate that fails its check does not hide values inside it: the search goes on behind its
+    first character."""
+    out = [(a, b, "email", new) for a, b in _mails(text) if (new := names.email(text[a:b])) is not None]
+    mails = [*((a, b) for a, b, _, _ in out), (len(text) + 1, len(text) + 1)]
+    k, m = 0, _NUMBERS.search(text)
+    while m:
         while mails[k][1] <= m.start():
             k += 1
-        if mails[k][0] >= m.end():
-            out.append((m.start(), m.end(), m.lastgroup))
+        after = m.start() + 1
+        if mails[k][0] < m.end():
+            after = max(after, mails[k][1])
+        else:
+            for end in _ends(m):
+                if (new := getattr(names, m.lastgroup)(text[m.start():end])) is not None:
+                    out.append((m.start(), end, m.lastgroup, new))
+                    after = end
+                    break
+        m = _NUMBERS.search(text, after)
     return sorted(out)
 
 
@@ -204,10 +238,7 @@ def pseudonymise(text: str | None, names: Pseudonyms) -> tuple[str | None, list[
     if not text:
         return text, []
     out, spans, at, size = [], [], 0, 0
-    for start, end, kind in find(text):
-        new = getattr(names, kind)(text[start:end])
-        if new is None:
-            continue
+    for start, end, kind, new in replacements(text, names):
         out += [text[at:start], new]
         size += start - at
         spans.append({"kind": kind, "start": size, "end": size + len(new)})
