@@ -89,7 +89,7 @@ def thresholds(stats: DataFrame, labels: DataFrame, alpha: float = 0.01, delta:
     """
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("label_id")).agg((F.min("quality") > 0).alias("good"))
     rows = stats.filter(~base_failed()).join(known, F.col("id") == F.col("label_id"))
-    holdout = F.crc32(F.concat(F.lit("holdout"), F.col("id").cast("string"))) % 2 == 1
+    holdout = F.conv(F.substring(F.md5(F.concat(F.lit("holdout"), F.col("id").cast("string"))), 1, 2), 16, 10).cast("int") % 2 == 1
     values = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), v.alias("value")) for r, v in zip(RULES, rule_values(), strict=True)])).alias("x")
     one = lambda c: F.sum(F.when(c, 1).otherwise(0))
     hist = rows.select("stratum", "good", holdout.alias("holdout"), values).groupBy("stratum", "x.rule", "x.value").agg(
@@ -98,12 +98,12 @@ def thresholds(stats: DataFrame, labels: DataFrame, alpha: float = 0.01, delta:
     pair = Window.partitionBy("stratum", "rule")
     above = pair.orderBy(F.desc("value")).rowsBetween(Window.unboundedPreceding, -1)
     tests = saved(hist, "quality-histogram")
-    m = tests.select("stratum").distinct().groupBy().agg((F.count(F.lit(1)) * len(RULES)).alias("m"))
+    m = tests.select("stratum").distinct().count() * len(RULES)
     cuts = tests.select(
         "stratum", "rule", "value", F.sum("n").over(pair).alias("n"), F.coalesce(F.sum("n").over(above), F.lit(0)).alias("k"),
         F.coalesce(F.sum(F.col("caught") - F.col("lost")).over(above), F.lit(0)).alias("gain"))
-    limit = cuts.select("stratum", "rule", "n").distinct().crossJoin(F.broadcast(m))  # one row: the number of tests
-    limit = limit.select("stratum", "rule", most_rejections(F.col("n"), alpha, F.lit(delta) / F.greatest("m", F.lit(1))).alias("k_max"))
+    limit = cuts.select("stratum", "rule", "n").distinct()
+    limit = limit.select("stratum", "rule", most_rejections(F.col("n"), alpha, F.lit(delta / max(1, m))).alias("k_max"))
     allowed = cuts.join(limit, ["stratum", "rule"]).filter("k <= k_max AND gain > 0")
     return allowed.groupBy("stratum", "rule").agg(F.max(F.struct("gain", "value")).alias("best")).select("stratum", "rule", F.col("best.value").alias("cutoff"))
 

@@ -34,3 +34,37 @@ def test_stage_columns(spark):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, sf).columns == docs.columns
+
+
+EDGE_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, rejected string, key string, _sha long, slot int, ids string, component string, c0 string"
+
+
+def edge_rows():
+    text = "the cat and the dog went over the hill to see the sea "
+    own = lambda i: " ".join(f"{w}{chr(97 + i % 26)}" for w in (text * 3).split()) + f" number {i}"
+    rows = [(i, own(i), "en", f"src{i % 3}", 1, "r", "k", i, i, "x", "y", "z") for i in range(40)]
+    rows += [rows[3], rows[3], (3, "another text with the id of three and the cat and the dog", "en", None, None, None, None, None, None, None, None, None)]
+    rows += [(None, own(50), None, None, None, *[None] * 7), (None, None, None, None, None, *[None] * 7), (60, "", "en", "src1", 0, *["a"] * 2, 1, 1, *["b"] * 3)]
+    rows += [(61, text * 20_000, "en", "src9", 5, *["a"] * 2, 1, 1, *["b"] * 3), (62, own(1).upper(), "en", "src0", 5, *["a"] * 2, 1, 1, *["b"] * 3)]
+    return rows
+
+
+def test_stages_on_edge_rows(spark):
+    """Nulls in every column, empty and very long texts, repeated rows and ids, clashing names."""
+    df = spark.createDataFrame(edge_rows(), EDGE_SCHEMA).repartition(3)
+    sizes = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, df, "").collect()
+        sizes[name] = len(out)
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert stage(spark, df, "").columns == df.columns
+    n = df.count()
+    assert sizes["byte-level BPE"] == sizes["mixing"] == n
+    assert sizes["exact dedup"] == n - 4  # two repeated rows, one copy in other case, null equals empty
+    assert sizes["language ID"] <= n - 2 and sizes["SimHash near-dedup"] <= sizes["exact dedup"]
+
+
+def test_stages_on_an_empty_table(spark):
+    df = spark.createDataFrame([], EDGE_SCHEMA)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, df, "").count() == 0
