@@ -3,7 +3,8 @@
 Texts become hashed byte 3-gram counts of the lower-cased text, log-scaled, weighted by inverse
 document frequency and normalised. Spherical k-means clusters the sample of every language into a few
 centroids. A text takes the language of the centroid with the largest cosine; it is rejected when it
-is farther from that centroid than the farthest training member, with some slack.
+is farther from that centroid than the farthest training member, with some slack. Short texts are far
+from all centroids in any language: their distance says nothing, so they are not rejected by it.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from corpusprep.llm.common import col, for_workers, private  # noqa: F401
 DIM = 4096
 MAX_LANGUAGES = 256
 NONE = "und"
+EVIDENCE = 150  # texts with fewer 3-grams are not rejected for their distance
 _LETTER = re.compile(r"[^\W\d_]")
 _PIECE = 1 << 22
 # ASCII letters are lower-cased, all other ASCII is a space: signs and digits tell no language
@@ -57,12 +59,13 @@ def weighted(tf: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return x / np.where(norm == 0, 1, norm)
 
 
-def kmeans(x: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
-    """Spherical k-means, started from points far from each other: centroids, members' labels."""
-    first = [int(np.argmax(x @ x.mean(axis=0)))]
-    while len(first) < min(k, len(x)):
-        first.append(int(np.argmin((x @ x[first].T).max(axis=1))))
-    c = x[first]
+def kmeans(x: np.ndarray, k: int, rounds: int = 12, least: float = 0.02) -> tuple[np.ndarray, np.ndarray]:
+    """Spherical k-means: centroids and members' labels. It starts from members at even quantiles of
+    the cosine to the mean, so no outlier becomes a cluster; clusters with less than ``least`` of the
+    members are given up."""
+    order = np.argsort(x @ x.mean(axis=0), kind="stable")
+    k = min(k, len(x))
+    c = x[order[((np.arange(k) + 0.5) * len(x) / k).astype(int)]]
     for _ in range(rounds):
         label = np.argmax(x @ c.T, axis=1)
         new = np.stack([x[label == j].mean(axis=0) if (label == j).any() else c[j] for j in range(len(c))])
@@ -70,6 +73,9 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarray, np.ndar
         if np.allclose(new, c, atol=1e-5):
             break
         c = new
+    label = np.argmax(x @ c.T, axis=1)
+    size = np.bincount(label, minlength=len(c))
+    c = c[size >= min(size.max(), least * len(x))]
     return c.astype(np.float32), np.argmax(x @ c.T, axis=1)
 
 
@@ -90,7 +96,9 @@ def _cluster(idf: np.ndarray, k: int, slack: float):
         x = weighted(tf, idf)
         c, label = kmeans(x, k)
         dist = 1 - (x * c[label]).sum(axis=1)
-        radius = [float(min(1.0, dist[label == j].max() * (1 + slack))) if (label == j).any() else 0.0 for j in range(len(c))]
+        told = tf.sum(axis=1) >= EVIDENCE  # only such texts can be rejected later
+        near = [dist[(label == j) & told] for j in range(len(c))]
+        radius = [float(min(1.0, d.max() * (1 + slack))) if len(d) else 1.0 for d in near]
         return pd.DataFrame({"lang": group["lang"].iloc[0], "part": range(len(c)), "centroid": [r.tobytes() for r in c], "radius": radius})
 
     return run
@@ -157,9 +165,10 @@ def _predict_batches(model: Model, text_at: int, step: int = 256):
                 best, cos = np.full(len(texts), len(model.langs)), np.zeros(len(texts))
                 far = np.ones(len(texts), dtype=bool)
                 if ok.any():
-                    sims = weighted(np.stack([counts(t) for t, o in zip(texts, ok, strict=True) if o]), model.idf) @ model.centroids.T
+                    tf = np.stack([counts(t) for t, o in zip(texts, ok, strict=True) if o])
+                    sims = weighted(tf, model.idf) @ model.centroids.T
                     best[ok], cos[ok] = np.argmax(sims, axis=1), np.clip(sims.max(axis=1), 0, 1)
-                    far[ok] = 1 - cos[ok] > model.radius[best[ok]] + 1e-6
+                    far[ok] = (1 - cos[ok] > model.radius[best[ok]] + 1e-6) & (tf.sum(axis=1) >= EVIDENCE)
                 pred += list(langs[best])
                 score += [round(float(c), 6) for c in cos]
                 rejected += far.tolist()
@@ -172,7 +181,8 @@ def _predict_batches(model: Model, text_at: int, step: int = 256):
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", names: tuple[str, str, str] = ("lang_pred", "score", "rejected")) -> DataFrame:
     """docs with the nearest language (``und`` for null, for texts without a letter and for an empty
-    model), its cosine (0 to 1) and whether the text is rejected (``und`` or too far)."""
+    model), its cosine (0 to 1) and whether the text is rejected (``und``, or too far with at least
+    EVIDENCE 3-grams)."""
     from pyspark.sql import types as T
 
     for_workers(docs.sparkSession)

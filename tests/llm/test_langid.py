@@ -18,15 +18,15 @@ def test_held_out_accuracy_and_rejection(spark):
 
 
 def test_edges(spark):
-    train = spark.createDataFrame([(i, "the cat sat on the mat and then", "en") for i in range(8)] + [(20 + i, "der hund und die katze sind hier", "de") for i in range(8)]
+    train = spark.createDataFrame([(i, "the cat sat on the mat and then " * 6, "en") for i in range(8)] + [(20 + i, "der hund und die katze sind hier " * 6, "de") for i in range(8)]
                                   + [(50, None, "en"), (51, "", "fr"), (52, "123", "fr"), (53, "no language here", None), (None, "the dog", "en")], "doc_id long, text string, lang string")
     model = langid.fit(train)
     assert set(model.langs) == {"en", "de"}
     docs = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (3, "12 ...", "x"), (4, "the cat and the mat", "x"), (5, "die katze und der hund", "x"), (5, "die katze und der hund", "x"),
-                                  (6, "zzzzqqqq xxxx", "x"), (None, "the cat " * 100_000, "x")], "doc_id long, text string, score string")
+                                  (6, "zzzzqqqq xxxx " * 20, "x"), (7, "zzqq", "x"), (None, "the cat " * 100_000, "x")], "doc_id long, text string, score string")
     rows = langid.predict(docs, model, names=("p", "s", "r")).collect()
-    assert [r["p"] for r in rows] == ["und", "und", "und", "en", "de", "de", rows[6]["p"], "en"]
-    assert [r["r"] for r in rows[:3]] == [True] * 3 and rows[6]["r"]
+    assert [r["p"] for r in rows] == ["und", "und", "und", "en", "de", "de", rows[6]["p"], rows[7]["p"], "en"]
+    assert [r["r"] for r in rows[:3]] == [True] * 3 and rows[6]["r"] and not rows[7]["r"]
     none = langid.fit(train.limit(0))
     assert {r["p"] for r in langid.predict(docs, none, names=("p", "s", "r")).collect()} == {"und"}
     assert langid.predict(docs.limit(0), model, names=("p", "s", "r")).count() == 0
