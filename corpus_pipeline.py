@@ -20,31 +20,33 @@ BPE_PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a letter and lies near a learned centroid."""
+    """Documents whose text has a letter and lies near a learned centroid. Null and empty texts go;
+    repeated rows stay repeated. Without labelled rows nothing can be accepted."""
     model = langid.fit(docs.filter(langid.fold() != 2))
     lang, score, rejected = langid.private(docs, "lang", "score", "rejected")
     return langid.predict(docs, model, names=(lang, score, rejected)).filter(~F.col(rejected)).select(*docs.columns)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts: that with the largest doc_id."""
+    """One document of each group of equal texts: that with the largest doc_id. Null equals empty."""
     return exact.exact_dedup(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component: that with the smallest doc_id."""
+    """One document of each SimHash component: that with the smallest doc_id. Texts without words are
+    one group (fingerprint 0)."""
     return simhash.near_dedup(docs, shingle=SHINGLE, max_bits=MAX_BITS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in the order of the mix."""
+    """All documents in the order of the mix; sources without a weight, and null, share one."""
     return mixing.mix(docs, MIX_WEIGHTS)
 
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Per document: ids as little-endian unsigned 32-bit integers, and the digest of the decoded bytes."""
-    tokens = bpe.encode(docs.select("doc_id", "text", "source"), BPE_PATH).drop("text")
-    return bpe.decode(tokens, BPE_PATH).select(
+    """Per document (repeated rows too; a null text has no ids): ids as little-endian unsigned 32-bit integers, and the digest of the decoded bytes."""
+    tokens = bpe.encode(docs.select("doc_id", "text", "source"), BPE_PATH, decoded_col="decoded")
+    return tokens.select(
         "doc_id", "source", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids",
         F.sha2("decoded", 256).alias("decoded_sha256"))
 

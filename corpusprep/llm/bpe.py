@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import functools
 import heapq
+import struct
 import sys
 import unicodedata
 
@@ -31,7 +32,7 @@ SPACE, WHITE, LETTER, NUMBER, OTHER = range(5)
 NEW, IN_LETTERS, IN_NUMBERS, IN_OTHER, IN_WHITE, OPEN_SPACE, REST_1, REST_2 = range(8)
 _STATES, _BLOCK, _CHUNK = 8, 256, 1 << 20
 _RESET = 15  # written between two texts: leads to NEW from every state (contraction 1 does not occur)
-_CACHE_LIMIT = 400_000
+_CACHE_LIMIT = 400_000  # about 200 bytes each
 
 
 @functools.cache
@@ -107,12 +108,19 @@ def scan(sym: np.ndarray, state: int) -> tuple[np.ndarray, int]:
     padded = np.full(blocks * _BLOCK, 0, dtype=np.uint8)
     padded[:n] = sym
     grid = np.ascontiguousarray(padded.reshape(blocks, _BLOCK).T)
+    # Compose each block's functions from its last character backwards. As soon as such a tail is
+    # constant, so is the block's whole function: few characters of a block are needed.
     func = np.tile(np.arange(_STATES, dtype=np.uint8), (blocks, 1))
+    todo = np.arange(blocks)
+    for row in grid[::-1]:
+        part = np.take_along_axis(func[todo], step[row[todo]], axis=1)
+        func[todo] = part
+        todo = todo[(part != part[:, :1]).any(axis=1)]
+        if not len(todo):
+            break
     flat = step.ravel()
-    for row in grid:  # compose: all states of all blocks in one sweep
-        func = flat[(row.astype(np.int32) * _STATES)[:, None] + func]
     into = np.empty(blocks, dtype=np.uint8)
-    for i, f in enumerate(func.tolist()):
+    for i, f in enumerate(func.tolist()):  # chain the blocks' results
         into[i] = state
         state = f[state]
     flags = np.empty((_BLOCK, blocks), dtype=bool)
@@ -178,19 +186,63 @@ def _starts_together(texts: list[str]) -> list[list[int]]:
     return [(at[bounds[i]:bounds[i + 1]] - begin[i]).tolist() for i in range(len(texts))]
 
 
+class _Pieces(dict):
+    """Piece -> its ids, packed; pieces that are not known are merged and kept, up to a limit."""
+
+    def __init__(self, merge):
+        super().__init__()
+        self.merge = merge
+
+    def __missing__(self, piece: str) -> bytes:
+        got = self.merge(piece.encode("utf-8", "replace"))
+        got = struct.pack(f"<{len(got)}I", *got)
+        if len(piece) <= 64:
+            if len(self) >= _CACHE_LIMIT:
+                self.clear()
+            self[piece] = got
+        return got
+
+
 class Vocabulary:
     """Ranks of a byte-level BPE file, with a bounded cache of merged pieces."""
 
     def __init__(self, path: str):
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.tokens = {i: t for t, i in self.ranks.items()}
-        self.cache: dict[str, list[int]] = {}
+        by_id = sorted(self.ranks.items(), key=lambda x: x[1])
+        if [i for _, i in by_id] != list(range(len(by_id))):
+            raise ValueError("ranks must be 0, 1, 2, ...")
+        self.blob = np.frombuffer(b"".join(t for t, _ in by_id), dtype=np.uint8)
+        self.sizes = np.array([len(t) for t, _ in by_id], dtype=np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.cache = _Pieces(self.merge)
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one piece: adjacent parts of the lowest rank are merged first, leftmost on ties."""
         if piece in self.ranks:
             return [self.ranks[piece]]
+        return self._merge_short(piece) if len(piece) <= 48 else self._merge_long(piece)
+
+    def _merge_short(self, piece: bytes) -> list[int]:
+        ranks, none = self.ranks, len(self.ranks)
+        get = ranks.get
+        parts = [piece[i:i + 1] for i in range(len(piece))]
+        pairs = [get(piece[i:i + 2], none) for i in range(len(piece) - 1)]
+        while pairs:
+            low = min(pairs)
+            if low == none:
+                break
+            i = pairs.index(low)
+            del pairs[i]
+            parts[i] += parts.pop(i + 1)
+            if i < len(pairs):
+                pairs[i] = get(parts[i] + parts[i + 1], none)
+            if i:
+                pairs[i - 1] = get(parts[i - 1] + parts[i], none)
+        return [ranks[p] for p in parts]
+
+    def _merge_long(self, piece: bytes) -> list[int]:
+        """The same with a heap: n log n, for runs of signs or letters without an end."""
         ranks, n = self.ranks, len(piece)
         end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # parts by start: end, part before
         heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(piece[i:i + 2])) is not None]
@@ -210,34 +262,34 @@ class Vocabulary:
                 heapq.heappush(heap, (r, b, stop))
         return [ranks[piece[i:end[i]]] for i in range(n) if alive[i]]
 
-    def pieces(self, text: str, starts: list[int]) -> list[int]:
-        cache, ids = self.cache, []
+    def _packed(self, text: str, starts: list[int]) -> bytes:
         if not text:
-            return ids
-        for a, b in zip(starts, [*starts[1:], len(text)], strict=True):
-            piece = text[a:b]
-            got = cache.get(piece)
-            if got is None:
-                got = self.merge(piece.encode("utf-8", "replace"))
-                if len(piece) <= 64:
-                    if len(cache) >= _CACHE_LIMIT:
-                        cache.clear()
-                    cache[piece] = got
-            ids += got
-        return ids
+            return b""
+        cache = self.cache
+        return b"".join([cache[text[a:b]] for a, b in zip(starts, [*starts[1:], len(text)], strict=True)])
+
+    def encode_packed(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        return [self._packed(t, s) for t, s in zip(texts, many_starts(texts), strict=True)]
 
     def encode_many(self, texts: list[str]) -> list[list[int]]:
-        return [self.pieces(t, s) for t, s in zip(texts, many_starts(texts), strict=True)]
+        return [np.frombuffer(x, dtype="<u4").tolist() for x in self.encode_packed(texts)]
 
     def encode(self, text: str) -> list[int]:
-        return self.pieces(text, piece_starts(text).tolist())
-
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+        return np.frombuffer(self._packed(text, piece_starts(text).tolist()), dtype="<u4").tolist()
 
     def offsets(self, ids) -> np.ndarray:
         """Byte offset at which each token ends: token i covers bytes offsets[i - 1] to offsets[i]."""
-        return np.cumsum(np.fromiter((len(self.tokens[i]) for i in ids), dtype=np.int64))
+        return np.cumsum(self.sizes[np.asarray(ids, dtype=np.int64)])
+
+    def decode(self, ids) -> bytes:
+        """The bytes of the tokens, gathered from the vocabulary by the tokens' offsets."""
+        ids = np.asarray(ids, dtype=np.int64)
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        if not len(ids):
+            return b""
+        return self.blob[np.arange(ends[-1]) + np.repeat(self.begins[ids] - (ends - sizes), sizes)].tobytes()
 
 
 @functools.cache
@@ -246,17 +298,18 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def _encode_batches(path: str, text_at: int, offsets: bool, step: int = 512):
+def _encode_batches(path: str, text_at: int, offsets: bool, decoded: bool, step: int = 512):
     def run(batches):
         vocab = vocabulary(path)
         for b in batches:
             for at in range(0, b.num_rows, step):
                 part = b.slice(at, step)
-                found = vocab.encode_many([t or "" for t in part.column(text_at).to_pylist()])
-                ids = [np.array(x, dtype="<u4").tobytes() for x in found]
+                ids = vocab.encode_packed([t or "" for t in part.column(text_at).to_pylist()])
                 extra = [pa.array(ids, pa.binary())]
                 if offsets:
-                    extra.append(pa.array([vocab.offsets(x).tolist() for x in found], pa.list_(pa.int64())))
+                    extra.append(pa.array([vocab.offsets(np.frombuffer(x, dtype="<u4")) for x in ids], pa.list_(pa.int64())))
+                if decoded:
+                    extra.append(pa.array([vocab.decode(np.frombuffer(x, dtype="<u4")) for x in ids], pa.binary()))
                 yield pa.RecordBatch.from_arrays([*part.columns, *extra], names=[f"c{i}" for i in range(part.num_columns + len(extra))])
 
     return run
@@ -268,7 +321,7 @@ def _decode_batches(path: str, ids_at: int, step: int = 512):
         for b in batches:
             for at in range(0, b.num_rows, step):
                 part = b.slice(at, step)
-                texts = [None if x is None else vocab.decode(np.frombuffer(x, dtype="<u4").tolist()) for x in part.column(ids_at).to_pylist()]
+                texts = [None if x is None else vocab.decode(np.frombuffer(x, dtype="<u4")) for x in part.column(ids_at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=[f"c{i}" for i in range(part.num_columns + 1)])
 
     return run
@@ -278,16 +331,20 @@ def _with(df: DataFrame, *fields: T.StructField) -> T.StructType:
     return T.StructType([*(T.StructField(f.name, f.dataType, True) for f in df.schema.fields), *fields])
 
 
-def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", offsets_col: str | None = None) -> DataFrame:
+def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", offsets_col: str | None = None,
+           decoded_col: str | None = None) -> DataFrame:
     """docs plus the token ids as little-endian unsigned 32-bit integers (binary).
 
     A null or empty text has no ids. ``offsets_col``: also the byte offset where each token ends.
+    ``decoded_col``: also the bytes that the ids decode to, in the same pass over the rows.
     """
     for_workers(docs.sparkSession)
     fields = [T.StructField(ids_col, T.BinaryType())]
     if offsets_col:
         fields.append(T.StructField(offsets_col, T.ArrayType(T.LongType())))
-    return docs.mapInArrow(_encode_batches(path, docs.columns.index(text_col), offsets_col is not None), _with(docs, *fields))
+    if decoded_col:
+        fields.append(T.StructField(decoded_col, T.BinaryType()))
+    return docs.mapInArrow(_encode_batches(path, docs.columns.index(text_col), bool(offsets_col), bool(decoded_col)), _with(docs, *fields))
 
 
 def decode(tokens: DataFrame, path: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:

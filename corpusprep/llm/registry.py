@@ -48,6 +48,43 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+# The same statistics and tests over exploded words and windows, with the distribution from lgamma.
+OP4_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+                  CASE WHEN lang IN ('en', 'fr', 'de', 'es') THEN lang ELSE 'other' END AS stratum FROM documents),
+w AS MATERIALIZED (SELECT r, doc_id, stratum, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+g AS (SELECT r, pos, array_to_string(w[pos:pos + 7], ' ') AS gram FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS pos FROM w WHERE len(w) >= 8)),
+twice AS (SELECT r, pos FROM (SELECT r, pos, count(*) OVER (PARTITION BY r, gram) AS n FROM g) WHERE n > 1),
+rep AS (SELECT r, count(DISTINCT word) AS n FROM (SELECT r, unnest(range(pos, pos + 8)) AS word FROM twice) GROUP BY r),
+s AS MATERIALIZED (SELECT w.r, doc_id, stratum, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, len(l) AS n_lines,
+             CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words
+      FROM w LEFT JOIN rep ON rep.r = w.r),
+b AS MATERIALIZED (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM s),
+v AS (SELECT *, unnest(['symbols', 'dup_lines', 'repeats', 'long_words']) AS rule,
+             unnest([least(1000, coalesce(n_symbols * 1000 // nullif(word_chars, 0), 0)), least(1000, coalesce(n_dup_lines * 1000 // nullif(n_lines, 0), 0)),
+                     least(1000, coalesce(n_repeat_words * 1000 // nullif(n_words, 0), 0)), least(1000, coalesce(word_chars * 10 // nullif(n_words, 0), 0))]) AS value FROM b),
+lab AS (SELECT doc_id, min(quality) > 0 AS good, CAST('0x' || substring(md5('holdout' || CAST(doc_id AS VARCHAR)), 1, 2) AS INTEGER) % 2 = 1 AS holdout
+        FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+h AS (SELECT stratum, rule, value, count(*) FILTER (WHERE holdout AND good) AS n,
+             count(*) FILTER (WHERE NOT holdout AND NOT good) - count(*) FILTER (WHERE NOT holdout AND good) AS worth
+      FROM v JOIN lab USING (doc_id) WHERE NOT base_failed GROUP BY stratum, rule, value),
+c AS (SELECT stratum, rule, value, sum(n) OVER (PARTITION BY stratum, rule) AS n,
+             coalesce(sum(n) OVER above, 0) AS k, coalesce(sum(worth) OVER above, 0) AS gain,
+             (SELECT count(DISTINCT stratum) * 4 FROM h) AS m
+      FROM h WINDOW above AS (PARTITION BY stratum, rule ORDER BY value DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+lim AS (SELECT stratum, rule, coalesce(list_max(list_filter(range(0, CAST(least(ceil(n * 0.01) + 1, n) AS BIGINT)), lambda k: list_sum(list_transform(range(0, k + 1),
+               lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.01) + (n - i) * ln(0.99)))) <= 0.05 / m)), -1) AS k_max
+        FROM (SELECT DISTINCT stratum, rule, CAST(n AS DOUBLE) AS n, m FROM c)),
+cut AS (SELECT stratum, rule, max(value) AS cutoff FROM (
+          SELECT c.*, max(gain) OVER (PARTITION BY stratum, rule) AS best FROM c JOIN lim USING (stratum, rule) WHERE k <= k_max AND gain > 0) WHERE gain = best GROUP BY stratum, rule),
+bad AS (SELECT DISTINCT r FROM v JOIN cut USING (stratum, rule) WHERE value > cutoff)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad.r IS NULL AS kept
+FROM b LEFT JOIN bad ON bad.r = b.r
+"""
+
+
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     probe = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
@@ -86,6 +123,34 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in secrets.BASE], F.sha2(written(base).cast("binary"), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
 
 
+def _rule_sql(place: int, kind: str, pattern: str, least: int, group: int = 0) -> str:
+    """Matches of one rule with their places: a match starts after the parts and matches before it."""
+    p = pattern.replace("'", "''")
+    return f"""SELECT r, {place} AS place, '{kind}' AS kind, list_sum(list_transform(parts[:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[:i - 1], lambda x: length(x))), 0) AS s,
+       length(hits[i]) AS n FROM (SELECT r, parts, hits, unnest(range(1, len(hits) + 1)) AS i FROM (
+         SELECT r, regexp_extract_all(t, '{p}') AS hits, regexp_split_to_array(t, '{p}') AS parts FROM d))
+       WHERE length({f"regexp_extract(hits[i], '{p}', {group})" if group else 'hits[i]'}) >= {least}"""
+
+
+_ANY = lambda word: "".join(f"[{c}{c.upper()}]" for c in word)
+_KEYS = "|".join([*map(_ANY, ("password", "passwd", "secret", "token")), f"{_ANY('api')}_?{_ANY('key')}"])
+_SPANS_SQL = "\nUNION ALL ".join([
+    _rule_sql(0, "assign", f"(?:{_KEYS})[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 6, 1),
+    _rule_sql(1, "access", "AKIA[A-Z0-9]+", 20), _rule_sql(2, "hex", "[0-9a-f]+", 24), _rule_sql(3, "github", "gh[pousr]_[A-Za-z0-9]+", 40),
+    _rule_sql(4, "slack", "xox[abprs]-[A-Za-z0-9-]+", 20), _rule_sql(5, "google", "AIza[A-Za-z0-9_-]+", 39),
+    _rule_sql(6, "private_key", "-----BEGIN (?:RSA |EC |DSA |OPENSSH |ENCRYPTED )?PRIVATE KEY-----", 20)])
+OP6_SQL = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+x AS ({_SPANS_SQL}),
+a AS (SELECT r, count(*) FILTER (WHERE place = 0) AS n_assign, count(*) FILTER (WHERE place = 1) AS n_access, count(*) FILTER (WHERE place = 2) AS n_hex,
+             string_agg(kind || ':' || CAST(s AS BIGINT) || ':' || CAST(s + n AS BIGINT), ',' ORDER BY s, place) FILTER (WHERE place < 3) AS base,
+             string_agg(kind || ':' || CAST(s AS BIGINT) || ':' || CAST(s + n AS BIGINT), ',' ORDER BY s, place) AS spans FROM x GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN a ON a.r = d.r
+"""
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     model = langid.fit(docs.filter(langid.fold() != 2))
@@ -94,8 +159,8 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), BPE_PATH).drop("text")
-    return bpe.decode(tokens, BPE_PATH).select(
+    tokens = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), BPE_PATH, decoded_col="decoded")
+    return tokens.select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
@@ -141,4 +206,4 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE_SQL = {"op2_exact_dedup": OP2_SQL, "op5_chat": OP5_SQL, "op10_warc": OP10_SQL}
+ORACLE_SQL = {"op2_exact_dedup": OP2_SQL, "op4_quality": OP4_SQL, "op6_secrets": OP6_SQL, "op5_chat": OP5_SQL, "op10_warc": OP10_SQL}
