@@ -196,4 +196,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     out = docs.withColumn(rrow, row_hash(docs)).join(
         keep.withColumnRenamed(rrow, rrow + "2"),
         (F.col(rrow) == F.col(rrow + "2")) & col(id_col).cast("long").eqNullSafe(F.col(rid)), "left_semi")
-    return out.dropDuplicates([id_col, rrow]).select(*[col(c) for c in docs.columns])
+    # rows equal in all columns share their mark; without any, the texts need no second exchange
+    if not marks.groupBy("id", "row").count().filter("count > 1").isEmpty():
+        out = out.dropDuplicates([id_col, rrow])
+    return out.select(*[col(c) for c in docs.columns])
