@@ -1,21 +1,24 @@
 """Mixing sources to target weights by Pfair scheduling.
 
 Every source is put into a seeded order and cut into blocks of ``block_rows`` rows. Time is a row of
-slots, one block each. With a share of q blocks in every cycle of Q slots, block k of a source is
-released at floor(k Q / q) and due at ceil((k + 1) Q / q); earliest-deadline-first gives each slot to
-the released block with the nearest deadline. One resource that is fully used is always schedulable
-this way, so at every slot each source is less than one block from its exact share.
+slots, one block each. With a weight of w out of W, block k of a source is released at floor(k W / w)
+and due at ceil((k + 1) W / w), in exact fractions; earliest-deadline-first gives each slot to the
+released block with the nearest deadline. One resource that is fully used is always schedulable this
+way, so at every slot of a phase each source is less than one block from its exact share.
 
 All rows are kept. When a source runs out, the phase ends and the weights of the others are scaled up.
-Only the block counts of the sources named in ``weights`` reach the driver, which works out a cycle of Q slots
-for each phase (at most S phases and S Q slots for S weights: parameters, not data). Rows get their
-slots by DataFrame operations alone.
+The schedule repeats after W slots, the weights taken as whole numbers without a common factor. Only the
+block counts of the sources named in ``weights`` reach the driver, which works out at most min(W, blocks
+of the phase) slots for each phase: for weights like 2 to 1 a few, for weights of many digits up to one
+for each block. Rows get their slots by DataFrame operations alone.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from dataclasses import dataclass
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,35 +31,49 @@ OTHER = "(other)"  # all sources without a weight of their own, nulls included
 _CELL_BITS = 16  # cells of the seeded order: a source's window is cut into 2^16 parts
 
 
-def quotas(weights: dict[str, float], cycle: int) -> dict[str, int]:
-    """Whole blocks a cycle by largest remainders, at least one for each source."""
-    total = sum(weights.values())
-    exact = {s: w / total * cycle for s, w in weights.items()}
-    q = {s: max(1, int(x)) for s, x in exact.items()}
-    for s in sorted(exact, key=lambda s: (-(exact[s] - int(exact[s])), s)):
-        if sum(q.values()) < cycle:
-            q[s] += 1
-    while sum(q.values()) != cycle:
-        step = 1 if sum(q.values()) < cycle else -1
-        s = max(q, key=lambda s: (q[s], s))
-        q[s] += step
-    return q
-
-
-def edf_cycle(q: dict[str, int]) -> list[tuple[str, int]]:
-    """The (source, block) of each slot of one cycle."""
-    size = sum(q.values())
-    waiting = sorted(((k * size // n, -(-(k + 1) * size // n), s, k) for s, n in q.items() for k in range(n)), reverse=True)
-    ready, out = [], []
-    for t in range(size):
-        while waiting and waiting[-1][0] <= t:
-            _, due, s, k = waiting.pop()
-            heapq.heappush(ready, (due, s, k))
+def exact(w) -> Fraction:
+    """A weight as a fraction: a float as the simplest one that is equal to it, else as its decimal digits."""
+    if not isinstance(w, float):
+        return Fraction(w)
+    simple = Fraction(w).limit_denominator(10**6)
+    return simple if float(simple) == w else Fraction(repr(w))
+
+
+def quotas(weights: dict[str, float], cycle: int) -> dict[str, Fraction]:
+    """The exact share of each source in ``cycle`` slots, in blocks."""
+    w = {s: exact(x) for s, x in weights.items()}
+    total = sum(w.values())
+    return {s: x * cycle / total for s, x in w.items()}
+
+
+def whole(q: dict[str, Fraction]) -> dict[str, int]:
+    """Shares as whole numbers without a common factor."""
+    q = {s: Fraction(x) for s, x in q.items()}
+    by = math.lcm(*[x.denominator for x in q.values()])
+    n = {s: int(x * by) for s, x in q.items()}
+    return {s: x // math.gcd(*n.values()) for s, x in n.items()}
+
+
+def edf(n: dict[str, int]):
+    """The (source, block) of each slot, without end, for whole shares."""
+    size = sum(n.values())
+    waiting, ready, t = [(0, s, 0) for s in sorted(n)], [], 0
+    while True:
+        while waiting and waiting[0][0] <= t:
+            _, s, k = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(k + 1) * size // n[s]), s, k))
         due, s, k = heapq.heappop(ready)
         if due <= t:
             raise AssertionError("a block missed its deadline")
-        out.append((s, k))
-    return out
+        yield s, k
+        heapq.heappush(waiting, ((k + 1) * size // n[s], s, k + 1))
+        t += 1
+
+
+def edf_cycle(q: dict[str, Fraction]) -> list[tuple[str, int]]:
+    """The (source, block) of each slot until the schedule repeats."""
+    n = whole(q)
+    return [x for x, _ in zip(edf(n), range(sum(n.values())))]
 
 
 @dataclass(frozen=True)
@@ -71,19 +88,27 @@ class Phase:
 
 
 def plan(blocks: dict[str, int], weights: dict[str, float], cycle: int = CYCLE) -> list[Phase]:
-    """Phases of the whole schedule: each ends with the last block of some source."""
-    if len(weights) > cycle:
-        raise ValueError("a cycle must have a slot for every source")
+    """Phases of the whole schedule: each ends with the last block of some source. The unit of the
+    shares, ``cycle``, has no influence: the schedule repeats after as many slots as the weights need."""
     left, used, at, out = {s: n for s, n in blocks.items() if n > 0}, dict.fromkeys(blocks, 0), 0, []
     while left:
-        q = quotas({s: weights[s] for s in left}, cycle)
-        slots = edf_cycle(q)
+        q = whole(quotas({s: weights[s] for s in left}, cycle))
+        size, slots = sum(q.values()), []
+        for s, k in edf(q):
+            slots.append((s, k))
+            if k + 1 == left[s] or len(slots) == size:
+                break
+        if len(slots) < size:  # a source runs out before the schedule repeats
+            size = len(slots)
+            q = dict.fromkeys(q, 0)
+            for s, _ in slots:
+                q[s] += 1
         place = {x: i for i, x in enumerate(slots)}
-        length = min((n - 1) // q[s] * cycle + place[s, (n - 1) % q[s]] + 1 for s, n in left.items())
-        took = {s: length // cycle * q[s] for s in left}
-        for s, _ in slots[:length % cycle]:
+        length = min((n - 1) // q[s] * size + place[s, (n - 1) % q[s]] + 1 for s, n in left.items() if q[s])
+        took = {s: length // size * q[s] for s in left}
+        for s, _ in slots[:length % size]:
             took[s] += 1
-        out.append(Phase(at, length, cycle, q, {s: used[s] for s in left}, took, slots))
+        out.append(Phase(at, length, size, q, {s: used[s] for s in left}, took, slots))
         used = {s: used[s] + took.get(s, 0) for s in used}
         left = {s: n - took[s] for s, n in left.items() if n > took[s]}
         at += length
@@ -92,7 +117,7 @@ def plan(blocks: dict[str, int], weights: dict[str, float], cycle: int = CYCLE)
 
 def _schedule_tables(spark, phases: list[Phase]) -> tuple[DataFrame, DataFrame]:
     """Spans (phase, source, first and end block, quota, start) and places (phase, source, block, slot)."""
-    spans = [(i, s, p.first_block[s], p.first_block[s] + p.blocks[s], p.quota[s], p.start_slot, p.cycle) for i, p in enumerate(phases) for s in p.quota]
+    spans = [(i, s, p.first_block[s], p.first_block[s] + p.blocks[s], p.quota[s], p.start_slot, p.cycle) for i, p in enumerate(phases) for s in p.quota if p.blocks[s]]
     places = [(i, s, k, t) for i, p in enumerate(phases) for t, (s, k) in enumerate(p.slots)]
     return (spark.createDataFrame(spans, "p int, s string, b0 long, b1 long, q long, t0 long, cycle long"),
             spark.createDataFrame(places, "p int, s string, k long, place long"))
@@ -110,7 +135,7 @@ def positions(docs: DataFrame, weights: dict[str, float], seed: str = "mix", blo
     """
     if not weights or any(w <= 0 for w in weights.values()):
         raise ValueError("weights must be above 0")
-    weights = {OTHER: sum(weights.values()) / len(weights)} | weights
+    weights = {OTHER: sum(exact(w) for w in weights.values()) / len(weights)} | weights
     spark = docs.sparkSession
     src, order, cell, row, base, slot, pos = private(docs, "src", "order", "cell", "row", "base", "slot", "position")
     known = F.create_map(*[x for s in weights for x in (F.lit(s), F.lit(True))])

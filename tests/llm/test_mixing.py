@@ -77,3 +77,27 @@ def test_query_positions_all_rows(spark):
     rows = [(r["doc_id"], r["source"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     got = sorted(((r["doc_id"], r["slot"], r["position"]) for r in op3_mixing(spark, sf).collect()), key=repr)
     assert got == brute_order(rows, corpus_pipeline.MIX_WEIGHTS, "mix", mixing.BLOCK_ROWS, mixing.CYCLE)
+
+
+@pytest.mark.parametrize("weights", [{f"s{i:02d}": 1 + i % 2 for i in range(20)}, {"a": 1 / 3, "b": 2 / 3}, {"a": 0.7, "b": 0.2995, "c": 0.0005}, {"a": 0.1234567890123, "b": 0.8765432109877}])
+def test_less_than_one_block_off_the_weights_over_many_cycles(weights):
+    from fractions import Fraction
+
+    blocks = {s: int(9000 * w / sum(weights.values())) + 1 for s, w in weights.items()}
+    phases = mixing.plan(blocks, weights)
+    total, done = sum(map(Fraction, weights.values())), dict.fromkeys(weights, 0)
+    assert phases[0].length > 8000 and {s: sum(p.blocks.get(s, 0) for p in phases) for s in blocks} == blocks
+    for t in range(1, phases[0].length + 1):
+        s, k = phases[0].slots[(t - 1) % phases[0].cycle]
+        assert k + (t - 1) // phases[0].cycle * phases[0].quota[s] == done[s]
+        done[s] += 1
+        for x, w in weights.items():
+            assert abs(done[x] - float(Fraction(w) / total * t)) < 1 + 1e-9, (x, t)
+
+
+def test_rows_of_weights_without_a_short_cycle(spark):
+    rows = [(i, f"s{i % 2}") for i in range(400)] + [(1000 + i, "s0") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, source string")
+    weights = {"s0": 0.8765432109877, "s1": 0.1234567890123}
+    timed, (slot, pos) = mixing.positions(df, weights, "x", 4)
+    assert sorted(((r["doc_id"], r[slot], r[pos]) for r in timed.collect()), key=repr) == brute_order(rows, weights, "x", 4, 1000)
