@@ -7,8 +7,9 @@ committed by Spark and readable by any tool.
 
 The reader takes whole archives (plain, or with gzip members) as binary files. A record counts when its
 header parses, its length fits, its end mark stands and its block digest agrees. After a failed check the
-reader searches for the next version line (or gzip member) from which a record passes, goes on there, and logs
-the bytes between as a quarantined gap.
+reader searches for the next version line or gzip member from which a record passes, goes on there, and logs
+the bytes between as a quarantined gap. A file may hold both kinds; a damaged member gives the records before
+its damage.
 """
 
 from __future__ import annotations
@@ -131,51 +132,92 @@ def _plain(data: bytes, strict: bool):
         yield "gap", start, at, why
 
 
-def _member(data: bytes, at: int) -> tuple[bytes, int] | str:
-    """Inflated bytes of the gzip member at ``at`` and its end; its checksum is checked by zlib."""
-    z, out, pos = zlib.decompressobj(31), [], at
-    try:
-        while not z.eof and pos < len(data):
-            out.append(z.decompress(data[pos:pos + _MEMBER_STEP]))
-            pos += _MEMBER_STEP
-    except zlib.error as e:
-        return f"bad member: {e}"
+def _member(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """What the gzip member at ``at`` inflates to, its end and what is wrong with it ("": nothing, its
+    checksum is checked by zlib). Of a bad member the part before the first bad byte is inflated."""
+    z, out, pos, step = zlib.decompressobj(31), [], at, _MEMBER_STEP
+    while not z.eof and pos < len(data):
+        before = z.copy()
+        try:
+            out.append(z.decompress(data[pos:pos + step]))
+            pos += step
+        except zlib.error as e:
+            if step == 1:
+                return b"".join(out), pos, f"bad member: {e}"
+            z, step = before, step // 2
     if not z.eof:
-        return "member is cut"
-    return b"".join(out), min(pos, len(data)) - len(z.unused_data)
+        return b"".join(out), len(data), "member is cut"
+    return b"".join(out), min(pos, len(data)) - len(z.unused_data), ""
 
 
-def _members(data: bytes, strict: bool):
-    at = 0
-    while at < len(data):
-        got = _member(data, at) if data.startswith(_GZIP, at) else "no member"
-        if not isinstance(got, str):
-            inner = list(_plain(got[0], strict))
-            if any(x[0] == "record" for x in inner):
-                yield from (x if x[0] == "record" else ("gap", at, got[1], x[3]) for x in inner)
-            else:
-                yield "gap", at, got[1], "no record in member"
-            at = got[1]
-            continue
-        start, why = at, got
-        while True:
-            at = data.find(_GZIP, at + 1)
-            if at < 0:
-                at = len(data)
-                break
-            if not isinstance(_member(data, at), str):
-                break
-        yield "gap", start, at, why
+def _consumed(data: bytes, at: int, size: int) -> int:
+    """The place in the file up to which the member at ``at`` is read for its first ``size`` inflated bytes."""
+    z, pos, step = zlib.decompressobj(31), at, _MEMBER_STEP
+    while size > 0 and pos < len(data) and step:
+        before = z.copy()
+        try:
+            size -= len(z.decompress(data[pos:pos + step], size))
+            pos += len(data[pos:pos + step]) - len(z.unconsumed_tail)
+        except zlib.error:
+            z, step = before, step // 2
+    return pos
+
+
+def _piece(data: bytes, at: int, strict: bool) -> tuple[list, int, str] | str:
+    """What the record or gzip member at ``at`` gives, where to go on and what is wrong from there on; or why it gives no record.
+
+    A member that fails gives the records before its damage. Without its checksum to vouch for them, those of a
+    bad member need a SHA-256 block digest. A cut member with one record and nothing else gives none.
+    """
+    if not data.startswith(_GZIP, at):
+        got = _record(data, at, strict)
+        return got if isinstance(got, str) else ([("record", got[0], got[1])], got[2], "")
+    inflated, end, why = _member(data, at)
+    inner = list(_plain(inflated, strict or why.startswith("bad")))
+    last = max((i for i, x in enumerate(inner) if x[0] == "record"), default=-1)
+    if last < 0 or (why == "member is cut" and len(inner) == 1):
+        return why or "no record in member"
+    if why:
+        size = inner[last + 1][1] if last + 1 < len(inner) else len(inflated)
+        inner, end = inner[:last + 1], _consumed(data, at, size)
+        if end == len(data):  # nothing is left to be logged as the gap
+            inner.append(("gap", 0, 0, why))
+    return [x if x[0] == "record" else ("gap", at, end, x[3]) for x in inner], end, why
 
 
 def salvage(data: bytes, strict: bool = False):
     """All good records and quarantined gaps of an archive, in order. Gaps are in bytes of the file.
 
+    Plain records and gzip members may follow each other. After a failed check the reader goes on at the
+    next version line or gzip magic, whichever comes first, that gives a record.
     strict: a record without a SHA-256 block digest fails too (write_archives gives all of them one).
     """
-    first = data.find(VERSION)
-    gz = data.find(_GZIP)
-    return (_members if gz >= 0 and (first < 0 or gz < first) else _plain)(data, strict)
+    at, got = 0, None
+    ahead = {VERSION: -1, _GZIP: -1}  # the next place of each mark
+    while at < len(data):
+        got = got or _piece(data, at, strict)
+        if isinstance(got, str):
+            start, why, scan = at, got, at + 1
+        else:
+            items, at, why = got
+            yield from items
+            got, start, scan = None, at, at
+            if not why:
+                continue
+        while True:
+            for mark, place in ahead.items():
+                if place < scan:
+                    found = data.find(mark, scan)
+                    ahead[mark] = len(data) if found < 0 else found
+            at, got = min(ahead.values()), None
+            if at == len(data):
+                break
+            got = _piece(data, at, strict)
+            if not isinstance(got, str):
+                break
+            scan = at + 1
+        if start < at:
+            yield "gap", start, at, why
 
 
 _SCHEMA = ("archive string, gap_start long, gap_end long, reason string, record_id string, record_type string, "

@@ -62,6 +62,38 @@ def test_random_damage_never_invents_records():
         assert all(0 <= g[1] < g[2] <= len(data) for g in gaps) and sum(x[0] == "record" for x in items) >= 4
 
 
+def test_plain_records_and_gzip_members_in_one_file():
+    plain = [record(b"plain %d " % i * 30, i) for i in range(3)]
+    packed = [gzip.compress(record(random.Random(i).randbytes(300), i)) for i in range(3, 6)]
+    names = [f"<urn:page:{i}>" for i in range(6)]
+    assert ids(warc.salvage(b"".join(plain + packed))) == (names, [])
+    assert ids(warc.salvage(b"".join(packed + plain))) == (names[3:] + names[:3], [])
+    assert ids(warc.salvage(b"".join([plain[0], packed[0], b"junk", plain[1], packed[1][:40], plain[2]])))[0] == [names[0], names[3], names[1], names[2]]
+
+
+def test_damaged_first_record_with_a_gzip_body():
+    parts = [record(gzip.compress(b"<p>page</p>" * 40), 0), *[record(b"p%d" % i * 40, i) for i in range(1, 4)]]
+    data = b"XXXX" + b"".join(parts)[4:]
+    assert ids(warc.salvage(data)) == ([f"<urn:page:{i}>" for i in range(1, 4)], [(0, len(parts[0]))])
+
+
+def test_records_before_the_damage_in_one_member():
+    parts = [record(random.Random(i).randbytes(3000), i) for i in range(6)]
+    names = [f"<urn:page:{i}>" for i in range(6)]
+    for level in (0, 6):
+        data = gzip.compress(b"".join(parts), level)
+        for at in (len(data) * 2 // 3, len(data) - 5):
+            got, gaps = ids(warc.salvage(data[:at]))
+            assert got == names[:len(got)] and len(got) >= 3 and gaps and gaps[-1][1] == at
+        flipped = bytearray(data)
+        flipped[-3] ^= 1  # only the checksum is wrong
+        assert ids(warc.salvage(bytes(flipped)))[0] == names
+        flipped = bytearray(data)
+        flipped[len(data) // 2] ^= 1
+        got = ids(warc.salvage(bytes(flipped) + parts[0]))[0]
+        assert got[:2] == names[:2] and got[-1] == names[0] and len(set(got)) == len(got) - 1
+
+
 def test_pages_round_trip(spark):
     big = "<p>é😀</p>" * 30
     rows = [(3, "http://a", big), (1, "http://b\r\nX: y", big), (2, None, big), (2, "http://c", big), (5, "u", None), (6, "u", ""), (7, "u", "short"), (8, "u", "short"),
