@@ -27,6 +27,8 @@ from corpusprep.llm.common import col, for_workers, saved, work_dir
 
 LEAST_PAYLOAD = 100
 RECORDS_PER_ARCHIVE = 1000
+ARCHIVE_BYTES = 128 << 20
+_ROWS_BYTES = 32 << 20
 VERSION = b"WARC/1."
 _LINE = re.compile(rb"WARC/1\.[0-9]\r\n")
 _GZIP = b"\x1f\x8b\x08"
@@ -47,13 +49,15 @@ def first_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
 
 
 def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-            date: str = "2000-01-01T00:00:00Z") -> DataFrame:
+            date: str = "2000-01-01T00:00:00Z", firsts: DataFrame | None = None) -> DataFrame:
     """One column, the text of each page's record without its last line feed.
 
     A page whose id equals the smallest one (repeated rows too) is a response, null ids come last. A
     null url leaves out the target; control characters in urls are percent-coded. Null html is empty.
+    firsts: the table of first_pages, if pages are a part of those of the archives.
     """
-    firsts = saved(first_pages(pages, id_col, html_col), "warc-first")
+    if firsts is None:
+        firsts = saved(first_pages(pages, id_col, html_col), "warc-first")
     url = F.regexp_replace(col(url_col).cast("string"), r"[\x00-\x20\x7F]", "%20")
     body = _payload(html_col)
     p = pages.select(col(id_col).cast("long").alias("id"), url.alias("url"), body.alias("body"), F.octet_length(body).alias("size"), F.sha2(body.cast("binary"), 256).alias("digest"))
@@ -73,9 +77,22 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-                   per_archive: int = RECORDS_PER_ARCHIVE) -> None:
-    """Write the records as archives of at most ``per_archive`` records below ``path``."""
-    records(pages, id_col, url_col, html_col).write.option("lineSep", "\n").option("maxRecordsPerFile", per_archive).text(path)
+                   per_archive: int = RECORDS_PER_ARCHIVE, archive_bytes: int = ARCHIVE_BYTES) -> None:
+    """Write the records as archives below ``path``, each of at most ``per_archive`` records and
+    ``archive_bytes`` bytes; a larger record has an archive of its own.
+
+    Pages above archive_bytes / per_archive are written by classes of size, each up to twice the size of the
+    one before with half the records an archive.
+    """
+    firsts = saved(first_pages(pages, id_col, html_col), "warc-first")
+    # a percent-coded url has up to three times its bytes; all other header lines stay below 1 KiB
+    most = F.octet_length(_payload(html_col)).cast("long") + 3 * F.coalesce(F.octet_length(col(url_col).cast("string")), F.lit(0)) + 1024
+    level = F.greatest(F.lit(0), F.ceil(F.log2(most * per_archive / F.lit(float(archive_bytes))))).cast("int")
+    classes = {r["level"] for r in pages.select(level.alias("level")).distinct().collect()}  # at most 32 numbers
+    for i, c in enumerate(sorted(classes | {0})):
+        some = pages if classes <= {0} else pages.filter(level == c)
+        out = records(some, id_col, url_col, html_col, firsts=firsts).write.mode("append" if i else "error")
+        out.option("lineSep", "\n").option("maxRecordsPerFile", max(1, per_archive >> c)).text(path)
 
 
 def _record(data: bytes, at: int, strict: bool) -> tuple[dict, bytes, int] | str:
@@ -244,12 +261,13 @@ def _row(archive: str, item, keep: bool) -> dict:
 def _read_batches(batches, keep: bool, strict: bool, step: int = 500):
     for b in batches:
         for path, data in zip(b.column(0), b.column(1), strict=True):
-            rows = []
+            rows, size = [], 0
             for item in salvage(memoryview(data.as_buffer()).tobytes(), strict):
                 rows.append(_row(path.as_py(), item, keep))
-                if len(rows) == step:
+                size += len(rows[-1].get("payload") or b"")
+                if len(rows) == step or size > _ROWS_BYTES:
                     yield pa.RecordBatch.from_pylist(rows, _ARROW)
-                    rows = []
+                    rows, size = [], 0
             yield pa.RecordBatch.from_pylist(rows, _ARROW)
 
 

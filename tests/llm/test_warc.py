@@ -113,6 +113,19 @@ def test_pages_round_trip(spark):
     assert warc.store_and_read(df.limit(0)).count() == 0
 
 
+def test_archives_are_bounded_by_bytes(spark, tmp_path):
+    big = [(i, "http://a", f"{i} " * 30_000) for i in range(40)] + [(100, "u" * 5000, "z" * 900_000)]
+    rows = big + [(1000 + i, "u", "small") for i in range(300)] + [(2000, "http://a", big[3][2])]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    path = str(tmp_path / "w")
+    warc.write_archives(df, path, per_archive=100, archive_bytes=400_000)
+    sizes = [f.stat().st_size for f in (tmp_path / "w").glob("part-*")]
+    assert sum(n > 400_000 for n in sizes) == 1 and len(sizes) < 40
+    got = {r["record_id"]: r for r in warc.read_archives(spark, path, strict=True).collect()}
+    assert len(got) == len(rows) and all(bytes(got[f"<urn:page:{i}>"]["payload"]).decode() == h for i, _, h in rows if i != 2000)
+    assert got["<urn:page:2000>"]["refers_to"] == "<urn:page:3>"
+
+
 def test_gaps_are_logged(spark, tmp_path):
     (tmp_path / "a.warc").write_bytes(record(b"one", 1) + b"garbage" + record(b"two", 2))
     rows = warc.read_archives(spark, str(tmp_path)).collect()
