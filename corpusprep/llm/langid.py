@@ -3,8 +3,9 @@
 Texts become hashed byte 3-gram counts of the lower-cased text, log-scaled, weighted by inverse
 document frequency and normalised. Spherical k-means clusters the sample of every language into a few
 centroids. A text takes the language of the centroid with the largest cosine; it is rejected when it
-is farther from that centroid than the farthest training member, with some slack. Short texts are far
-from all centroids in any language: their distance says nothing, so they are not rejected by it.
+is farther from that centroid than nearly all training excerpts of its length, with some slack. Short
+texts are far from all centroids in any language: the accepted distance is learned for each of SIZES
+from excerpts of so many 3-grams, and a text goes by the largest size that it reaches.
 """
 
 from __future__ import annotations
@@ -24,7 +25,9 @@ from corpusprep.llm.common import col, for_workers, private  # noqa: F401
 DIM = 4096
 MAX_LANGUAGES = 256
 NONE = "und"
-EVIDENCE = 150  # texts with fewer 3-grams are not rejected for their distance
+SIZES = (8, 16, 32, 64, 128, 256, 512, 1024)  # 3-grams; a text with fewer than the first (a word or two) is not rejected for its distance
+NEAR = 0.995  # share of the training excerpts within the radius before slack
+FEW = 200  # a centroid with fewer excerpts of a size takes those of its language
 _LETTER = re.compile(r"[^\W\d_]")
 _PIECE = 1 << 22
 # ASCII letters are lower-cased, all other ASCII is a space: signs and digits tell no language
@@ -37,22 +40,55 @@ class Model:
 
     langs: list[str]
     centroids: np.ndarray  # rows normalised
-    radius: np.ndarray  # largest accepted distance (1 - cosine) of each centroid
+    radius: np.ndarray  # largest accepted distance (1 - cosine) of each centroid by SIZES
     idf: np.ndarray
 
 
+def _grams(piece: str) -> np.ndarray:
+    data = b" " + b" ".join(piece.lower().encode("utf-8", "replace").translate(_LETTERS).split()) + b" "
+    a = np.frombuffer(data, np.uint8).astype(np.uint32)
+    return (a[:-2] * np.uint32(0x9E3779B1) + a[1:-1] * np.uint32(0x85EBCA6B) + a[2:] * np.uint32(0xC2B2AE35)) >> np.uint32(20)
+
+
 def counts(text: str | None) -> np.ndarray:
     """Hashed byte 3-gram counts; a space stands before and after the text and for all between words."""
     out = np.zeros(DIM, dtype=np.float32)
     text = text or ""
     for at in range(0, len(text), _PIECE):
-        data = b" " + b" ".join(text[max(0, at - 2):at + _PIECE].lower().encode("utf-8", "replace").translate(_LETTERS).split()) + b" "
-        a = np.frombuffer(data, np.uint8).astype(np.uint32)
-        h = (a[:-2] * np.uint32(0x9E3779B1) + a[1:-1] * np.uint32(0x85EBCA6B) + a[2:] * np.uint32(0xC2B2AE35)) >> np.uint32(20)
-        out += np.bincount(h, minlength=DIM).astype(np.float32)
+        out += np.bincount(_grams(text[max(0, at - 2):at + _PIECE]), minlength=DIM).astype(np.float32)
     return out
 
 
+def excerpts(text: str) -> np.ndarray:
+    """The hashed 3-grams of one excerpt of each of SIZES that the text reaches, one after the other."""
+    h = _grams(text[:_PIECE]).astype(np.uint16)
+    at = zlib.crc32(h.tobytes())
+    return np.concatenate([h[:0], *[h[at % (len(h) - n + 1):][:n] for n in SIZES if n <= len(h)]])
+
+
+def radii(x: np.ndarray, c: np.ndarray, parts: list[np.ndarray], idf: np.ndarray, slack: float) -> np.ndarray:
+    """The accepted distance from each centroid by SIZES, from the members' excerpts. A size without any
+    goes by the next smaller one, else by the next larger one, else by the whole members."""
+    def near(y):
+        sims = y @ c.T
+        label, dist = np.argmax(sims, axis=1), 1 - np.clip(sims.max(axis=1), 0, 1)
+        few = [dist[label == j] if (label == j).sum() >= FEW else dist for j in range(len(c))]
+        d = np.array([np.quantile(f, NEAR, method="lower") for f in few])
+        return np.minimum(d * (1 + slack), d + slack * (1 - d))
+
+    out, start = [], 0
+    for n in SIZES:
+        some = [np.bincount(e[start:start + n], minlength=DIM) for e in parts if len(e) > start]
+        out.append(near(weighted(np.stack(some).astype(np.float32), idf)) if some else None)
+        start += n
+    known = next((r for r in out if r is not None), None)
+    if known is None:
+        known = near(x)
+    for i, r in enumerate(out):
+        known = out[i] = known if r is None else r
+    return np.stack(out, axis=1).astype(np.float64)
+
+
 def weighted(tf: np.ndarray, idf: np.ndarray) -> np.ndarray:
     x = np.log1p(tf) * idf
     norm = np.linalg.norm(x, axis=1, keepdims=True)
@@ -85,21 +121,18 @@ def has_letter(text: str | None) -> bool:
 
 def _count_batches(batches):
     for b in batches:
-        rows = [(lang.as_py(), counts(t.as_py())) for lang, t in zip(b.column(0), b.column(1), strict=True) if has_letter(t.as_py())]
+        rows = [(lang.as_py(), counts(t.as_py()), excerpts(t.as_py())) for lang, t in zip(b.column(0), b.column(1), strict=True) if has_letter(t.as_py())]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1].tobytes() for r in rows], pa.binary())], names=["lang", "tf"])
+            [pa.array([r[0] for r in rows], pa.string()), *[pa.array([r[i].tobytes() for r in rows], pa.binary()) for i in (1, 2)]], names=["lang", "tf", "parts"])
 
 
 def _cluster(idf: np.ndarray, k: int, slack: float):
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        tf = np.stack([np.frombuffer(t, np.float32) for t in sorted(group["tf"])])
-        x = weighted(tf, idf)
-        c, label = kmeans(x, k)
-        dist = 1 - (x * c[label]).sum(axis=1)
-        told = tf.sum(axis=1) >= EVIDENCE  # only such texts can be rejected later
-        near = [dist[(label == j) & told] for j in range(len(c))]
-        radius = [float(min(1.0, d.max() * (1 + slack))) if len(d) else 1.0 for d in near]
-        return pd.DataFrame({"lang": group["lang"].iloc[0], "part": range(len(c)), "centroid": [r.tobytes() for r in c], "radius": radius})
+        rows = sorted(zip(group["tf"], group["parts"], strict=True))
+        x = weighted(np.stack([np.frombuffer(t, np.float32) for t, _ in rows]), idf)
+        c, _ = kmeans(x, k)
+        radius = radii(x, c, [np.frombuffer(e, np.uint16) for _, e in rows], idf, slack)
+        return pd.DataFrame({"lang": group["lang"].iloc[0], "part": range(len(c)), "centroid": [r.tobytes() for r in c], "radius": [r.tobytes() for r in radius]})
 
     return run
 
@@ -116,23 +149,23 @@ def fit(docs: DataFrame, per_language: int = 400, k: int = 4, slack: float = 0.2
     rows = docs.filter(col(lang_col).isNotNull()).select(col(lang_col).cast("string").alias("lang"), col(text_col).cast("string").alias("text"), rank.alias("rank"))
     sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
     if not sizes:
-        return Model([], np.zeros((0, DIM), np.float32), np.zeros(0), np.ones(DIM, np.float32))
+        return Model([], np.zeros((0, DIM), np.float32), np.zeros((0, len(SIZES))), np.ones(DIM, np.float32))
     # a cut of the hash range by language leaves about twice the sample: no task sorts a whole language
     share = F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(int(min(1.0, (2 * per_language + 100) / r["count"]) * 2**32)))])
     some = rows.withColumn("cut", share[F.col("lang")]).filter("rank < cut")
     ordered = some.withColumn("n", F.row_number().over(_by_lang())).filter(F.col("n") <= per_language)
-    sample = ordered.select("lang", "text").mapInArrow(_count_batches, "lang string, tf binary").persist()
+    sample = ordered.select("lang", "text").mapInArrow(_count_batches, "lang string, tf binary, parts binary").persist()
     seen, n = np.zeros(DIM), 0
     for r in sample.mapInArrow(_frequencies, "n long, df binary").toLocalIterator():  # one row a task, 4 kB each
         seen, n = seen + np.frombuffer(r["df"], np.float64), n + r["n"]
     idf = (np.log((1 + n) / (1 + seen)) + 1).astype(np.float32)
-    parts = sample.groupBy("lang").applyInPandas(_cluster(idf, k, slack), "lang string, part int, centroid binary, radius double")
+    parts = sample.groupBy("lang").applyInPandas(_cluster(idf, k, slack), "lang string, part int, centroid binary, radius binary")
     found = sorted(parts.collect(), key=lambda r: (r["lang"], r["part"]))
     sample.unpersist()
     if not found:
-        return Model([], np.zeros((0, DIM), np.float32), np.zeros(0), idf)
+        return Model([], np.zeros((0, DIM), np.float32), np.zeros((0, len(SIZES))), idf)
     return Model([r["lang"] for r in found], np.stack([np.frombuffer(r["centroid"], np.float32) for r in found]),
-                 np.array([r["radius"] for r in found]), idf)
+                 np.stack([np.frombuffer(r["radius"], np.float64) for r in found]), idf)
 
 
 def _by_lang():
@@ -168,7 +201,8 @@ def _predict_batches(model: Model, text_at: int, step: int = 256):
                     tf = np.stack([counts(t) for t, o in zip(texts, ok, strict=True) if o])
                     sims = weighted(tf, model.idf) @ model.centroids.T
                     best[ok], cos[ok] = np.argmax(sims, axis=1), np.clip(sims.max(axis=1), 0, 1)
-                    far[ok] = (1 - cos[ok] > model.radius[best[ok]] + 1e-6) & (tf.sum(axis=1) >= EVIDENCE)
+                    size = np.searchsorted(SIZES, tf.sum(axis=1), side="right") - 1
+                    far[ok] = (1 - cos[ok] > model.radius[best[ok], np.maximum(size, 0)] + 1e-6) & (size >= 0)
                 pred += list(langs[best])
                 score += [round(float(c), 6) for c in cos]
                 rejected += far.tolist()
@@ -181,8 +215,8 @@ def _predict_batches(model: Model, text_at: int, step: int = 256):
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", names: tuple[str, str, str] = ("lang_pred", "score", "rejected")) -> DataFrame:
     """docs with the nearest language (``und`` for null, for texts without a letter and for an empty
-    model), its cosine (0 to 1) and whether the text is rejected (``und``, or too far with at least
-    EVIDENCE 3-grams)."""
+    model), its cosine (0 to 1) and whether the text is rejected (``und``, or too far for its
+    length with at least SIZES[0] 3-grams)."""
     from pyspark.sql import types as T
 
     for_workers(docs.sparkSession)

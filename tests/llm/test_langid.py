@@ -37,3 +37,19 @@ def test_long_texts_in_pieces(monkeypatch):
     whole = langid.counts(text)
     monkeypatch.setattr(langid, "_PIECE", 64)
     assert abs(langid.counts(text).sum() - whole.sum()) < 60 and np.count_nonzero(whole) > 5
+
+
+def _english(i, n):
+    words = "the of and to in is that for it with as was on be by this have from or had not are but what all were when we there can an your which their said if do will each about how".split()
+    rng = np.random.default_rng(i)
+    return " ".join(rng.choice(words, n))
+
+
+def test_short_texts_have_a_wider_but_finite_radius(spark):
+    rows = [(i, _english(i, 80), "en") for i in range(200)]
+    docs = spark.createDataFrame([(0, "zzqx vvkj qqxz jjwv kkzq xxvq"), (1, "zzqx vvkj qqxz " * 4), *[(10 + i, _english(1000 + i, 4 + i % 20)) for i in range(60)]], "doc_id long, text string")
+    for train in (rows, [*rows, (900, "zzqx vvkj qqxz jjwv kkzq xxvq " * 8, "en")], [(i, " ".join(t.split()[:25]), lang) for i, t, lang in rows]):
+        model = langid.fit(spark.createDataFrame(train, "doc_id long, text string, lang string"))
+        assert (model.radius < 0.99).all() and (model.radius[:, 0] > model.radius[:, 3]).all()
+        got = {r["doc_id"]: r["rejected"] for r in langid.predict(docs, model).collect()}
+        assert got[0] and got[1] and sum(got[10 + i] for i in range(60)) <= 2
