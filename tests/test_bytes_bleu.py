@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bleu_ref import corpus_bleu_local
-from conftest import run_col
+from helpers import run_col
 from corpusprep.functions import bytetok as BT
 from corpusprep.operators import bleu as BL
 from corpusprep.operators import scoring as SC

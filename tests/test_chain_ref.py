@@ -4,7 +4,7 @@ import random
 
 import chain_ref as R
 import pytest
-from conftest import run_chain
+from helpers import run_chain
 
 from corpusprep.functions.cleaning import SOURCE, TARGET
 from corpusprep.functions.numbers import number_chain

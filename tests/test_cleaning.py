@@ -1,7 +1,7 @@
 """Chains A and E: whole rows, one or more cases per live rule, dead rules stay dead."""
 
 import pytest
-from conftest import run_chain
+from helpers import run_chain
 
 from corpusprep.functions.cleaning import SOURCE, TARGET
 from corpusprep.functions.rules import Chain

@@ -3,7 +3,7 @@
 from fractions import Fraction
 
 import pytest
-from conftest import run_chain, run_col
+from helpers import run_chain, run_col
 
 from corpusprep.functions import numbers as NU
 from corpusprep.functions.rules import Chain
