@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from corpusprep.llm import bpe, chat, exact, langid, mixing, pii, quality, secrets, simhash, warc
+from corpusprep.llm import bpe, chat, decontaminate, exact, langid, mixing, negatives, pii, quality, runs, secrets, simhash, warc
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SHINGLE, MAX_BITS = 3, 2
@@ -192,6 +192,73 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """
 
+
+def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.scan(documents(spark, sf_dir).select("doc_id", "text"), items, drop_text=True)
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join(F.array_sort("items"), ",").cast("binary"), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
+
+
+# Windows of every length that items have, joined with the documents' word sequences of that length.
+OP11_SQL = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+win AS MATERIALIZED (SELECT DISTINCT item, k, array_to_string(w[p:p + k - 1], ' ') AS gram
+        FROM (SELECT item, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM (SELECT *, least(10, len(w)) AS k FROM i WHERE len(w) > 0))),
+g AS (SELECT r, p, k, array_to_string(w[p:p + k - 1], ' ') AS gram
+      FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, (SELECT DISTINCT k FROM win) WHERE len(w) >= k)),
+x AS MATERIALIZED (SELECT r, p, k, item FROM g JOIN win USING (k, gram)),
+h AS (SELECT r, count(DISTINCT word) AS n FROM (SELECT r, unnest(range(p, p + k)) AS word FROM (SELECT DISTINCT r, p, k FROM x)) GROUP BY r),
+t AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM x) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(t.n, 0) AS n_items, sha256(coalesce(t.items, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN h ON h.r = d.r LEFT JOIN t ON t.r = d.r
+"""
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(planted_runs(documents(spark, sf_dir)), drop_text=True)
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    found = found.select("doc_id", "runs", "collapsed", runs.strongest(F.col("runs")).alias("best"))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): a tenth of the documents, by checksum of the id, repeat a part of their words to the end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    chosen = F.when(h % 10 == 0, F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    some = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), chosen.alias("w"))  # a projection of its own: w is used often
+    n, g, w = F.size("w"), F.col("g"), F.col("w")
+    a = (g % n).cast("int")
+    p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice(w, a + 1, p), F.ceil((n - a) / p).cast("int"))), 1, n - a)
+    return some.select("doc_id", F.when(n > 0, F.array_join(F.concat(F.slice(w, 1, a), tail), " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = negatives.usable(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label"), "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select("vec_id", label.alias("label"), F.transform("embedding", lambda x: F.floor(F.lit(256) * x.cast("double"))).alias("vector"))
+    return negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
+OP13_SQL = """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (SELECT a.vec_id AS a, c.vec_id AS c, a.label = c.label AS same, CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+      FROM v a, v c WHERE a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id),
+p AS (SELECT a, c, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, c) <= 5)
+SELECT p.a AS anchor_id, p.c AS positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.c AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.a = p.a AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+WINDOW w AS (PARTITION BY p.a, p.c ORDER BY s.score DESC, s.c) QUALIFY row_number() OVER w <= 3
+"""
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_exact_dedup": op2_exact_dedup,
@@ -203,7 +270,11 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_pii": op9_pii,
     "op10_warc": op10_warc,
+    "op11_decontaminate": op11_decontaminate,
+    "op12_runs": op12_runs,
+    "op13_negatives": op13_negatives,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE_SQL = {"op2_exact_dedup": OP2_SQL, "op4_quality": OP4_SQL, "op6_secrets": OP6_SQL, "op5_chat": OP5_SQL, "op10_warc": OP10_SQL}
+ORACLE_SQL = {"op2_exact_dedup": OP2_SQL, "op4_quality": OP4_SQL, "op6_secrets": OP6_SQL, "op5_chat": OP5_SQL, "op10_warc": OP10_SQL,
+              "op11_decontaminate": OP11_SQL, "op13_negatives": OP13_SQL}
