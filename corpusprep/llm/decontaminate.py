@@ -183,30 +183,29 @@ def compile_block(texts: list[tuple[str, list[bytes], bool]], window: int) -> Au
     return Automaton(window, vocab, go, link, length, level, short, {k: sorted(v) for k, v in items.items()}, least)
 
 
-def _build_batches(window: int, block_words: int):
-    """Fill blocks of at most block_words words; emit one pickled automaton a block."""
-    def run(batches):
-        texts, n = [], 0
+def _build_group(window: int, block_words: int):
+    """Fill blocks of at most block_words words; one pickled automaton a block."""
+    def run(group: pa.Table) -> pa.Table:
+        made, texts, n = [], [], 0
         step = block_words - window + 1
-        for b in batches:
-            for item, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                ws = words(text)
-                pieces = [ws[i:i + block_words] for i in range(0, max(1, len(ws) - window + 1), step)] if ws else []
-                for piece in pieces:
-                    if n + len(piece) > block_words:
-                        yield _packed(texts, window)
-                        texts, n = [], 0
-                    texts.append((item, piece, len(pieces) == 1))
-                    n += len(piece)
+        for item, text in zip(group.column("item").to_pylist(), group.column("text").to_pylist(), strict=True):
+            ws = words(text)
+            pieces = [ws[i:i + block_words] for i in range(0, max(1, len(ws) - window + 1), step)] if ws else []
+            for piece in pieces:
+                if n + len(piece) > block_words:
+                    made.append(_packed(texts, window))
+                    texts, n = [], 0
+                texts.append((item, piece, len(pieces) == 1))
+                n += len(piece)
         if texts:
-            yield _packed(texts, window)
+            made.append(_packed(texts, window))
+        return pa.table({"automaton": pa.array(made, pa.binary())})
 
     return run
 
 
-def _packed(texts, window: int) -> pa.RecordBatch:
-    data = pickle.dumps(compile_block(texts, window), protocol=5)
-    return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], names=["automaton"])
+def _packed(texts, window: int) -> bytes:
+    return pickle.dumps(compile_block(texts, window), protocol=5)
 
 
 def compile_items(items: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -216,11 +215,11 @@ def compile_items(items: DataFrame, window: int = WINDOW, block_words: int = BLO
         raise ValueError("window must be positive, block_words at least twice as large")
     for_workers(items.sparkSession)
     texts = items.select(F.coalesce(col(item_col).cast("string"), F.lit("")).alias("item"), col(text_col).cast("string").alias("text"))
-    # an upper bound of the words is enough to choose the number of tasks
+    # the number of blocks goes by the items alone, not by how Spark deals them out
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    tasks = max(1, -(-chars // (4 * block_words)))
-    texts = texts.distinct().repartition(tasks, "item", "text")
-    return saved(texts.mapInArrow(_build_batches(window, block_words), "automaton binary"), "automata")
+    blocks = max(1, -(-chars // (4 * block_words)))
+    texts = texts.distinct().withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
+    return saved(texts.groupBy("block").applyInArrow(_build_group(window, block_words), "automaton binary"), "automata")
 
 
 _LOADED: dict[str, Automaton] = {}
