@@ -7,6 +7,8 @@ with ``aggregate``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,9 +30,10 @@ FRACTION_TEXT = [
     ("1", "6", "⅙"), ("1", "4", "¼"), ("1", "3", "⅓"), ("1", "2", "½"),
     ("2", "3", "⅔"), ("3", "4", "¾"), ("5", "6", "⅚"),
 ]
-# Decimal part → fraction character: a decimal part whose nearest fraction with denominator
-# <= 12 is one of these seven. Expressed as open intervals between midpoints to the Farey
-# neighbours (F12), so no rational arithmetic is needed per row.
+# The largest denominator of the fractions that decimal parts are rounded to.
+MAX_DENOMINATOR = 12
+# The oracle's form of the same rounding: a decimal part whose nearest fraction with denominator
+# <= 12 is one of these seven lies in an open interval between midpoints to the Farey neighbours.
 FRACTION_INTERVALS = [
     ("⅙", 13 / 84, 23 / 132),
     ("¼", 17 / 72, 23 / 88),
@@ -146,13 +149,66 @@ def _fraction_value_sql(e: str) -> str:
 # ---------------------------------------------------------------------------------------------
 # decimals → integer (tiny decimal part) or Unicode fraction
 # ---------------------------------------------------------------------------------------------
+SCALE, HALF_SCALE = 2**53, 2**40
+
+
+def _as_struct(n: Column, d: Column) -> Column:
+    return F.struct(n.alias("n"), d.alias("d"))
+
+
+def nearest_fraction(x: Column, max_denominator: int = MAX_DENOMINATOR, out: Callable[[Column, Column], Column] = _as_struct) -> Column:
+    """``out(n, d)`` of the fraction n / d nearest to 0 <= x < 1 with d <= max_denominator (of two, the
+    convergent). Continued-fraction descent in integers, on x in units of 2^-53.
+
+    A step takes the quotient of the last two remainders; the first convergent whose denominator would
+    pass the limit gives way to the last one or to the largest semiconvergent within the limit. x lies
+    between those two, so which is nearer is told by their midpoint, compared with all bits of x.
+    Denominators grow at least like the Fibonacci numbers, which bounds the steps.
+    """
+    if not 1 <= max_denominator <= 500:
+        raise ValueError("max_denominator must lie between 1 and 500")
+    steps, a, b = 2, 1, 1
+    while b <= max_denominator:
+        steps, a, b = steps + 1, b, a + b
+    num = F.floor(x * F.lit(float(SCALE))).cast("bigint")
+    n, limit, one = (lambda v: F.lit(v).cast("bigint")), F.lit(max_denominator).cast("bigint"), F.lit(SCALE).cast("bigint")
+    scaled = x * F.lit(float(HALF_SCALE))
+    start = F.struct(F.floor(scaled).cast("bigint").alias("high"), (scaled - F.floor(scaled)).alias("low"), n(0).alias("p0"), n(1).alias("q0"), n(1).alias("p1"), n(0).alias("q1"), num.alias("r0"), one.alias("r1"), F.lit(False).alias("done"))
+
+    def step(s: Column, _: Column) -> Column:
+        quotient = F.call_function("div", s["r0"], s["r1"])
+        q2 = s["q0"] + quotient * s["q1"]
+        stop = s["done"] | (s["r1"] == 0)
+        further = F.struct(
+            s["high"].alias("high"), s["low"].alias("low"), s["p1"].alias("p0"), s["q1"].alias("q0"), (s["p0"] + quotient * s["p1"]).alias("p1"), q2.alias("q1"),
+            s["r1"].alias("r0"), (s["r0"] - quotient * s["r1"]).alias("r1"), F.lit(False).alias("done"))
+        return F.when(stop, s).when(q2 > limit, s.withField("done", F.lit(True))).otherwise(further)
+
+    def nearest(s: Column) -> Column:
+        k = F.call_function("div", limit - s["q0"], s["q1"])
+        p, q = s["p0"] + k * s["p1"], s["q0"] + k * s["q1"]
+        both, twice = s["p1"] * q + p * s["q1"], F.lit(2) * q * s["q1"]  # the midpoint is both / twice
+        left = (both * F.lit(HALF_SCALE) - s["high"] * twice).cast("double")
+        past = s["low"] * twice  # exact: x below 2^-21 is nearest to 0 by far, others leave few bits
+        upper = s["p1"] * q > p * s["q1"]
+        last = ~s["done"] | (upper & (past >= left)) | (~upper & (past <= left))
+        return F.when(last, out(s["p1"], s["q1"])).otherwise(out(p, q))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step, nearest)
+
+
 def _decimal_to_fraction_one(m: Column) -> Column:
     v = _num(m)
     ip = F.floor(v)
     dp = v - ip
-    frac = F.lit(None).cast("string")
-    for ch, lo, hi in reversed(FRACTION_INTERVALS):
-        frac = F.when((dp > F.lit(lo)) & (dp < F.lit(hi)), F.lit(ch)).otherwise(frac)
+
+    def sign(n: Column, d: Column) -> Column:
+        found = F.lit(None).cast("string")
+        for top, bottom, ch in FRACTION_TEXT:
+            found = F.when((n == int(top)) & (d == int(bottom)), F.lit(ch)).otherwise(found)
+        return found
+
+    frac = nearest_fraction(dp, out=sign)
     with_int = F.when(ip == 0, frac).otherwise(F.concat(ip.cast("string"), F.lit(" "), frac))
     return (
         F.when(v.isNull(), m)

@@ -9,13 +9,20 @@ key columns only and brings at most 65,536 counts to the driver.
 
 ``split_group`` keeps every row of a group (e.g. a document) on one side: threshold on the
 hash of the group key (no leak between sides; counts are approximate by design).
+``split_group_exact`` does so with the size of the law: whole groups in hash order until they hold
+``max(1, int(0.1 * n))`` rows, so the last group alone decides how far the size is above it. A histogram of
+rows over the groups' hashes is one of group sizes already, so no group is ever counted by itself
+but those beside the cut.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.rows import row_identity
 from ..functions.tokens import py_strip, py_strip_sql
 
 SEED = 42
@@ -68,40 +75,73 @@ def _pick(hist: dict[int, int], rank: int) -> tuple[int, int]:
     raise ValueError("rank beyond the data")
 
 
+@dataclass(frozen=True)
+class Cut:
+    """Rows up to hash ``h`` (ties: up to key ``k``) go first; of the cut's own ``count`` rows, ``need``."""
+
+    h: str
+    k: str
+    need: int
+    count: int
+
+
+def find_cut(keys: DataFrame, rank: int, hist: dict[int, int]) -> Cut:
+    """The key of the ``rank``-th row of (_h hex hash, _k key) in their order. ``hist`` are the counts over
+    the first 16 bits; a second histogram and the few keys of one sub-bucket give the rest."""
+    hex_digits = LEVEL_BITS // 4
+    b1, b2 = _bits(F.col("_h"), 1, hex_digits), _bits(F.col("_h"), 1 + hex_digits, hex_digits)
+    top, rank = _pick(hist, rank)
+    inside = keys.filter(b1 == top)
+    sub, rank = _pick(_histogram(inside, b2), rank)
+    # distinct keys of one 2^-32 share of the hash range, with their counts
+    last = inside.filter(b2 == sub).groupBy("_h", "_k").count().orderBy("_h", "_k").collect()
+    at, need = _pick(dict(enumerate(r["count"] for r in last)), rank)
+    return Cut(last[at]["_h"], last[at]["_k"], need, last[at]["count"])
+
+
+def _top_histogram(keys: DataFrame) -> dict[int, int]:
+    return _histogram(keys, _bits(F.col("_h"), 1, LEVEL_BITS // 4))
+
+
+def _named(c: Column) -> Column:
+    return F.when(c, F.lit("validation")).otherwise(F.lit("train"))
+
+
+COPIES = 10_000
+
+
 def split_exact(df: DataFrame, key: Column, seed: int = SEED, share: float = VALIDATION_SHARE) -> DataFrame:
     """Adds ``split`` ('validation' | 'train').
 
     The cut value comes from histograms over the keys alone; rows then pass through with one
-    comparison. Rows that share the cut key beyond the exact size are told apart by their other
-    columns, and rows equal in all columns by their number.
+    comparison. Rows that share the cut key beyond the exact size are cut the same way, by a hash of
+    the whole row; rows equal in all columns by their number. No step sorts rows or brings those of
+    one key together, however many share it.
     """
-    h, k = order_hash(F.coalesce(key, F.lit("")), seed), F.coalesce(key, F.lit(""))
+    k = F.coalesce(key, F.lit(""))
+    h = order_hash(k, seed)
     keys = df.select(h.alias("_h"), k.alias("_k"))
-    hex_digits = LEVEL_BITS // 4
-    b1 = _bits(F.col("_h"), 1, hex_digits)
-    b2 = _bits(F.col("_h"), 1 + hex_digits, hex_digits)
-    hist1 = _histogram(keys, b1)
-    n_val = validation_size(sum(hist1.values()), share)
+    hist = _top_histogram(keys)
+    n_val = validation_size(sum(hist.values()), share)
     if n_val == 0:
         return df.withColumn("split", F.lit("train"))
-    top, r1 = _pick(hist1, n_val)
-    inside = keys.filter(b1 == top)
-    sub, r2 = _pick(_histogram(inside, b2), r1)
-    # distinct keys of one 2^-32 share of the hash range, with their counts
-    last = inside.filter(b2 == sub).groupBy("_h", "_k").count().orderBy("_h", "_k").collect()
-    at, need = _pick(dict(enumerate(r["count"] for r in last)), r2)
-    cut = last[at]
-    same = (h == cut["_h"]) & (k == cut["_k"])
-    first = (h < cut["_h"]) | ((h == cut["_h"]) & (k <= cut["_k"]))
-    named = lambda c: F.when(c, F.lit("validation")).otherwise(F.lit("train"))
-    if need == cut["count"]:
-        return df.withColumn("split", named(first))
-    tied = df.filter(same).groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n")).withColumn("_r", F.xxhash64(*df.columns))
-    order = Window.partitionBy(F.lit(0)).orderBy("_r", *df.columns).rowsBetween(Window.unboundedPreceding, -1)
-    tied = tied.withColumn("_before", F.coalesce(F.sum("_n").over(order), F.lit(0).cast("long")))
-    tied = tied.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
-    tied = tied.select(*df.columns, named(F.col("_before") + F.col("_i") <= need).alias("split"))
-    return df.filter(~same).withColumn("split", named(first)).unionByName(tied)
+    cut = find_cut(keys, n_val, hist)
+    same = (h == cut.h) & (k == cut.k)
+    before = (h < cut.h) | ((h == cut.h) & (k < cut.k))
+    if cut.need == cut.count:
+        return df.withColumn("split", _named(before | same))
+    whole = row_identity(df)
+    tied = df.filter(same).select(whole.alias("_h"), F.lit("").alias("_k"))
+    row = find_cut(tied, cut.need, _top_histogram(tied))
+    if row.need == row.count:
+        return df.withColumn("split", _named(before | (same & (whole <= row.h))))
+    copies = df.filter(same & (whole == row.h)).groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    copies = copies.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(COPIES).cast("long"))))
+    copies = copies.repartition("_from").withColumn(
+        "_i", F.explode(F.sequence("_from", F.least(F.col("_from") + COPIES, F.col("_n")) - 1)))
+    copies = copies.select(*df.columns, _named(F.col("_i") < row.need).alias("split"))
+    rest = df.filter(~(same & (whole == row.h)))
+    return rest.withColumn("split", _named(before | (same & (whole < row.h)))).unionByName(copies)
 
 
 def split_exact_sql(base_sql: str, key_sql: str, seed: int = SEED, share: float = VALIDATION_SHARE) -> str:
@@ -124,6 +164,29 @@ def split_group_sql(base_sql: str, group_key_sql: str, seed: int = SEED, share:
     return f"SELECT *, CASE WHEN {u} < {int(share * 2**32)} THEN 'validation' ELSE 'train' END AS split FROM ({base_sql})"
 
 
+def split_group_exact(df: DataFrame, group_key: Column, seed: int = SEED, share: float = VALIDATION_SHARE) -> DataFrame:
+    """L2b with the size of the law: groups in hash order (ties by key) are validation until they hold
+    ``max(1, int(share * n))`` rows together. Rows without a group key form one group."""
+    k = F.coalesce(group_key, F.lit(""))
+    h = order_hash(k, seed)
+    keys = df.select(h.alias("_h"), k.alias("_k"))
+    hist = _top_histogram(keys)
+    n_val = validation_size(sum(hist.values()), share)
+    if n_val == 0:
+        return df.withColumn("split", F.lit("train"))
+    cut = find_cut(keys, n_val, hist)
+    return df.withColumn("split", _named((h < cut.h) | ((h == cut.h) & (k <= cut.k))))
+
+
+def split_group_exact_sql(base_sql: str, group_key_sql: str, seed: int = SEED, share: float = VALIDATION_SHARE) -> str:
+    return f"""
+WITH b AS (SELECT *, coalesce({group_key_sql}, '') AS k_, md5('{seed}|' || coalesce({group_key_sql}, '')) AS h_ FROM ({base_sql})),
+g AS (SELECT h_, k_, count(*) AS n_ FROM b GROUP BY h_, k_),
+c AS (SELECT h_, k_, coalesce(sum(n_) OVER (ORDER BY h_, k_ ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_,
+             greatest(1, CAST(floor(sum(n_) OVER () * {share}) AS BIGINT)) AS size_ FROM g)
+SELECT b.* EXCLUDE (h_, k_), CASE WHEN before_ < size_ THEN 'validation' ELSE 'train' END AS split FROM b JOIN c ON b.h_ = c.h_ AND b.k_ = c.k_"""
+
+
 def split_counts(split_df: DataFrame) -> DataFrame:
     """AG5/K4: the metadata document (train_rows, validation_rows) as one row."""
     return split_df.agg(

@@ -294,24 +294,16 @@ def bleu_score(spark: SparkSession, sf: str) -> DataFrame:
 from ..functions.tokens import py_strip_sql as _pss  # noqa: E402
 from ..operators import scoring as SC  # noqa: E402
 
-# a small share of the turns is blank
-_PRED_INPUT_SQL = "SELECT conv_id, turn, CASE WHEN (conv_id + turn) % 61 = 0 THEN ' ' ELSE text END AS text FROM conversations"
 _BLANK_TEXT_SQL = _pss("coalesce(text, '')")
 _PRED_SQL = (f"SELECT conv_id, turn, CASE WHEN {_BLANK_TEXT_SQL} = '' THEN '' "
              f"ELSE array_to_string(list_reverse({split_ws_sql('text')}), ' ') END AS predicted_translation "
-             f"FROM ({_PRED_INPUT_SQL})")
-
-
-def _pred_input(spark: SparkSession, sf: str) -> DataFrame:
-    c = D.read_table(spark, sf, "conversations")
-    blank = (F.col("conv_id") + F.col("turn")) % 61 == 0
-    return c.select("conv_id", "turn", F.when(blank, F.lit(" ")).otherwise(F.col("text")).alias("text"))
+             f"FROM ({D.turns_sql()})")
 
 
 @register("predict_blank_passthrough", _PRED_SQL)
 def predict_blank_passthrough(spark: SparkSession, sf: str) -> DataFrame:
     """Blank inputs skip the predictor and get ''; rows keep their columns."""
-    return SC.predict(_pred_input(spark, sf), SC.reverse_words, "text").drop("text")
+    return SC.predict(D.turns(spark, sf), SC.reverse_words, "text").drop("text")
 
 
 @register("prediction_summary", f"SELECT count(*) AS rows, count(*) FILTER (WHERE length(predicted_translation) > 0) AS non_empty FROM ({_PRED_SQL})")
@@ -414,3 +406,224 @@ def qa_sample(spark: SparkSession, sf: str) -> DataFrame:
 def lexicon_url_map(spark: SparkSession, sf: str) -> DataFrame:
     """Token variants → URL, last row wins."""
     return DI.lexicon_url_map(D.lexicon(spark, sf))
+
+
+# ---------------------------------------------------------------------------------------------
+# file formats: tables written in the reference's formats and read back
+# ---------------------------------------------------------------------------------------------
+from ..session import scratch  # noqa: E402
+from ..sources import readers as R  # noqa: E402
+from ..sources import writers as W  # noqa: E402
+from . import pipelines as PL  # noqa: E402
+
+_CSV_COLUMNS = ["oare_id", "transliteration", "translation", "lang"]
+
+
+def _documents_csv(spark: SparkSession, sf: str, quote_all: bool) -> str:
+    path = scratch(spark, "documents-csv")
+    W.write_csv(D.documents(spark, sf).select(*_CSV_COLUMNS), path, quote_all=quote_all)
+    return path
+
+
+_CSV_SQL = f"SELECT oare_id, nullif(transliteration, '') AS transliteration, nullif(translation, '') AS translation, lang FROM ({D.documents_sql()})"
+
+
+@register("csv_roundtrip", _CSV_SQL)
+def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """K1 + S1: whole texts with quotes and line breaks through CSV; an empty cell is a missing one."""
+    return R.read_csv_strings(spark, _documents_csv(spark, sf, False), missing=("",))
+
+
+@register("csv_quoted_roundtrip", _CSV_SQL)
+def csv_quoted_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """K2 + S1: the same with every field quoted."""
+    return R.read_csv_strings(spark, _documents_csv(spark, sf, True), missing=("",))
+
+
+# every page as a CSV row with its number; beside some of them a row with another number of fields, and one whose number is none
+_RAGGED, _NO_NUMBER = 5, 7
+
+
+def _pages_csv(spark: SparkSession, sf: str) -> str:
+    from ..session import spread
+
+    path = scratch(spark, "pages-csv")
+    p = spread(D.read_table(spark, sf, "pages").select("page_id", "url"))
+    n = p.page_id.cast("string")
+    lines = F.array(
+        F.concat(n, F.lit(","), p.url),
+        F.when(p.page_id % _RAGGED == 0, F.concat(n, F.lit(","), p.url, F.lit(",more"))),
+        F.when(p.page_id % _NO_NUMBER == 0, F.concat(F.lit("no"), n, F.lit(","), p.url)))
+    p.select(F.explode(F.array_compact(lines)).alias("value")).write.text(path)
+    return path
+
+
+def _pages_checked(spark: SparkSession, sf: str) -> DataFrame:
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+    schema = StructType([StructField("page_id", LongType()), StructField("url", StringType())])
+    return R.read_csv_checked(spark, _pages_csv(spark, sf), schema, names=["page_id", "url"])
+
+
+@register("csv_good_rows", "SELECT page_id, url FROM pages")
+def csv_good_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Typed rows of a CSV that also holds rows that do not parse."""
+    return R.good(_pages_checked(spark, sf))
+
+
+@register("csv_bad_rows", f"""
+SELECT 'not 2 fields' AS reason, page_id || ',' || url || ',more' AS record FROM pages WHERE page_id % {_RAGGED} = 0
+UNION ALL
+SELECT 'page_id is not bigint' AS reason, '{{"page_id":"no' || page_id || '","url":"' || url || '"}}' AS record FROM pages WHERE page_id % {_NO_NUMBER} = 0""")
+def csv_bad_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of that CSV that do not parse, with the reason (their place depends on the files)."""
+    return R.bad(_pages_checked(spark, sf)).select("reason", "record")
+
+
+def _lexicon_csv(spark: SparkSession, sf: str) -> str:
+    """Positional rows of eight fields; beside every row of type PN a short one."""
+    path = scratch(spark, "lexicon-csv")
+    lex = D.lexicon(spark, sf)
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    full = F.concat_ws(",", quoted(F.col("row_type")), quoted(F.col("form")), F.lit(""), F.lit(""), quoted(F.col("url")), F.lit(""), F.lit(""), F.lit("x"))
+    short = F.when(F.col("row_type") == "PN", F.concat_ws(",", F.lit("word"), quoted(F.col("form"))))
+    lex.select(F.explode(F.array_compact(F.array(full, short))).alias("value")).write.text(path)
+    return path
+
+
+@register("lexicon_csv", f"SELECT row_type, form, url FROM ({D.lexicon_sql()})")
+def lexicon_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """S3: positional lexicon rows; short ones are skipped."""
+    return R.read_lexicon_csv(spark, _lexicon_csv(spark, sf)).select("row_type", "form", "url")
+
+
+@register("lexicon_bad_rows", f"""SELECT 'fewer than 5 fields' AS reason, 'word,"' || form || '"' AS record FROM ({D.lexicon_sql()}) WHERE row_type = 'PN'""")
+def lexicon_bad_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """S3: the short rows, as they stand in the file."""
+    return R.bad(R.read_lexicon_checked(spark, _lexicon_csv(spark, sf))).select("reason", "record")
+
+
+@register("definitions_csv", f"SELECT word, definition FROM ({D.definitions_sql()}) WHERE {_pss('word')} <> ''")
+def definitions_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """K5 + S4: definitions written and read back by the header's names."""
+    path = scratch(spark, "definitions-csv")
+    d = D.definitions(spark, sf).select("word", F.lit("r").alias("raw_url"), F.lit("a").alias("api_url"), "definition")
+    W.write_definitions(d, path)
+    return R.read_definitions_csv(spark, path).select("word", F.coalesce("definition", F.lit("")).alias("definition"))
+
+
+@register("missing_inputs", f"SELECT id, '' AS transliteration_clean, '' AS transliteration_with_annotations FROM ({D.test_documents_sql()})")
+def missing_inputs(spark: SparkSession, sf: str) -> DataFrame:
+    """S6 + S7 + G9: a test table without a text column and a dictionary file that is not there."""
+    none = DI.build_dictionary(R.read_definitions_csv(spark, scratch(spark, "no-such-file")))
+    return AL.build_clean_test(D.test_documents(spark, sf).select("id"), none)
+
+
+# ---------------------------------------------------------------------------------------------
+# splits: named partitions, counters of the write, groups of the exact size, length sketches
+# ---------------------------------------------------------------------------------------------
+def _written_split(spark: SparkSession, sf: str) -> tuple[str, dict[str, int]]:
+    path = scratch(spark, "pairs")
+    return path, W.write_jsonl_by_split(split_exact(spark, sf).select("input_text", "target_text", "split"), path)
+
+
+@register("named_splits", f"SELECT input_text, target_text, split FROM ({_SPLIT_SQL})")
+def named_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """K3 + S5 + U2: JSONL written by split, read back as one table; a split is a partition."""
+    return R.read_pair_splits(spark, _written_split(spark, sf)[0])
+
+
+@register("split_meta", SP.split_counts_sql(_SPLIT_SQL))
+def split_meta(spark: SparkSession, sf: str) -> DataFrame:
+    """AG6 + K4: the metadata counted while the splits are written, read back from its file."""
+    path, counts = _written_split(spark, sf)
+    W.write_split_meta(spark, counts, path + "-meta")
+    return spark.read.schema("train_rows long, validation_rows long").json(path + "-meta")
+
+
+@register("split_group_exact", SP.split_group_exact_sql(_PAIRS_SQL, "CAST(conv_id AS VARCHAR)"))
+def split_group_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations kept whole, as many as hold the law's number of rows."""
+    return SP.split_group_exact(_pairs(spark, sf), F.col("conv_id").cast("string"))
+
+
+_TEXTS, _RANKS = ["transliteration", "translation"], (0.05, 0.25, 0.5, 0.75, 0.95)
+
+
+@register("length_sketches", f"""
+SELECT c AS column, r AS rank, (SELECT count(*) FROM ({D.documents_sql()})) AS rows, true AS within_error
+FROM (SELECT unnest({_TEXTS}) AS c), (SELECT unnest([{', '.join(map(str, _RANKS))}]::DOUBLE[]) AS r)""")
+def length_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """Sketches of the lengths by language, written, read back and merged; their quantiles' exact ranks
+    lie within the sketch's error of the ranks asked for."""
+    path, docs = scratch(spark, "sketches"), D.documents(spark, sf)
+    by_language = ST.length_sketches(docs, "lang", _TEXTS)
+    by_language.write.parquet(path)
+    merged = ST.merge_sketches(spark.read.schema(by_language.schema).parquet(path), ["column"])
+    checked = ST.rank_errors(ST.sketch_quantiles(merged, _RANKS), docs, _TEXTS)
+    return checked.select("column", "rank", "rows", (F.col("error") <= ST.KLL_ERROR).alias("within_error"))
+
+
+# ---------------------------------------------------------------------------------------------
+# scoring with a loaded model, resumed definitions, fractions of any denominator
+# ---------------------------------------------------------------------------------------------
+@register("predict_loaded", _PRED_SQL)
+def predict_loaded(spark: SparkSession, sf: str) -> DataFrame:
+    """The model is set up once a worker, texts go to it in batches of at most 4 kB."""
+    return SC.predict(D.turns(spark, sf), None, "text", setup=lambda: SC.reverse_words, batch_bytes=4096).drop("text")
+
+
+def _resumed(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+    """A run over the tokens whose dictionary pages are https, then one over all."""
+    path, queue = scratch(spark, "definitions"), DI.extract_lexicon(D.lexicon(spark, sf))
+    PL.add_definitions(queue.filter(F.col("url").startswith("https")), D.payloads(spark, sf), path, _PARAM, _NAME)
+    return path, PL.add_definitions(queue, D.payloads(spark, sf), path, _PARAM, _NAME)
+
+
+@register("definitions_resumed", f"SELECT word, raw_url, api_url, definition FROM ({QUERIES['definitions_assembled'][1]})")
+def definitions_resumed(spark: SparkSession, sf: str) -> DataFrame:
+    """G6 + K5: all versions together are what one run over the whole queue would have written."""
+    from ..sources import versions as V
+
+    return V.read_versions(spark, _resumed(spark, sf)[0] + "/store", DI.STORE_SCHEMA).select("word", "raw_url", "api_url", "definition")
+
+
+_LATER = f"contains(url, '{_PARAM}') AND NOT starts_with(url, 'https')"
+_KNOWN = f"SELECT url FROM ({_QUEUE_SQL}) WHERE contains(url, '{_PARAM}') AND starts_with(url, 'https')"
+
+
+@register("resume_counters", f"""
+SELECT count(*) AS queued, count(*) FILTER (WHERE {_LATER}) AS written,
+       count(DISTINCT CASE WHEN {_LATER} AND url NOT IN ({_KNOWN}) THEN url END) AS fetched,
+       count(*) FILTER (WHERE {_LATER}) - count(DISTINCT CASE WHEN {_LATER} AND url NOT IN ({_KNOWN}) THEN url END) AS reused
+FROM ({_QUEUE_SQL})""")
+def resume_counters(spark: SparkSession, sf: str) -> DataFrame:
+    """AG7: the counters of the second run."""
+    return _resumed(spark, sf)[1]
+
+
+@register("definitions_head", f"""
+SELECT word, raw_url, api_url, definition FROM ({QUERIES['definitions_assembled'][1]})
+WHERE word IN (SELECT token FROM ({_QUEUE_SQL}) ORDER BY ordinal LIMIT 20)""")
+def definitions_head(spark: SparkSession, sf: str) -> DataFrame:
+    """P13 + L4: the dry run's first 20 tokens in file order."""
+    from ..sources import versions as V
+
+    path = scratch(spark, "definitions-head")
+    PL.add_definitions(DI.extract_lexicon(D.lexicon(spark, sf)), D.payloads(spark, sf), path, _PARAM, _NAME, limit=20)
+    return V.read_versions(spark, path + "/store", DI.STORE_SCHEMA).select("word", "raw_url", "api_url", "definition")
+
+
+_SHARE = 99_991  # prime, so that the shares have no common denominator
+
+
+@register("nearest_fractions", f"""
+SELECT doc_id, p.n, p.d FROM (
+  SELECT doc_id, list_min(list_transform(range(1, 51), lambda d: struct_pack(
+           off := round(abs(x * d - round(x * d)) / d, 12), d := CAST(d AS BIGINT), n := CAST(round(x * d) AS BIGINT)))) AS p
+  FROM (SELECT doc_id, (n_chars % {_SHARE}) / {_SHARE}::DOUBLE AS x FROM documents))""")
+def nearest_fractions(spark: SparkSession, sf: str) -> DataFrame:
+    """F10 for any denominator: the nearest fraction with a denominator up to 50 of a share of every document."""
+    x = (F.col("n_chars") % _SHARE).cast("double") / F.lit(float(_SHARE))
+    near = NU.nearest_fraction(x, 50)
+    return D.read_table(spark, sf, "documents").select("doc_id", near.alias("f")).select("doc_id", "f.n", "f.d")

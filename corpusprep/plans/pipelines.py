@@ -2,7 +2,7 @@
 
   build_corpus       E1: documents + sentences + definitions CSV → train_clean / test_clean
   build_definitions  E2: lexicon CSV + stored API payloads → definitions CSV (+ run counters)
-  make_split         E3a: clean train → train / validation JSONL + metadata
+  make_split         E3a: clean train → JSONL partitioned by split + metadata counted in the same pass
   tokenize_splits    E3b: JSONL splits → byte-token Parquet partitioned by split
   score              E3c: any text column through a predictor → predictions CSV (quote all)
   evaluate           E3d: predictions vs references → corpus BLEU row
@@ -23,6 +23,7 @@ from ..operators import dictionary as DI
 from ..operators import scoring as SC
 from ..operators import split as SP
 from ..sources import readers as R
+from ..sources import versions as V
 from ..sources import writers as W
 
 DOC_COLUMNS = ["oare_id", "transliteration", "translation"]
@@ -45,12 +46,22 @@ def build_definitions(spark: SparkSession, lexicon_csv: str, payloads: DataFrame
                       param: str = "word=", name: str = "word", limit: int | None = None) -> DataFrame:
     """Writes the definitions CSV; returns the run counters (queued, written, fetched, reused).
     ``payloads`` holds (url, payload) for URLs already fetched; no network access happens here.
-    ``limit`` is the reference's dry-run option (first N queued tokens in file order)."""
-    queue = DI.extract_lexicon(R.read_lexicon_csv(spark, lexicon_csv))
+    ``limit`` is the reference's dry-run option (first N queued tokens in file order).
+
+    A later run on the same ``out_dir`` resumes: it adds only tokens not stored yet and parses only URLs not
+    stored yet. The CSV of each run is a version of its own; readers of ``definitions`` see all of them."""
+    return add_definitions(DI.extract_lexicon(R.read_lexicon_csv(spark, lexicon_csv)), payloads, out_dir, param, name, limit)
+
+
+def add_definitions(queue: DataFrame, payloads: DataFrame, out_dir: str, param: str, name: str, limit: int | None = None) -> DataFrame:
+    spark, store = queue.sparkSession, f"{out_dir}/store"
     if limit is not None:
         queue = queue.orderBy("ordinal").limit(limit)
-    W.write_definitions(DI.assemble_definitions(queue, payloads, param, name), f"{out_dir}/definitions")
-    return DI.fetch_counters(queue, param)
+    stored = V.read_versions(spark, store, DI.STORE_SCHEMA)
+    n = V.add_version(DI.new_definitions(queue, payloads, stored, param, name), store)
+    added = spark.read.schema(DI.STORE_SCHEMA).parquet(f"{store}/version={n}")
+    W.write_definitions(added, f"{out_dir}/definitions/version={n}")
+    return DI.run_counters(added, queue.count())
 
 
 def make_split(spark: SparkSession, train_clean_csv: str, out_dir: str) -> None:
@@ -60,13 +71,12 @@ def make_split(spark: SparkSession, train_clean_csv: str, out_dir: str) -> None:
     key = F.concat_ws("|", F.coalesce(F.col("oare_id"), F.lit("")), F.coalesce(F.col("sentence_uuid"), F.lit("")),
                       F.xxhash64("input_text", "target_text").cast("string"))
     split = SP.split_exact(pairs, key)
-    for name in ("train", "validation"):
-        W.write_jsonl(split.filter(F.col("split") == name).select("input_text", "target_text"), f"{out_dir}/{name}")
-    W.write_split_meta(split, f"{out_dir}/meta")
+    counts = W.write_jsonl_by_split(split.select("input_text", "target_text", "split"), f"{out_dir}/pairs")
+    W.write_split_meta(spark, counts, f"{out_dir}/meta")
 
 
 def tokenize_splits(spark: SparkSession, split_dir: str, out_dir: str) -> None:
-    pairs = R.read_pair_splits(spark, {s: f"{split_dir}/{s}" for s in ("train", "validation")})
+    pairs = R.read_pair_splits(spark, f"{split_dir}/pairs")
     ids = BT.byte_ids(F.col("input_text"))
     tok = pairs.select("split", ids.alias("input_ids"), BT.attention_mask(ids).alias("attention_mask"),
                        BT.byte_ids(F.col("target_text")).alias("labels"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -51,6 +52,14 @@ def shared_dir(spark: SparkSession) -> str:
     return _SCRATCH["dir"]
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared folder; removed when the driver's JVM ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/corpusprep-{name}-{uuid.uuid4().hex}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Point the context's checkpoints at shared_dir(spark)."""
     folder = shared_dir(spark)

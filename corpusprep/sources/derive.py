@@ -6,12 +6,11 @@ these adapters derive the same shapes with Spark, so every query's work grows wi
 
 =============  =============================================================================
 documents      ``oare_id`` = doc_id, ``transliteration`` = text + deterministic damage that
-               exercises the cleaning rules, ``translation`` = whole text + damage (NULL for a
-               small share of the ids)
+               exercises the cleaning rules, ``translation`` = whole text + damage; appended: bare
+               documents (copies under ids of their own) without sentences and translation
 sentences      one row per text line with a token: word number of the line's first word (running
-               token count, computed in-row - no shuffle); a small share of the documents has no
-               rows, a small share of the lines no number or no translation; some numbers tie,
-               some are 0 or non-numeric
+               token count, computed in-row - no shuffle); appended: sentences whose number is
+               missing, 0, not a number or taken, without a translation
 definitions    benchmark words; a bounded definition text from the items that use the word
 lexicon        pages: row type ('PN' for spam hosts, 'word' for https, ' word ' padded
                otherwise), a form (language and page number of the URL's path) and the page URL
@@ -34,10 +33,12 @@ TABLES = [
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 
-# Fixed values of the synthetic damage (ours, not the reference's).
-NO_TRANSLATION = 53  # ids divisible by it have no translation
-UNALIGNED = 41  # ids with remainder 7 have no sentences
-UNNUMBERED = 397  # lines whose id + 31 * position is divisible by it have no number and no translation
+# Fixed values of the synthetic damage (ours, not the reference's). Rows for rare cases are appended: every
+# row of the driver's tables keeps its whole text, number and translation.
+BARE = 47  # ids divisible by it appear once more as a document without sentences and translation
+ODD = 31  # ids divisible by it have one more sentence, with one of ODD_NUMBERS
+ODD_NUMBERS = (None, "0", "n/a", "1")
+BLANK = 61  # a turn whose conversation and turn add up to a multiple of it has a blank row beside it
 ROMAN = ["I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX", "X", "XI", "XII"]
 
 
@@ -57,7 +58,8 @@ def source_damage(text: Column, i: Column) -> Column:
         text, F.lit(" obv. ["), _s(i % 9), F.lit("] "), _s(i % 5), F.lit("+"), _s(i % 7),
         F.lit("+1 x xx … a-lim(ki) šu"), _s(i % 10), F.lit(" PN "), _s(i % 4), F.lit("."),
         _s(i % 1000), F.lit(" [x x] . . . ᵈUTU Seal Impression "), F.char(F.lit(65) + i % 26),
-        F.lit(" rev. ki-ma (??) ša=X "), _s(i % 3), F.lit(" broken ≪tup-pí≫ ⸢"), _s(i % 8), F.lit("⸣"),
+        F.lit(" rev. ki-ma (??) ša=X "), _s(i % 3), F.lit(" broken ≪tup-pí≫ ⸢"), _s(i % 8),
+        F.lit("⸣ ------------ ---- Single Ruling ---- a break b ---- Double Ruling ----"),
     )
 
 
@@ -66,7 +68,7 @@ def source_damage_sql(text: str, i: str) -> str:
         f"concat({text}, ' obv. [', {i} % 9, '] ', {i} % 5, '+', {i} % 7, "
         f"'+1 x xx … a-lim(ki) šu', {i} % 10, ' PN ', {i} % 4, '.', {i} % 1000, "
         f"' [x x] . . . ᵈUTU Seal Impression ', chr(CAST(65 + {i} % 26 AS INTEGER)), "
-        f"' rev. ki-ma (??) ša=X ', {i} % 3, ' broken ≪tup-pí≫ ⸢', {i} % 8, '⸣')"
+        f"' rev. ki-ma (??) ša=X ', {i} % 3, ' broken ≪tup-pí≫ ⸢', {i} % 8, '⸣ ------------ ---- Single Ruling ---- a break b ---- Double Ruling ----')"
     )
 
 
@@ -90,12 +92,12 @@ def target_damage_sql(text: str, i: str) -> str:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    copies = F.when(d.doc_id % BARE == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    d = d.select("doc_id", "text", "lang", F.explode(copies).alias("bare"))
     return d.select(
-        d.doc_id.cast("string").alias("oare_id"),
+        F.concat(d.doc_id.cast("string"), F.when(d.bare, F.lit("-bare")).otherwise(F.lit(""))).alias("oare_id"),
         source_damage(d.text, d.doc_id).alias("transliteration"),
-        F.when(d.doc_id % NO_TRANSLATION == 0, F.lit(None).cast("string"))
-        .otherwise(target_damage(d.text, d.doc_id))
-        .alias("translation"),
+        F.when(~d.bare, target_damage(d.text, d.doc_id)).alias("translation"),
         "lang",
         d.doc_id.alias("doc_ordinal"),
     )
@@ -103,9 +105,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents_sql() -> str:
     return (
-        f"SELECT CAST(doc_id AS VARCHAR) AS oare_id, {source_damage_sql('text', 'doc_id')} AS transliteration, "
-        f"CASE WHEN doc_id % {NO_TRANSLATION} = 0 THEN NULL ELSE {target_damage_sql('text', 'doc_id')} END AS translation, "
-        f"lang, doc_id AS doc_ordinal FROM documents"
+        f"SELECT CAST(doc_id AS VARCHAR) || CASE WHEN bare THEN '-bare' ELSE '' END AS oare_id, {source_damage_sql('text', 'doc_id')} AS transliteration, "
+        f"CASE WHEN NOT bare THEN {target_damage_sql('text', 'doc_id')} END AS translation, "
+        f"lang, doc_id AS doc_ordinal FROM (SELECT *, false AS bare FROM documents UNION ALL "
+        f"SELECT *, true AS bare FROM documents WHERE doc_id % {BARE} = 0)"
     )
 
 
@@ -122,53 +125,48 @@ def _line_key_sql(doc_id: str, pos: str) -> str:
 
 
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line starts computed inside the row (prefix sums with ``aggregate``): no shuffle."""
-    d = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text").filter(F.col("doc_id") % UNALIGNED != 7))
+    """Line starts computed inside the row (prefix sums with ``aggregate``): no shuffle. An odd
+    sentence is one more element of its document's lines, without a translation."""
+    d = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     lines = F.split(d.text, "\n")
     counts = F.transform(lines, lambda l: F.size(split_ws(l)))
     prefix = F.aggregate(
         counts, F.array(F.lit(1)), lambda acc, c: F.concat(acc, F.array(F.element_at(acc, -1) + c))
     )
     prefix = F.slice(prefix, 1, F.size(lines))
-    x = d.select("doc_id", F.posexplode(F.arrays_zip(lines.alias("line"), counts.alias("n"), prefix.alias("start"))))
-    x = x.select("doc_id", F.col("pos"), F.col("col.line").alias("line"), F.col("col.n").alias("n"), F.col("col.start").alias("start"))
-    x = x.filter(F.col("n") > 0)
-    i = x.doc_id
-    bare = (i + x.pos * 31) % UNNUMBERED == 0
-    start = (
-        F.when((i % 43 == 0) & (x.pos == 0), F.lit("0"))
-        .when((i % 47 == 0) & (x.pos == 0), F.lit("n/a"))
-        .when((i % 101 == 0) & (x.pos == 1), F.lit("1"))  # ties with the first line
-        .when(bare, F.lit(None).cast("string"))
-        .otherwise(x.start.cast("string"))
-    )
+    rows = F.transform(F.arrays_zip(lines.alias("line"), counts.alias("n"), prefix.alias("start")), lambda r, i: F.struct(
+        i.alias("pos"), r["line"].alias("line"), r["n"].alias("n"), r["start"].cast("string").alias("start"), F.lit(False).alias("odd")))
+    number = F.element_at(F.array(*[F.lit(v) for v in ODD_NUMBERS]), ((d.doc_id / ODD) % len(ODD_NUMBERS) + 1).cast("int"))
+    odd = F.struct(F.lit(0).alias("pos"), F.lit(None).cast("string").alias("line"), F.lit(1).alias("n"), number.alias("start"), F.lit(True).alias("odd"))
+    rows = F.when((d.doc_id % ODD == 0) & d.text.isNotNull(), F.concat(rows, F.array(odd))).otherwise(rows)
+    x = d.select("doc_id", F.explode(rows).alias("r")).select("doc_id", "r.*").filter(F.col("n") > 0)
     return x.select(
         x.doc_id.cast("string").alias("text_uuid"),
-        _line_key(x.doc_id, x.pos).alias("sentence_uuid"),
-        start.alias("first_word_number"),
-        F.when(bare, F.lit(None).cast("string")).otherwise(x.line).alias("translation"),
+        F.concat(_line_key(x.doc_id, x.pos), F.when(x.odd, F.lit("-odd")).otherwise(F.lit(""))).alias("sentence_uuid"),
+        x.start.alias("first_word_number"),
+        x.line.alias("translation"),
         x.pos.cast("long").alias("sent_ordinal"),
     )
 
 
 def sentences_sql() -> str:
-    bare = f"(doc_id + pos * 31) % {UNNUMBERED} = 0"
+    cases = " ".join(f"WHEN {i} THEN {'NULL' if v is None else q(v)}" for i, v in enumerate(ODD_NUMBERS))
     return f"""
 SELECT CAST(doc_id AS VARCHAR) AS text_uuid,
        {_line_key_sql('doc_id', 'pos')} AS sentence_uuid,
-       CASE WHEN doc_id % 43 = 0 AND pos = 0 THEN '0'
-            WHEN doc_id % 47 = 0 AND pos = 0 THEN 'n/a'
-            WHEN doc_id % 101 = 0 AND pos = 1 THEN '1'
-            WHEN {bare} THEN NULL
-            ELSE CAST(1 + coalesce(sum(n) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS VARCHAR) END
+       CAST(1 + coalesce(sum(n) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS VARCHAR)
          AS first_word_number,
-       CASE WHEN {bare} THEN NULL ELSE line END AS translation,
+       line AS translation,
        CAST(pos AS BIGINT) AS sent_ordinal
 FROM (SELECT doc_id, line, pos - 1 AS pos, len({split_ws_sql('line')}) AS n
       FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
                    generate_subscripts(string_split(text, chr(10)), 1) AS pos
-            FROM documents WHERE doc_id % {UNALIGNED} <> 7))
-WHERE n > 0"""
+            FROM documents))
+WHERE n > 0
+UNION ALL
+SELECT CAST(doc_id AS VARCHAR) AS text_uuid, {_line_key_sql('doc_id', '0')} || '-odd' AS sentence_uuid,
+       CASE (doc_id // {ODD}) % {len(ODD_NUMBERS)} {cases} END AS first_word_number, NULL AS translation, 0::BIGINT AS sent_ordinal
+FROM documents WHERE doc_id % {ODD} = 0 AND text IS NOT NULL"""
 
 
 # ---------------------------------------------------------------------------------------------
@@ -306,6 +304,20 @@ def payloads_sql() -> str:
     )
 
 
+# ---------------------------------------------------------------------------------------------
+# inputs of the predictor: the turns, and blank rows beside some of them
+# ---------------------------------------------------------------------------------------------
+def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    blank = c.filter((c.conv_id + c.turn) % BLANK == 0).select("conv_id", (-1 - c.turn).alias("turn"), F.lit(" ").alias("text"))
+    return c.unionByName(blank)
+
+
+def turns_sql() -> str:
+    return (f"SELECT conv_id, turn, text FROM conversations UNION ALL "
+            f"SELECT conv_id, -1 - turn AS turn, ' ' AS text FROM conversations WHERE (conv_id + turn) % {BLANK} = 0")
+
+
 # ---------------------------------------------------------------------------------------------
 # pairs (T9)
 # ---------------------------------------------------------------------------------------------

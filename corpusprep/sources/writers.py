@@ -3,7 +3,7 @@ one-row metadata document, the definitions CSV, and Parquet partitioned by split
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -20,13 +20,19 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
-def write_split_meta(split_df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K4: {"train_rows": n, "validation_rows": m} - an aggregate of one row, written as one file."""
-    meta = split_df.agg(
-        F.count_if(F.col("split") == "train").alias("train_rows"),
-        F.count_if(F.col("split") == "validation").alias("validation_rows"),
-    )
-    meta.coalesce(1).write.mode(mode).json(path)
+def write_jsonl_by_split(df: DataFrame, path: str, splits: tuple[str, ...] = ("train", "validation"), mode: str = "overwrite") -> dict[str, int]:
+    """K3 for all splits in one pass: a folder ``split=<name>`` each. The rows are counted while they are
+    written (AG6): returns {"<name>_rows": n}."""
+    seen = Observation()
+    counted = df.observe(seen, *[F.count_if(F.col("split") == s).alias(f"{s}_rows") for s in splits])
+    counted.write.mode(mode).option("ignoreNullFields", False).partitionBy("split").json(path)
+    return {f"{s}_rows": seen.get.get(f"{s}_rows", 0) for s in splits}
+
+
+def write_split_meta(spark: SparkSession, counts: dict[str, int], path: str, mode: str = "overwrite") -> None:
+    """K4: {"train_rows": n, "validation_rows": m}, one JSON object in one file."""
+    row = spark.range(1).select(*[F.lit(n).cast("long").alias(name) for name, n in counts.items()])
+    row.coalesce(1).write.mode(mode).json(path)
 
 
 def write_definitions(df: DataFrame, path: str, mode: str = "overwrite") -> None:

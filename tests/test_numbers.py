@@ -66,3 +66,18 @@ def _rules(*ids):
 ])
 def test_number_rules(spark, ids, text, expected):
     assert run_chain(spark, _rules(*ids), [text]) == [expected]
+
+
+def test_nearest_fraction_is_limit_denominator(spark):
+    """All denominators from 1 to 50, shares of five digits and exact binary ones, against the standard library."""
+    from fractions import Fraction
+
+    from pyspark.sql import functions as F
+
+    values = sorted({k / 100000 for k in range(1, 100000, 487)} | {a / b for b in (2, 3, 7, 12, 49, 64) for a in range(1, b)} | {0.0, 0.99999, 1e-5})
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for n in (1, 2, 3, 5, 12, 13, 31, 50):
+        got = df.select("x", NU.nearest_fraction(F.col("x"), n).alias("f")).select("x", "f.n", "f.d").collect()
+        for r in got:
+            want = Fraction(r.x).limit_denominator(n)
+            assert (r.n, r.d) == (want.numerator, want.denominator), (r, n)

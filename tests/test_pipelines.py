@@ -62,7 +62,7 @@ def test_lexicon_reader_and_definitions(spark, tmp_path):
     payloads = spark.createDataFrame([("https://d/x?word=abu", '[{"meaning": "\\"father\\""}]')], "url string, payload string")
     counters = PL.build_definitions(spark, str(p), payloads, str(tmp_path / "out")).collect()[0]
     assert (counters.queued, counters.written, counters.fetched) == (2, 1, 1)
-    d = _read_csv_dir(str(tmp_path / "out/definitions"))
+    d = _read_csv_dir(str(tmp_path / "out/definitions/version=1"))
     assert d.to_dict("records") == [{"word": "abu", "raw_url": "https://dictionary.example/dictionary?word=abu",
                                      "api_url": "https://dictionary.example/api/words?query=word%3Dabu",
                                      "definition": "father"}]

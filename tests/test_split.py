@@ -51,3 +51,17 @@ def test_group_split_keeps_groups_together(spark):
     df = spark.range(2000).select((F.col("id") % 97).cast("string").alias("g"), F.col("id"))
     out = SP.split_group(df, F.col("g"))
     assert out.groupBy("g").agg(F.countDistinct("split").alias("n")).filter("n > 1").count() == 0
+
+
+def test_many_tied_rows_are_cut_by_their_hash(spark):
+    """One key with all rows, all different or with large groups of copies: no window, no sort, exact sizes."""
+    for rows in (spark.range(4000).select(F.lit("k").alias("k"), F.col("id").alias("v")),
+                 spark.range(4000).select(F.lit("k").alias("k"), F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("v"))):
+        out = SP.split_exact(rows, F.col("k"))
+        c = SP.split_counts(out).collect()[0]
+        assert (c.train_rows, c.validation_rows) == (3600, 400)
+        assert sorted(r.v for r in out.collect()) == sorted(r.v for r in rows.collect())
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "SinglePartition" not in plan
+        again = SP.split_exact(rows.repartition(13), F.col("k"))
+        assert sorted(map(tuple, again.collect())) == sorted(map(tuple, out.collect()))
