@@ -1,12 +1,14 @@
 """Quality rules with risk-controlled thresholds, in DataFrame functions only.
 
-Statistics come from each whole text. Labelled documents are split in two halves: on the tuning half a
-cutoff is worth the low-quality documents it rejects less the good ones; on the holdout half it must
-pass an exact binomial test. Let n be the good holdout documents of a stratum and k those that a cutoff
-rejects: P(Bin(n, alpha) <= k) <= delta / m shows, at level delta over all m pairs of stratum and rule
-(Bonferroni), that the cutoff's false rejection rate is below alpha. Cutoffs of one rule are tested
-from lax to strict and the first failure ends the row (fixed sequence), so m needs no factor for them.
-A stratum with too few labels to show anything gets no cutoff: all its documents are kept.
+Statistics come from each whole text. Each distinct labelled text counts once and falls into one of two
+halves. On the tuning half a cutoff of a rule is worth the low-quality texts it rejects less the good
+ones; every rule takes its best cutoff, and a stratum's rules are put in the order of their worth. The
+holdout half then tests growing sets of rules: the first, the first two, and so on. Let n be the good
+holdout texts of a stratum and k those that any rule of the set rejects: P(Bin(n, alpha) <= k) <=
+delta / m shows, at level delta over all m strata (Bonferroni), that the false rejection rate of the
+whole set is below alpha. The first failure ends the sequence (fixed-sequence testing), so the sets of one
+stratum need no further correction. A stratum with too few labels to show anything gets no cutoff: all its
+documents are kept.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ TOP = 1000  # rule values are whole numbers from 0 to TOP
 
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """One slim row per document: id, stratum, n_words, word_chars, n_symbols, n_lines (with a word),
+    """One slim row per document: id, stratum, text_key (MD5), n_words, word_chars, n_symbols, n_lines (with a word),
     n_dup_lines, n_repeat_words. A null text has no words. Windows are compared by a 64-bit hash."""
     lang = col(lang_col).cast("string")
     d = docs.select(
@@ -35,7 +37,7 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     d = d.withColumn("w", F.array_remove(F.split("t", SPACES), "")).withColumn(
         "lines", F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     d = d.select(
-        "id", "stratum", "w", F.size("w").cast("long").alias("n_words"), F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
+        "id", "stratum", "w", F.md5(F.col("t").cast("binary")).alias("text_key"), F.size("w").cast("long").alias("n_words"), F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         F.regexp_count("t", F.lit(SYMBOLS)).cast("long").alias("n_symbols"), F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"))
     n = F.col("n_words").cast("int")
@@ -82,30 +84,45 @@ def most_rejections(n: Column, alpha: float, level: Column) -> Column:
     return F.when(n > 0, F.aggregate(F.sequence(F.lit(0).cast("long"), F.least(upto, n - 1)), zero, step)["best"]).otherwise(-1)
 
 
+def labelled_texts(stats: DataFrame, labels: DataFrame) -> DataFrame:
+    """(stratum, good, holdout, v1, v2, ...): every distinct labelled text that passes the base rules once, with its
+    rules' values. labels: doc_id and quality (1 good, 0 bad; null rows are left out). Of several labels of a
+    document or of copies of a text the smallest counts."""
+    known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("label_id")).agg((F.min("quality") > 0).alias("good"))
+    rows = stats.filter(~base_failed()).join(known, F.col("id") == F.col("label_id"))
+    names = [f"v{i}" for i in range(1, len(RULES) + 1)]
+    rows = rows.select("stratum", "text_key", "good", *[v.alias(n) for n, v in zip(names, rule_values(), strict=True)])
+    texts = rows.groupBy("stratum", "text_key").agg(F.bool_and("good").alias("good"), *[F.min(n).alias(n) for n in names])  # copies have equal values
+    holdout = F.conv(F.substring(F.md5(F.concat(F.lit("holdout"), F.col("text_key"))), 1, 2), 16, 10).cast("int") % 2 == 1
+    return texts.select("stratum", "good", holdout.alias("holdout"), *names)
+
+
 def thresholds(stats: DataFrame, labels: DataFrame, alpha: float = 0.01, delta: float = 0.05) -> DataFrame:
     """(stratum, rule, cutoff): a rule rejects values above its cutoff. No row: the rule rejects nothing.
 
-    labels: doc_id and quality (1 good, 0 bad; null rows are left out; of several labels the smallest counts).
+    All rules of a stratum together reject fewer than alpha of its good texts, for all strata at once with a
+    confidence of 1 - delta (see labelled_texts for what counts).
     """
-    known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("label_id")).agg((F.min("quality") > 0).alias("good"))
-    rows = stats.filter(~base_failed()).join(known, F.col("id") == F.col("label_id"))
-    holdout = F.conv(F.substring(F.md5(F.concat(F.lit("holdout"), F.col("id").cast("string"))), 1, 2), 16, 10).cast("int") % 2 == 1
-    values = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), v.alias("value")) for r, v in zip(RULES, rule_values(), strict=True)])).alias("x")
-    one = lambda c: F.sum(F.when(c, 1).otherwise(0))
-    hist = rows.select("stratum", "good", holdout.alias("holdout"), values).groupBy("stratum", "x.rule", "x.value").agg(
-        one(F.col("holdout") & F.col("good")).alias("n"), one(~F.col("holdout") & F.col("good")).alias("lost"), one(~F.col("holdout") & ~F.col("good")).alias("caught"))
+    texts = saved(labelled_texts(stats, labels), "quality-texts")
+    m = texts.select("stratum").distinct().count()
+    values = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(f"v{i}").alias("value")) for i, r in enumerate(RULES, 1)])).alias("x")
+    worth = F.sum(F.when(F.col("good"), -1).otherwise(1)).alias("worth")
+    hist = texts.filter(~F.col("holdout")).select("stratum", "good", values).groupBy("stratum", "x.rule", "x.value").agg(worth)
     # at most strata x rules x (TOP + 1) rows from here on
-    pair = Window.partitionBy("stratum", "rule")
-    above = pair.orderBy(F.desc("value")).rowsBetween(Window.unboundedPreceding, -1)
-    tests = saved(hist, "quality-histogram")
-    m = tests.select("stratum").distinct().count() * len(RULES)
-    cuts = tests.select(
-        "stratum", "rule", "value", F.sum("n").over(pair).alias("n"), F.coalesce(F.sum("n").over(above), F.lit(0)).alias("k"),
-        F.coalesce(F.sum(F.col("caught") - F.col("lost")).over(above), F.lit(0)).alias("gain"))
-    limit = cuts.select("stratum", "rule", "n").distinct()
-    limit = limit.select("stratum", "rule", most_rejections(F.col("n"), alpha, F.lit(delta / max(1, m))).alias("k_max"))
-    allowed = cuts.join(limit, ["stratum", "rule"]).filter("k <= k_max AND gain > 0")
-    return allowed.groupBy("stratum", "rule").agg(F.max(F.struct("gain", "value")).alias("best")).select("stratum", "rule", F.col("best.value").alias("cutoff"))
+    above = Window.partitionBy("stratum", "rule").orderBy(F.desc("value")).rowsBetween(Window.unboundedPreceding, -1)
+    cuts = hist.select("stratum", "rule", "value", F.coalesce(F.sum("worth").over(above), F.lit(0)).alias("gain")).filter("gain > 0")
+    best = cuts.groupBy("stratum", "rule").agg(F.max(F.struct("gain", "value")).alias("best")).select("stratum", "rule", "best.gain", F.col("best.value").alias("cutoff"))
+    place = F.row_number().over(Window.partitionBy("stratum").orderBy(F.desc("gain"), "rule"))
+    best = saved(best.select("stratum", "rule", "cutoff", place.alias("place")), "quality-cutoffs")
+    # the place of the first rule of its stratum that rejects a good holdout text
+    wide = best.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.struct("cutoff", "place"))).alias(f"c{i}") for i, r in enumerate(RULES, 1)])
+    held = texts.filter("holdout AND good").join(F.broadcast(wide), "stratum", "left")
+    first = F.least(*[F.when(F.col(f"v{i}") > F.col(f"c{i}.cutoff"), F.col(f"c{i}.place")) for i in range(1, len(RULES) + 1)])
+    lost = held.select("stratum", first.alias("first")).groupBy("stratum").agg(
+        F.count(F.lit(1)).alias("n"), F.array(*[F.count_if(F.col("first") <= i) for i in range(1, len(RULES) + 1)]).alias("k"))
+    limit = lost.select("stratum", "k", most_rejections(F.col("n"), alpha, F.lit(delta / max(1, m))).alias("k_max"))
+    shown = best.join(limit, "stratum").filter(F.element_at("k", F.col("place")) <= F.col("k_max"))
+    return shown.select("stratum", "rule", "cutoff")
 
 
 def judge(stats: DataFrame, cutoffs: DataFrame) -> DataFrame:
