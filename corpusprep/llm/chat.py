@@ -41,22 +41,55 @@ def conversation_tree(rows: DataFrame) -> DataFrame:
                        F.col("role"), F.col("text"), F.lit(0.0).alias("score"))
 
 
-def _levels(slim: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+def _parents(slim: DataFrame) -> DataFrame:
+    """slim with ``up``: the parent if the tree has it and it is another message, else null (a root)."""
+    has = slim.select(F.col("tree").alias("t2"), F.col("node").alias("n2"))
+    joined = slim.join(has, F.col("tree").eqNullSafe(F.col("t2")) & (F.col("parent") == F.col("n2")) & (F.col("parent") != F.col("node")), "left")
+    return joined.select("tree", "node", "score", F.col("n2").alias("up"))
+
+
+def _rounds(slim: DataFrame) -> int:
+    """Doublings after which every message of the largest tree has passed its root, unless it is on or below a cycle."""
+    largest = slim.groupBy("tree").count().agg(F.max("count")).first()[0] or 1
+    return int(largest).bit_length() + 1
+
+
+def _cut_cycles(linked: DataFrame, rounds: int) -> DataFrame:
+    """linked (tree, node, score, up) with every cycle cut above its smallest message, which becomes a root.
+
+    Pointers are doubled until they have made more steps than a tree has messages: where they point
+    then lies on a cycle, and the smallest message that such a pointer has passed is that of its cycle.
+    """
+    at = saved(linked.filter("up IS NOT NULL").select("tree", "node", "up", F.col("node").alias("low")), "chat-cycle")
+    for _ in range(rounds):
+        above = at.select(F.col("tree").alias("t2"), F.col("node").alias("n2"), F.col("up").alias("up2"), F.col("low").alias("low2"))
+        new = saved(at.join(above, F.col("tree").eqNullSafe(F.col("t2")) & (F.col("up") == F.col("n2")))
+                    .select("tree", "node", F.col("up2").alias("up"), F.least("low", "low2").alias("low")), "chat-cycle")
+        forget(at)
+        at = new
+    on = at.select("tree", F.col("up").alias("node")).distinct()
+    lowest = at.join(on.select(F.col("tree").alias("t2"), F.col("node").alias("n2")), F.col("tree").eqNullSafe(F.col("t2")) & (F.col("node") == F.col("n2")), "left_semi")
+    cut = lowest.filter("node = low").select(F.col("tree").alias("t2"), F.col("node").alias("n2"))
+    out = linked.join(cut, F.col("tree").eqNullSafe(F.col("t2")) & (F.col("node") == F.col("n2")), "left")
+    return saved(out.select("tree", "node", "score", F.when(F.col("n2").isNull(), F.col("up")).alias("up")), "chat-linked")
+
+
+def _levels(linked: DataFrame, rounds: int) -> tuple[list[DataFrame], DataFrame] | None:
     """Jump tables (tree, node, up) for distances 1, 2, 4, ..., and (tree, node, depth, total) of every
-    node: the length of its path from the root and the sum of the scores on it.
+    node: the length of its path from the root and the sum of the scores on it. None if some message has
+    no root after ``rounds`` doublings.
 
     Only nodes that have not reached their root are joined again, so a few deep trees cost a few rows a level.
     """
-    has = slim.select(F.col("tree").alias("t2"), F.col("node").alias("n2"))
-    state = saved(
-        slim.join(has, F.col("tree").eqNullSafe(F.col("t2")) & (F.col("parent") == F.col("n2")) & (F.col("parent") < F.col("node")), "left")
-        .select("tree", "node", F.col("n2").alias("up"), F.lit(1).cast("long").alias("depth"), F.col("score").alias("total")), "chat-up")
+    state = linked.select("tree", "node", "up", F.lit(1).cast("long").alias("depth"), F.col("score").alias("total"))
     jumps, ended = [], []
     while True:
         still, ends = state.filter("up IS NOT NULL"), state.filter("up IS NULL").drop("up")
         ended.append(ends)
         if still.isEmpty():
             return jumps, functools.reduce(DataFrame.unionAll, ended)
+        if len(jumps) > rounds:
+            return None
         jumps.append(still.select("tree", "node", "up"))
         known = functools.reduce(DataFrame.unionAll, [x.withColumn("up", F.lit(None).cast("long")) for x in ended], still.select("tree", "node", "depth", "total", "up"))
         above = known.select(F.col("tree").alias("t2"), F.col("node").alias("n2"), F.col("up").alias("up2"), F.col("depth").alias("d2"), F.col("total").alias("s2"))
@@ -69,14 +102,20 @@ def reply_paths(messages: DataFrame, top: int = 1) -> DataFrame:
     """(tree, leaf, rank, node, back): the nodes of the ``top`` best root-to-leaf paths of each tree;
     back is the distance to the leaf.
 
-    messages: tree, node (unique in its tree, not null), parent, score (null counts as 0). A reply has
-    a larger node number than its parent; a message whose parent is missing or not smaller is a root.
-    Ties go to the longer path, then to the smaller leaf.
+    messages: tree, node (unique in its tree, not null), parent, score (null counts as 0). Parents may have
+    any number. A message whose parent is null, missing or itself is a root; of messages that answer each
+    other in a cycle the smallest becomes a root. Ties go to the longer path, then to the smaller leaf.
     """
-    slim = saved(messages.select("tree", F.col("node").cast("long").alias("node"), F.col("parent").cast("long").alias("parent"),
-                                 F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score")), "chat-slim")
-    jumps, nodes = _levels(slim)
-    answered = slim.filter("parent < node").select(F.col("tree").alias("t2"), F.col("parent").alias("n2")).distinct()
+    slim = messages.select("tree", F.col("node").cast("long").alias("node"), F.col("parent").cast("long").alias("parent"),
+                           F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
+    linked = saved(_parents(saved(slim, "chat-slim")), "chat-linked")
+    rounds = _rounds(linked)
+    found = _levels(linked, rounds)
+    if found is None:
+        linked = _cut_cycles(linked, rounds)
+        found = _levels(linked, rounds)
+    jumps, nodes = found
+    answered = linked.filter("up IS NOT NULL").select(F.col("tree").alias("t2"), F.col("up").alias("n2")).distinct()
     leaves = nodes.join(answered, F.col("tree").eqNullSafe(F.col("t2")) & (F.col("node") == F.col("n2")), "left_anti")
     best = Window.partitionBy("tree").orderBy(F.desc(F.col("total") / F.col("depth")), F.desc("depth"), "node")
     chosen = leaves.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)  # ranked within each task first
@@ -91,6 +130,14 @@ def reply_paths(messages: DataFrame, top: int = 1) -> DataFrame:
     return paths
 
 
+def one_per_node(messages: DataFrame) -> DataFrame:
+    """(tree, node, parent, score, role, text): of rows that share tree and node, the smallest by parent, score, role
+    and text (nulls first). Rows without a node are left out: nothing can be said of their place."""
+    parts = [F.col("parent").cast("long").alias("parent"), F.col("score").cast("double").alias("score"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text")]
+    rows = messages.filter(F.col("node").isNotNull()).select("tree", F.col("node").cast("long").alias("node"), F.struct(*parts).alias("row"))
+    return rows.groupBy("tree", "node").agg(F.min("row").alias("row")).select("tree", "node", "row.*")
+
+
 def format_paths(messages: DataFrame, paths: DataFrame) -> DataFrame:
     """(tree, leaf, rank, formatted, loss_spans): one conversation per path. loss_spans: start and end
     (code points of formatted, end exclusive) of the texts under the loss mask. Null texts and roles are empty."""
@@ -121,7 +168,9 @@ def parse(formatted: Column) -> Column:
     return F.transform(F.filter(F.split(formatted, r"\[ROLE\]"), lambda x: x != ""), turn)
 
 
-def format_chats(messages: DataFrame, top: int = 1) -> DataFrame:
+def format_chats(messages: DataFrame, top: int = 1, unique: bool = False) -> DataFrame:
     """The best ``top`` paths of every reply tree as conversations. An empty table gives no rows; extra
-    columns are ignored; repeated (tree, node) pairs repeat their turn."""
+    columns are ignored; of rows that repeat a (tree, node) pair one counts (see one_per_node; ``unique``
+    skips this where the caller knows that there are none)."""
+    messages = messages if unique else saved(one_per_node(messages), "chat-messages")
     return format_paths(messages, reply_paths(messages, top))
