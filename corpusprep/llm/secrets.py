@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import functools
 import re
-from bisect import bisect_right
 from collections.abc import Iterable
 from dataclasses import dataclass
 from re import _constants as C
@@ -26,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from corpusprep.llm.common import for_workers
+from corpusprep.llm.common import for_workers, refuse
 
 
 @dataclass(frozen=True)
@@ -186,13 +185,18 @@ class Scanner:
         self.behind = [_linked(*compile_rules((r,), anywhere=False, back=True))[0] for r in rules]
         self.exact = [re.compile(r.pattern.encode(), re.I if r.ignore_case else 0) for r in rules]
 
-    def ends(self, data: bytes) -> list[tuple[int, int]]:
-        """(end, mask of rules): the pass over all bytes."""
-        row, out = self.all, []
+    def ends(self, data: bytes) -> list[tuple[int, int, int]]:
+        """(first end, last end, mask of rules) of every stretch of ends with one mask: the pass over all bytes."""
+        row, out, mask, since = self.all, [], 0, 0
         for i, c in enumerate(data, 1):
             row = row[c]
-            if row[256]:
-                out.append((i, row[256]))
+            now = row[256]
+            if now != mask:
+                if mask:
+                    out.append((since, i - 1, mask))
+                mask, since = now, i
+        if mask:
+            out.append((since, len(data), mask))
         return out
 
     def _first(self, k: int, data: bytes, low: int, end: int) -> int:
@@ -215,18 +219,26 @@ class Scanner:
                 break
         return best
 
+    @staticmethod
+    def _stops(hits: list[tuple[int, int, int]], k: int, low):
+        """The ends of rule k one after the other, without those up to low(), the end of the last match."""
+        for first, last, mask in hits:
+            if mask >> k & 1:
+                end = first
+                while (end := max(end, low() + 1)) <= last:
+                    yield end
+                    end += 1
+
     def scan(self, data: bytes) -> list[tuple[int, int, int]]:
         """(start, rule, end) in bytes, sorted: every rule's leftmost matches that do not overlap."""
         hits, out = self.ends(data), []
         for k, rule in enumerate(self.rules):
-            stops, at, low = [e for e, m in hits if m >> k & 1], 0, 0
-            while at < len(stops):
-                start = self._first(k, data, low, stops[at])
+            low = 0
+            for stop in self._stops(hits, k, lambda: low):
+                start = self._first(k, data, low, stop)
                 if start < 0:
-                    at += 1
                     continue
                 low = self._last(k, data, start)
-                at = bisect_right(stops, low)
                 size = low - start
                 if rule.group:  # the group inside the match that was found
                     size = len(self.exact[k].fullmatch(data, start, low).group(rule.group))
@@ -270,8 +282,9 @@ def _scan_batches(rules: tuple[Rule, ...], text_at: int):
 def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text", spans_col: str = "spans") -> DataFrame:
     """docs plus the spans of all rules (code points, end exclusive), sorted by start, then rule.
 
-    A null text is empty and has no spans; an empty table gives no rows.
+    A null text is empty and has no spans; an empty table gives no rows. A column named like ``spans_col`` is an error.
     """
+    refuse(docs, spans_col)
     for_workers(docs.sparkSession)
     schema = T.StructType([*(T.StructField(f.name, f.dataType, True) for f in docs.schema.fields), T.StructField(spans_col, SPANS)])
     return docs.mapInArrow(_scan_batches(rules, docs.columns.index(text_col)), schema)
