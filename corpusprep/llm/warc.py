@@ -29,7 +29,6 @@ LEAST_PAYLOAD = 100
 RECORDS_PER_ARCHIVE = 1000
 ARCHIVE_BYTES = 128 << 20
 _ROWS_BYTES = 32 << 20
-VERSION = b"WARC/1."
 _LINE = re.compile(rb"WARC/1\.[0-9]\r\n")
 _GZIP = b"\x1f\x8b\x08"
 _END = b"\r\n\r\n"
@@ -95,14 +94,37 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
         out.option("lineSep", "\n").option("maxRecordsPerFile", max(1, per_archive >> c)).text(path)
 
 
-def _record(data: bytes, at: int, strict: bool) -> tuple[dict, bytes, int] | str:
+class _Ahead:
+    """The next place of a mark at or after a position. Positions hardly ever go back, and a place that is still
+    ahead is not searched again: all searches together read the data about once, however many marks fail."""
+
+    def __init__(self, data: bytes):
+        self.data = data
+        self.known: dict = {}
+
+    def find(self, mark, at: int, use: int = 0) -> int:
+        """mark: bytes, or a compiled pattern. len(data) if there is none. use: who asks; each has its own memory."""
+        low, place = self.known.get((mark, use), (0, -1))
+        if low <= at <= place:
+            return place
+        if isinstance(mark, bytes):
+            place = self.data.find(mark, at)
+        else:
+            m = mark.search(self.data, at)
+            place = m.start() if m else -1
+        place = len(self.data) if place < 0 else place
+        self.known[mark, use] = at, place
+        return place
+
+
+def _record(data: bytes, at: int, strict: bool, ahead: _Ahead) -> tuple[dict, bytes, int] | str:
     """(header, block, end) of the record at ``at``, or what is wrong with it."""
-    if not data.startswith(VERSION, at):
+    if not _LINE.match(data, at):
         return "no version line"
-    head = data.find(_END, at)
-    if head < 0:
+    head = ahead.find(_END, at)
+    if head == len(data):
         return "no end of header"
-    if _LINE.search(data, at + 1, head + 2):
+    if ahead.find(_LINE, at + 1) < head:
         return "version line inside header"  # what is between was lost
     lines = data[at:head].split(b"\r\n")
     header = {}
@@ -112,7 +134,7 @@ def _record(data: bytes, at: int, strict: bool) -> tuple[dict, bytes, int] | str
             return "bad header line"
         header[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
     length = header.get("content-length", "")
-    if not (length.isascii() and length.isdigit()):
+    if not (length.isascii() and length.isdigit() and len(length) < 19):
         return "bad length"
     start = head + 4
     end = start + int(length)
@@ -131,72 +153,85 @@ def _record(data: bytes, at: int, strict: bool) -> tuple[dict, bytes, int] | str
 
 def _plain(data: bytes, strict: bool):
     """("record", header, block) and ("gap", start, end, why) of uncompressed records."""
-    at = 0
+    at, ahead = 0, _Ahead(data)
     while at < len(data):
-        got = _record(data, at, strict)
+        got = _record(data, at, strict, ahead)
         if not isinstance(got, str):
             yield "record", got[0], got[1]
             at = got[2]
             continue
         start, why = at, got
         while True:  # the next version line from which a whole record passes
-            at = data.find(VERSION, at + 1)
-            if at < 0:
-                at = len(data)
-                break
-            if not isinstance(_record(data, at, strict), str):
+            at = ahead.find(_LINE, at + 1)
+            if at == len(data) or not isinstance(_record(data, at, strict, ahead), str):
                 break
         yield "gap", start, at, why
 
 
-def _member(data: bytes, at: int) -> tuple[bytes, int, str]:
-    """What the gzip member at ``at`` inflates to, its end and what is wrong with it ("": nothing, its
-    checksum is checked by zlib). Of a bad member the part before the first bad byte is inflated."""
-    z, out, pos, step = zlib.decompressobj(31), [], at, _MEMBER_STEP
-    while not z.eof and pos < len(data):
-        before = z.copy()
+_PLAIN_HEAD = _GZIP + b"\x00\x00\x00\x00\x00\x00\xff"
+
+
+def _deflated(data: bytes, at: int, ahead: _Ahead) -> int:
+    """Where the compressed bytes of the gzip member at ``at`` begin; len(data) if its header is not one.
+    Names in the header are passed over without being read again for every mark inside them."""
+    if at + 10 > len(data) or data[at + 3] & 0xE0:
+        return len(data)
+    flags, pos = data[at + 3], at + 10
+    if flags & 4:
+        pos += 2 + int.from_bytes(data[pos:pos + 2], "little")
+    for name in (8, 16):
+        if flags & name:
+            pos = ahead.find(b"\x00", pos, name) + 1
+    pos += 2 if flags & 2 else 0
+    return min(pos, len(data)) if pos < len(data) and data[pos] & 6 != 6 else len(data)  # 6: no such block
+
+
+def _inflate(data: bytes, pos: int, limit: int | None = None):
+    """(bytes, place behind them, what is wrong) from the compressed bytes at ``pos``; at most ``limit`` bytes."""
+    z, out, step, grow, left = zlib.decompressobj(31), [], 64, True, limit
+    z.decompress(_PLAIN_HEAD)
+    while not z.eof and pos < len(data) and (left is None or left > 0):
+        before, piece = z.copy(), data[pos:pos + step]
         try:
-            out.append(z.decompress(data[pos:pos + step]))
-            pos += step
+            got = z.decompress(piece, 0 if left is None else left)
         except zlib.error as e:
             if step == 1:
                 return b"".join(out), pos, f"bad member: {e}"
-            z, step = before, step // 2
+            z, step, grow = before, step // 2, False
+            continue
+        out.append(got)
+        pos += len(piece) - len(z.unconsumed_tail)
+        left = None if left is None else left - len(got)
+        step = min(2 * step, _MEMBER_STEP) if grow else step  # most marks that are no member fail in a few bytes
     if not z.eof:
-        return b"".join(out), len(data), "member is cut"
-    return b"".join(out), min(pos, len(data)) - len(z.unused_data), ""
+        return b"".join(out), pos, "member is cut"
+    return b"".join(out), pos - len(z.unused_data), ""
 
 
-def _consumed(data: bytes, at: int, size: int) -> int:
-    """The place in the file up to which the member at ``at`` is read for its first ``size`` inflated bytes."""
-    z, pos, step = zlib.decompressobj(31), at, _MEMBER_STEP
-    while size > 0 and pos < len(data) and step:
-        before = z.copy()
-        try:
-            size -= len(z.decompress(data[pos:pos + step], size))
-            pos += len(data[pos:pos + step]) - len(z.unconsumed_tail)
-        except zlib.error:
-            z, step = before, step // 2
-    return pos
+def _member(data: bytes, at: int, ahead: _Ahead) -> tuple[bytes, int, str]:
+    """What the gzip member at ``at`` inflates to, its end and what is wrong with it ("": nothing, its
+    checksum is checked by zlib). Of a bad member the part before the first bad byte is inflated."""
+    start = _deflated(data, at, ahead)
+    return (b"", len(data), "bad member: header") if start == len(data) else _inflate(data, start)
 
 
-def _piece(data: bytes, at: int, strict: bool) -> tuple[list, int, str] | str:
+def _piece(data: bytes, at: int, strict: bool, ahead: _Ahead) -> tuple[list, int, str] | str:
     """What the record or gzip member at ``at`` gives, where to go on and what is wrong from there on; or why it gives no record.
 
     A member that fails gives the records before its damage. Without its checksum to vouch for them, those of a
     bad member need a SHA-256 block digest. A cut member with one record and nothing else gives none.
     """
     if not data.startswith(_GZIP, at):
-        got = _record(data, at, strict)
+        got = _record(data, at, strict, ahead)
         return got if isinstance(got, str) else ([("record", got[0], got[1])], got[2], "")
-    inflated, end, why = _member(data, at)
+    inflated, end, why = _member(data, at, ahead)
     inner = list(_plain(inflated, strict or why.startswith("bad")))
     last = max((i for i, x in enumerate(inner) if x[0] == "record"), default=-1)
     if last < 0 or (why == "member is cut" and len(inner) == 1):
         return why or "no record in member"
     if why:
         size = inner[last + 1][1] if last + 1 < len(inner) else len(inflated)
-        inner, end = inner[:last + 1], _consumed(data, at, size)
+        inner, end = inner[:last + 1], _inflate(data, _deflated(data, at, ahead), size)[1]
         if end == len(data):  # nothing is left to be logged as the gap
             inner.append(("gap", 0, 0, why))
     return [x if x[0] == "record" else ("gap", at, end, x[3]) for x in inner], end, why
@@ -209,10 +244,9 @@ def salvage(data: bytes, strict: bool = False):
     next version line or gzip magic, whichever comes first, that gives a record.
     strict: a record without a SHA-256 block digest fails too (write_archives gives all of them one).
     """
-    at, got = 0, None
-    ahead = {VERSION: -1, _GZIP: -1}  # the next place of each mark
+    at, got, ahead = 0, None, _Ahead(data)
     while at < len(data):
-        got = got or _piece(data, at, strict)
+        got = got or _piece(data, at, strict, ahead)
         if isinstance(got, str):
             start, why, scan = at, got, at + 1
         else:
@@ -222,14 +256,10 @@ def salvage(data: bytes, strict: bool = False):
             if not why:
                 continue
         while True:
-            for mark, place in ahead.items():
-                if place < scan:
-                    found = data.find(mark, scan)
-                    ahead[mark] = len(data) if found < 0 else found
-            at, got = min(ahead.values()), None
+            at, got = min(ahead.find(_LINE, scan), ahead.find(_GZIP, scan)), None
             if at == len(data):
                 break
-            got = _piece(data, at, strict)
+            got = _piece(data, at, strict, ahead)
             if not isinstance(got, str):
                 break
             scan = at + 1
