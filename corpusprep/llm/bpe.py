@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from corpusprep.llm.common import for_workers
+from corpusprep.llm.common import for_workers, refuse
 
 # Unicode's White_Space property, and the contractions of the pattern.
 WHITE_SPACE = [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -336,8 +336,10 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
     """docs plus the token ids as little-endian unsigned 32-bit integers (binary).
 
     A null or empty text has no ids. ``offsets_col``: also the byte offset where each token ends.
-    ``decoded_col``: also the bytes that the ids decode to, in the same pass over the rows.
+    ``decoded_col``: also the bytes that the ids decode to, in the same pass over the rows. A column of docs
+    named like one of these is an error. The rank file is sent to the workers with the application.
     """
+    refuse(docs, ids_col, offsets_col, decoded_col)
     for_workers(docs.sparkSession)
     fields = [T.StructField(ids_col, T.BinaryType())]
     if offsets_col:
@@ -348,6 +350,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
 
 
 def decode(tokens: DataFrame, path: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
-    """tokens plus the bytes that the ids stand for; null ids give null."""
+    """tokens plus the bytes that the ids stand for; null ids give null. A column named like bytes_col is an error."""
+    refuse(tokens, bytes_col)
     for_workers(tokens.sparkSession)
     return tokens.mapInArrow(_decode_batches(path, tokens.columns.index(ids_col)), _with(tokens, T.StructField(bytes_col, T.BinaryType())))

@@ -71,6 +71,14 @@ def private(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def refuse(df: DataFrame, *names: str | None) -> None:
+    """Raise if df has a column named like one that is to be added, in any case: a table with two such columns
+    could not be used any further."""
+    clash = {c.lower() for c in df.columns} & {n.lower() for n in names if n}
+    if clash:
+        raise ValueError(f"the table already has {sorted(clash)}; pass other names")
+
+
 def col(name: str):
     """A column by its literal name (dots and backquotes are part of it)."""
     return F.col("`" + name.replace("`", "``") + "`")

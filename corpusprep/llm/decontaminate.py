@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusprep.llm.common import col, for_workers, forget, private, saved
+from corpusprep.llm.common import col, for_workers, forget, private, refuse, saved
 
 WINDOW = 10
 BLOCK_WORDS = 200_000
@@ -286,9 +286,7 @@ def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_words: i
     A null or wordless text has 0 words and no spans; without items nothing is found. Rows repeat as they
     do in docs. A column of docs named like one of ``names`` (in any case) is an error.
     """
-    clash = {c.lower() for c in docs.columns if not (drop_text and c == text_col)} & {n.lower() for n in names}
-    if clash:
-        raise ValueError(f"docs already has {sorted(clash)}; pass other names")
+    refuse(docs.drop(text_col) if drop_text else docs, *names)
     spark = docs.sparkSession
     blocks = compile_items(items, window, block_words, item_col, item_text_col)
     numbered = [r[0] for r in blocks.select(F.sha2("automaton", 256)).distinct().collect()]  # one short name a block

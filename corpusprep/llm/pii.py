@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from corpusprep.llm.common import for_workers
+from corpusprep.llm.common import for_workers, refuse
 
 KINDS = ("email", "iban", "ip", "date", "ssn", "card", "phone")
 ROUNDS = 10
@@ -274,8 +274,9 @@ def pseudonymise_documents(docs: DataFrame, key: bytes, text_col: str = "text",
     """docs with pseudonyms in the text and their spans (code points of the new text, end exclusive).
 
     key: 16 to 64 secret bytes; the same key links values over all runs. Null texts stay null, an empty
-    table gives no rows, other columns are untouched.
+    table gives no rows, other columns are untouched. A column named like ``spans_col`` is an error.
     """
+    refuse(docs, spans_col)
     if not 16 <= len(key) <= 64:
         raise ValueError("the key must have 16 to 64 bytes")
     for_workers(docs.sparkSession)

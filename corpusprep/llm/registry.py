@@ -57,7 +57,7 @@ w AS MATERIALIZED (SELECT r, doc_id, stratum, t, list_filter(regexp_split_to_arr
 g AS (SELECT r, pos, array_to_string(w[pos:pos + 7], ' ') AS gram FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS pos FROM w WHERE len(w) >= 8)),
 twice AS (SELECT r, pos FROM (SELECT r, pos, count(*) OVER (PARTITION BY r, gram) AS n FROM g) WHERE n > 1),
 rep AS (SELECT r, count(DISTINCT word) AS n FROM (SELECT r, unnest(range(pos, pos + 8)) AS word FROM twice) GROUP BY r),
-s AS MATERIALIZED (SELECT w.r, doc_id, stratum, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+s AS MATERIALIZED (SELECT w.r, doc_id, stratum, md5(t) AS key, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
              CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, len(l) AS n_lines,
              CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words
       FROM w LEFT JOIN rep ON rep.r = w.r),
@@ -65,20 +65,18 @@ b AS MATERIALIZED (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words
 v AS (SELECT *, unnest(['symbols', 'dup_lines', 'repeats', 'long_words']) AS rule,
              unnest([least(1000, coalesce(n_symbols * 1000 // nullif(word_chars, 0), 0)), least(1000, coalesce(n_dup_lines * 1000 // nullif(n_lines, 0), 0)),
                      least(1000, coalesce(n_repeat_words * 1000 // nullif(n_words, 0), 0)), least(1000, coalesce(word_chars * 10 // nullif(n_words, 0), 0))]) AS value FROM b),
-lab AS (SELECT doc_id, min(quality) > 0 AS good, CAST('0x' || substring(md5('holdout' || CAST(doc_id AS VARCHAR)), 1, 2) AS INTEGER) % 2 = 1 AS holdout
-        FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
-h AS (SELECT stratum, rule, value, count(*) FILTER (WHERE holdout AND good) AS n,
-             count(*) FILTER (WHERE NOT holdout AND NOT good) - count(*) FILTER (WHERE NOT holdout AND good) AS worth
-      FROM v JOIN lab USING (doc_id) WHERE NOT base_failed GROUP BY stratum, rule, value),
-c AS (SELECT stratum, rule, value, sum(n) OVER (PARTITION BY stratum, rule) AS n,
-             coalesce(sum(n) OVER above, 0) AS k, coalesce(sum(worth) OVER above, 0) AS gain,
-             (SELECT count(DISTINCT stratum) * 4 FROM h) AS m
-      FROM h WINDOW above AS (PARTITION BY stratum, rule ORDER BY value DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-lim AS (SELECT stratum, rule, coalesce(list_max(list_filter(range(0, CAST(least(ceil(n * 0.01) + 1, n) AS BIGINT)), lambda k: list_sum(list_transform(range(0, k + 1),
-               lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.01) + (n - i) * ln(0.99)))) <= 0.05 / m)), -1) AS k_max
-        FROM (SELECT DISTINCT stratum, rule, CAST(n AS DOUBLE) AS n, m FROM c)),
-cut AS (SELECT stratum, rule, max(value) AS cutoff FROM (
-          SELECT c.*, max(gain) OVER (PARTITION BY stratum, rule) AS best FROM c JOIN lim USING (stratum, rule) WHERE k <= k_max AND gain > 0) WHERE gain = best GROUP BY stratum, rule),
+lab AS (SELECT doc_id, min(quality) > 0 AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+x AS MATERIALIZED (SELECT stratum, key, rule, min(value) AS value, bool_and(good) AS good, CAST('0x' || substring(md5('holdout' || key), 1, 2) AS INTEGER) % 2 = 1 AS holdout
+      FROM v JOIN lab USING (doc_id) WHERE NOT base_failed GROUP BY stratum, key, rule),
+h AS (SELECT stratum, rule, value, sum(CASE WHEN good THEN -1 ELSE 1 END) AS worth FROM x WHERE NOT holdout GROUP BY stratum, rule, value),
+gains AS (SELECT stratum, rule, value, coalesce(sum(worth) OVER (PARTITION BY stratum, rule ORDER BY value DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS gain FROM h),
+best AS (SELECT stratum, rule, gain, max(value) AS cutoff FROM (SELECT *, max(gain) OVER (PARTITION BY stratum, rule) AS most FROM gains) WHERE gain = most AND gain > 0 GROUP BY stratum, rule, gain),
+p AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY gain DESC, rule) AS place FROM best),
+held AS (SELECT x.stratum, x.key, min(CASE WHEN x.value > p.cutoff THEN p.place END) AS first FROM x LEFT JOIN p USING (stratum, rule) WHERE x.holdout AND x.good GROUP BY x.stratum, x.key),
+n AS (SELECT stratum, CAST(count(*) AS DOUBLE) AS n, (SELECT count(DISTINCT stratum) FROM x) AS m FROM held GROUP BY stratum),
+lim AS (SELECT stratum, coalesce(list_max(list_filter(range(0, CAST(least(ceil(n * 0.01) + 1, n) AS BIGINT)), lambda k: list_sum(list_transform(range(0, k + 1),
+               lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.01) + (n - i) * ln(0.99)))) <= 0.05 / m)), -1) AS k_max FROM n),
+cut AS (SELECT stratum, rule, cutoff FROM p JOIN lim USING (stratum) WHERE (SELECT count(*) FROM held WHERE held.stratum = p.stratum AND held.first <= p.place) <= k_max),
 bad AS (SELECT DISTINCT r FROM v JOIN cut USING (stratum, rule) WHERE value > cutoff)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad.r IS NULL AS kept
 FROM b LEFT JOIN bad ON bad.r = b.r
@@ -89,7 +87,7 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     probe = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
                                   F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PROBE).alias("text"))
-    made = chat.format_chats(chat.conversation_tree(rows.unionByName(probe)))
+    made = chat.format_chats(chat.conversation_tree(rows.unionByName(probe)), unique=True)
     read = made.select(F.col("tree").alias("conv_id"), "formatted", chat.parse(F.col("formatted")).alias("turns"))
     learned = F.array_join(F.transform(F.filter("turns", lambda x: x["learned"]), lambda x: x["text"]), "")
     said = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")

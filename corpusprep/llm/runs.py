@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusprep.llm.common import for_workers
+from corpusprep.llm.common import for_workers, refuse
 
 MIN_LENGTH, MIN_EXPONENT = 6, 4
 CHUNK_WORDS = 1 << 15  # texts are worked on together up to so many words (fits caches); a longer text goes alone
@@ -206,9 +206,7 @@ def find_runs(docs: DataFrame, min_length: int = MIN_LENGTH, min_exponent: int =
     if min_exponent < 3:
         raise ValueError("min_exponent must be 3 or more")
     fields = [T.StructField(f.name, f.dataType, True) for f in docs.schema.fields if not (drop_text and f.name == text_col)]
-    clash = {f.name.lower() for f in fields} & {n.lower() for n in names}
-    if clash:
-        raise ValueError(f"docs already has {sorted(clash)}; pass other names")
+    refuse(docs.drop(text_col) if drop_text else docs, *names)
     for_workers(docs.sparkSession)
     schema = T.StructType([*fields, T.StructField(names[0], RUNS), T.StructField(names[1], T.StringType())])
     return docs.mapInArrow(_run_batches(docs.columns.index(text_col), min_length, min_exponent, drop_text), schema)
