@@ -5,7 +5,8 @@ document frequency and normalised. Spherical k-means clusters the sample of ever
 centroids. A text takes the language of the centroid with the largest cosine; it is rejected when it
 is farther from that centroid than nearly all training excerpts of its length, with some slack. Short
 texts are far from all centroids in any language: the accepted distance is learned for each of SIZES
-from excerpts of so many 3-grams, and a text goes by the largest size that it reaches.
+from excerpts of so many 3-grams, and a text goes by the largest size that it reaches. Every text with a
+letter reaches the first.
 """
 
 from __future__ import annotations
@@ -20,15 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import col, for_workers, private  # noqa: F401
+from corpusprep.llm.common import col, for_workers, private, refuse  # noqa: F401
 
 DIM = 4096
-MAX_LANGUAGES = 256
+MAX_LANGUAGES = 256  # default of fit's parameter
 NONE = "und"
-SIZES = (8, 16, 32, 64, 128, 256, 512, 1024)  # 3-grams; a text with fewer than the first (a word or two) is not rejected for its distance
+SIZES = (1, 2, 4, 8, 16, 32, 64, 128, 256, 512, 1024)  # 3-grams
 NEAR = 0.995  # share of the training excerpts within the radius before slack
 FEW = 200  # a centroid with fewer excerpts of a size takes those of its language
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = re.compile(r"[^\W\d_]")  # letters, and numbers that are no digits
 _PIECE = 1 << 22
 # ASCII letters are lower-cased, all other ASCII is a space: signs and digits tell no language
 _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in range(256))
@@ -36,7 +37,7 @@ _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 els
 
 @dataclass(frozen=True)
 class Model:
-    """At most MAX_LANGUAGES * k centroids of DIM floats: small enough to go with every task."""
+    """At most max_languages * k centroids of DIM floats: small enough to go with every task."""
 
     langs: list[str]
     centroids: np.ndarray  # rows normalised
@@ -50,18 +51,23 @@ def _grams(piece: str) -> np.ndarray:
     return (a[:-2] * np.uint32(0x9E3779B1) + a[1:-1] * np.uint32(0x85EBCA6B) + a[2:] * np.uint32(0xC2B2AE35)) >> np.uint32(20)
 
 
+def _pieces(text: str):
+    for at in range(0, len(text), _PIECE):
+        yield _grams(text[max(0, at - 2):at + _PIECE])
+
+
 def counts(text: str | None) -> np.ndarray:
     """Hashed byte 3-gram counts; a space stands before and after the text and for all between words."""
     out = np.zeros(DIM, dtype=np.float32)
-    text = text or ""
-    for at in range(0, len(text), _PIECE):
-        out += np.bincount(_grams(text[max(0, at - 2):at + _PIECE]), minlength=DIM).astype(np.float32)
+    for grams in _pieces(text or ""):
+        out += np.bincount(grams, minlength=DIM).astype(np.float32)
     return out
 
 
 def excerpts(text: str) -> np.ndarray:
-    """The hashed 3-grams of one excerpt of each of SIZES that the text reaches, one after the other."""
-    h = _grams(text[:_PIECE]).astype(np.uint16)
+    """The hashed 3-grams of one excerpt of each of SIZES that the text reaches, one after the other. Where in the
+    whole text they stand goes by its checksum."""
+    h = np.concatenate([g.astype(np.uint16) for g in _pieces(text)])
     at = zlib.crc32(h.tobytes())
     return np.concatenate([h[:0], *[h[at % (len(h) - n + 1):][:n] for n in SIZES if n <= len(h)]])
 
@@ -116,7 +122,8 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 12, least: float = 0.02) -> tupl
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and _LETTER.search(text) is not None
+    """Whether some character is of Unicode category L (str.isalpha)."""
+    return bool(text) and any(m[0].isalpha() for m in _LETTER.finditer(text))
 
 
 def _count_batches(batches):
@@ -138,21 +145,26 @@ def _cluster(idf: np.ndarray, k: int, slack: float):
 
 
 def fit(docs: DataFrame, per_language: int = 400, k: int = 4, slack: float = 0.25, id_col: str = "doc_id",
-        text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Learn from a sample of at most ``per_language`` rows a language (those with the smallest hash
-    of the id), for at most MAX_LANGUAGES languages (the most frequent).
+        text_col: str = "text", lang_col: str = "lang", max_languages: int = MAX_LANGUAGES) -> Model:
+    """Learn from a sample of at most ``per_language`` different texts a language (those with the smallest hash
+    of id and text), for the ``max_languages`` most frequent languages (ties by name); texts of the others teach
+    nothing.
 
-    Rows with a null language or a text without letters teach nothing; no rows give an empty model.
+    Rows with a null language or a text without letters teach nothing; ids may be null or repeat; no rows
+    give an empty model.
     """
-    for_workers(docs.sparkSession)
-    rank = F.crc32(F.concat(F.lit("sample"), F.coalesce(col(id_col).cast("string"), F.lit("")))).cast("long")
-    rows = docs.filter(col(lang_col).isNotNull()).select(col(lang_col).cast("string").alias("lang"), col(text_col).cast("string").alias("text"), rank.alias("rank"))
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    spark = docs.sparkSession
+    for_workers(spark)
+    text = col(text_col).cast("string")
+    rank = F.xxhash64(F.lit("sample"), F.coalesce(col(id_col).cast("string"), F.lit("")), text)
+    rows = docs.filter(col(lang_col).isNotNull() & text.isNotNull()).select(col(lang_col).cast("string").alias("lang"), text.alias("text"), rank.alias("rank"))
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("rank").alias("different")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
     if not sizes:
         return Model([], np.zeros((0, DIM), np.float32), np.zeros((0, len(SIZES))), np.ones(DIM, np.float32))
-    # a cut of the hash range by language leaves about twice the sample: no task sorts a whole language
-    share = F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(int(min(1.0, (2 * per_language + 100) / r["count"]) * 2**32)))])
-    some = rows.withColumn("cut", share[F.col("lang")]).filter("rank < cut")
+    # a cut of the hash range by language leaves about twice the sample: no task sorts a whole language; copies meet before the shuffle
+    share = F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, (2 * per_language + 100) / max(1, r["different"])) * 2.0**64))])
+    some = rows.filter(F.col("rank").cast("double") + 2.0**63 <= share[F.col("lang")])
+    some = some.groupBy("lang", "rank").agg(F.min("text").alias("text"))
     ordered = some.withColumn("n", F.row_number().over(_by_lang())).filter(F.col("n") <= per_language)
     sample = ordered.select("lang", "text").mapInArrow(_count_batches, "lang string, tf binary, parts binary").persist()
     seen, n = np.zeros(DIM), 0
@@ -171,7 +183,7 @@ def fit(docs: DataFrame, per_language: int = 400, k: int = 4, slack: float = 0.2
 def _by_lang():
     from pyspark.sql import Window
 
-    return Window.partitionBy("lang").orderBy("rank", F.xxhash64("text"))
+    return Window.partitionBy("lang").orderBy("rank")
 
 
 def _frequencies(batches):
@@ -202,7 +214,7 @@ def _predict_batches(model: Model, text_at: int, step: int = 256):
                     sims = weighted(tf, model.idf) @ model.centroids.T
                     best[ok], cos[ok] = np.argmax(sims, axis=1), np.clip(sims.max(axis=1), 0, 1)
                     size = np.searchsorted(SIZES, tf.sum(axis=1), side="right") - 1
-                    far[ok] = (1 - cos[ok] > model.radius[best[ok], np.maximum(size, 0)] + 1e-6) & (size >= 0)
+                    far[ok] = 1 - cos[ok] > model.radius[best[ok], size] + 1e-6
                 pred += list(langs[best])
                 score += [round(float(c), 6) for c in cos]
                 rejected += far.tolist()
@@ -216,9 +228,10 @@ def _predict_batches(model: Model, text_at: int, step: int = 256):
 def predict(docs: DataFrame, model: Model, text_col: str = "text", names: tuple[str, str, str] = ("lang_pred", "score", "rejected")) -> DataFrame:
     """docs with the nearest language (``und`` for null, for texts without a letter and for an empty
     model), its cosine (0 to 1) and whether the text is rejected (``und``, or too far for its
-    length with at least SIZES[0] 3-grams)."""
+    length). A column of docs named like one of ``names`` is an error."""
     from pyspark.sql import types as T
 
+    refuse(docs, *names)
     for_workers(docs.sparkSession)
     nullable = [T.StructField(f.name, f.dataType, True) for f in docs.schema.fields]
     schema = T.StructType([*nullable, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType()), T.StructField(names[2], T.BooleanType())])
