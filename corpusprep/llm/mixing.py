@@ -7,15 +7,17 @@ released block with the nearest deadline. One resource that is fully used is alw
 way, so at every slot of a phase each source is less than one block from its exact share.
 
 All rows are kept. When a source runs out, the phase ends and the weights of the others are scaled up.
-The schedule repeats after W slots, the weights taken as whole numbers without a common factor. Only the
-block counts of the sources named in ``weights`` reach the driver, which works out at most min(W, blocks
-of the phase) slots for each phase: for weights like 2 to 1 a few, for weights of many digits up to one
-for each block. Rows get their slots by DataFrame operations alone.
+The schedule repeats after W slots, the weights taken as whole numbers without a common factor; W may
+not exceed MAX_SLOTS (weights of up to four digits that add up to 1 pass). Only the block counts of the sources named
+in ``weights`` reach the driver, which works out at most W slots for each phase, however many blocks there
+are. Rows get their slots by DataFrame operations alone; what they are joined with has at most W rows a
+phase and one phase a source, so its size is bounded by the weights alone.
 """
 
 from __future__ import annotations
 
 import heapq
+import json
 import math
 from dataclasses import dataclass
 from fractions import Fraction
@@ -27,6 +29,7 @@ from corpusprep.llm.common import col, partitions, private, saved
 
 CYCLE = 1000
 BLOCK_ROWS = 16
+MAX_SLOTS = 50_000
 OTHER = "(other)"  # all sources without a weight of their own, nulls included
 _CELL_BITS = 16  # cells of the seeded order: a source's window is cut into 2^16 parts
 
@@ -115,20 +118,28 @@ def plan(blocks: dict[str, int], weights: dict[str, float], cycle: int = CYCLE)
     return out
 
 
+def _literal(spark, rows: list[tuple], schema: str) -> DataFrame:
+    """A small table from a JSON literal: no Python worker reads it."""
+    fields = [f.split() for f in schema.split(", ")]
+    text = json.dumps([{name: x for (name, _), x in zip(fields, r, strict=True)} for r in rows])
+    kind = f"array<struct<{', '.join(': '.join(f) for f in fields)}>>"
+    return spark.range(1).select(F.explode(F.from_json(F.lit(text), kind)).alias("r")).select("r.*")
+
+
 def _schedule_tables(spark, phases: list[Phase]) -> tuple[DataFrame, DataFrame]:
     """Spans (phase, source, first and end block, quota, start) and places (phase, source, block, slot)."""
     spans = [(i, s, p.first_block[s], p.first_block[s] + p.blocks[s], p.quota[s], p.start_slot, p.cycle) for i, p in enumerate(phases) for s in p.quota if p.blocks[s]]
     places = [(i, s, k, t) for i, p in enumerate(phases) for t, (s, k) in enumerate(p.slots)]
-    return (spark.createDataFrame(spans, "p int, s string, b0 long, b1 long, q long, t0 long, cycle long"),
-            spark.createDataFrame(places, "p int, s string, k long, place long"))
+    return (_literal(spark, spans, "p int, s string, b0 bigint, b1 bigint, q bigint, t0 bigint, cycle bigint"),
+            _literal(spark, places, "p int, s string, k bigint, place bigint"))
 
 
 def positions(docs: DataFrame, weights: dict[str, float], seed: str = "mix", block_rows: int = BLOCK_ROWS, cycle: int = CYCLE,
               id_col: str = "doc_id", source_col: str = "source", carry: bool = False) -> tuple[DataFrame, list[str]]:
     """docs' rows with slot and position, and the names of these two private columns.
 
-    ``weights``: target weight of each source, all above 0; sources without one, and null, share that
-    of ``OTHER`` (the mean weight if not given). position = slot * block_rows + place in the block
+    ``weights``: target weight of each source, all above 0, with a schedule of at most MAX_SLOTS slots; sources
+    without one, and null, share that of ``OTHER`` (the mean weight if not given). position = slot * block_rows + place in the block
     orders all rows; the last block of a source may be short, so positions have gaps. A source's rows
     are ordered by the MD5 of seed and id, then id, then all columns; rows equal in all of them may swap. ``carry``:
     keep all columns of docs, else only id and source. An empty table gives no rows.
@@ -148,6 +159,9 @@ def positions(docs: DataFrame, weights: dict[str, float], seed: str = "mix", blo
     slim = docs.select(of.alias("s"), digest.alias("d")).select("s", F.conv(F.substring("d", 1, _CELL_BITS // 4), 16, 10).cast("int").alias("c"))
     cells = saved(slim.groupBy("s", "c").agg(F.count(F.lit(1)).alias("n")), "mix-cells")
     sizes = {r["s"]: r["n"] for r in cells.groupBy("s").agg(F.sum("n").alias("n")).collect()}
+    slots = sum(whole(quotas({s: weights[s] for s in sizes}, cycle)).values()) if sizes else 0
+    if slots > MAX_SLOTS:
+        raise ValueError(f"the schedule of these weights repeats after {slots} slots, more than {MAX_SLOTS}: give them fewer digits")
     phases = plan({s: -(-n // block_rows) for s, n in sizes.items()}, weights, cycle)
     spans, places = _schedule_tables(spark, phases)
     # rows before a cell, in two steps: among the 2^8 cells of its group, and among the 2^8 groups of its source

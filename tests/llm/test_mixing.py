@@ -98,6 +98,17 @@ def test_less_than_one_block_off_the_weights_over_many_cycles(weights):
 def test_rows_of_weights_without_a_short_cycle(spark):
     rows = [(i, f"s{i % 2}") for i in range(400)] + [(1000 + i, "s0") for i in range(100)]
     df = spark.createDataFrame(rows, "doc_id long, source string")
-    weights = {"s0": 0.8765432109877, "s1": 0.1234567890123}
+    with pytest.raises(ValueError, match="slots"):  # the driver's schedule is bounded by the weights alone
+        mixing.positions(df, {"s0": 0.8765432109877, "s1": 0.1234567890123}, "x", 4)
+    weights = {"s0": 0.8765, "s1": 0.1235}
     timed, (slot, pos) = mixing.positions(df, weights, "x", 4)
     assert sorted(((r["doc_id"], r[slot], r[pos]) for r in timed.collect()), key=repr) == brute_order(rows, weights, "x", 4, 1000)
+
+
+def test_no_python_in_plan(spark):
+    import re
+
+    from corpusprep.llm.registry import op3_mixing
+
+    plan = op3_mixing(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|MapInArrow|ExistingRDD", plan)
