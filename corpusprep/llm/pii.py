@@ -3,7 +3,7 @@
 Validated values (card numbers by Luhn, IBANs by mod 97, calendar dates, IPv4 addresses, social
 security and phone numbers by their numbering plans, e-mail addresses) become numbers below the size of
 their format, go through a keyed Feistel permutation of exactly that range, and are written back in the
-same format with check digits worked out anew. The permutation depends on the key and the kind alone:
+same format with check digits worked out anew (dates and phone numbers digit for digit as wide as they were). The permutation depends on the key and the kind alone:
 equal values get equal pseudonyms in all documents, however they are punctuated, and different values
 get different ones. What fails its check is left as it is.
 """
@@ -26,17 +26,23 @@ from corpusprep.llm.common import for_workers, refuse
 
 KINDS = ("email", "iban", "ip", "date", "ssn", "card", "phone")
 ROUNDS = 10
-_FIRST, _LAST = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
+# Years that stay among themselves: dates of the last and this century keep looking like such.
+_YEARS = ((1, 1899), (1900, 2099), (2100, 9999))
+# Country codes of two digits. 1 and 7 have one digit, all others three.
+_TWO = frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+# The first two digits of codes of three digits.
+_THREE = frozenset("21 22 23 24 25 26 29 35 37 38 42 50 59 67 68 69 80 85 87 88 96 97 99".split())
 _MAIL_CHARS = frozenset(string.ascii_letters + string.digits + "._%+-")
 _DOMAIN = re.compile(r"@((?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,62})\.)+[A-Za-z]{2,24})(?![A-Za-z0-9-])")
 # tried at each place in this order; every alternative starts with a bounded run
 _NUMBERS = re.compile(
-    r"(?<![A-Za-z0-9.])(?:"
+    r"(?<![A-Za-z0-9])(?<![0-9]\.)(?:"
     r"(?P<iban>[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
     r"|(?P<ip>[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3})(?!\.?[0-9])"
-    r"|(?P<date>[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9])"
+    r"|(?P<date>[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![0-9])"
     r"|(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])"
-    r"|(?P<phone>\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])"
+    r"|(?P<phone>\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}|[2-9][0-9]{2}[ ][2-9][0-9]{2}[ ][0-9]{4})(?![0-9])"
+    r"|(?P<abroad>\+[2-9][0-9]{0,2}(?:[ .-]?\(0\))?(?:[ .-]?[0-9]{1,5}){2,6})(?![0-9])"
     r"|(?P<card>[0-9](?:[ -]?[0-9]){12,18})(?![0-9])"
     r")")
 
@@ -129,24 +135,34 @@ class Pseudonyms:
         return str(ipaddress.IPv4Address(self.permute(x, 1 << 32, "ip")))
 
     def date(self, text: str) -> str | None:
+        """Dates stay in their range of years, and days and months keep their number of digits."""
         iso = "-" in text
-        parts = [int(p) for p in re.split(r"[-/.]", text)]
-        order = [parts] if iso else [[parts[2], parts[1], parts[0]], [parts[2], parts[0], parts[1]]] if "." in text else [[parts[2], parts[0], parts[1]], [parts[2], parts[1], parts[0]]]
-        for i, (y, m, d) in enumerate(order):
+        sep = "-" if iso else "." if "." in text else "/"
+        parts = text.split(sep)
+        # (year, month, day) by the order of the parts: after a point the day comes first, after a slash the month, if it can
+        orders = [(0, 1, 2)] if iso else [(2, 1, 0), (2, 0, 1)] if sep == "." else [(2, 0, 1), (2, 1, 0)]
+        for y, m, d in orders:
             try:
-                x = datetime.date(y, m, d).toordinal()
+                datetime.date(int(parts[y]), int(parts[m]), int(parts[d]))
             except ValueError:
                 continue
-            if not _FIRST <= x <= _LAST:
-                return None
-            new = datetime.date.fromordinal(_FIRST + self.permute(x - _FIRST, _LAST - _FIRST + 1, "date"))
-            if iso:
-                return new.isoformat()
-            day_first = ("." in text) == (i == 0)
-            sep = "." if "." in text else "/"
-            return sep.join([f"{new.day:02d}", f"{new.month:02d}"] if day_first else [f"{new.month:02d}", f"{new.day:02d}"]) + f"{sep}{new.year}"
+            year, month, day = self._moved(int(parts[y]), int(parts[m]), int(parts[d]), len(parts[m]), len(parts[d]))
+            new = [""] * 3
+            new[y], new[m], new[d] = f"{year:04d}", f"{month:0{len(parts[m])}d}", f"{day:0{len(parts[d])}d}"
+            return sep.join(new)
         return None
 
+    def _moved(self, year: int, month: int, day: int, month_width: int, day_width: int) -> tuple[int, int, int]:
+        first, last = next(r for r in _YEARS if r[0] <= year <= r[1])
+        kind = "date" if (first, month_width, day_width) == (1900, 2, 2) else f"date:{first}:{month_width}:{day_width}"
+        low, high = datetime.date(first, 1, 1).toordinal(), datetime.date(last, 12, 31).toordinal()
+        at = datetime.date(year, month, day).toordinal()
+        while True:  # along the cycle of all dates of the range to the next one that can be written so
+            at = low + self.permute(at - low, high - low + 1, kind)
+            new = datetime.date.fromordinal(at)
+            if (month_width == 2 or new.month < 10) and (day_width == 2 or new.day < 10):
+                return new.year, new.month, new.day
+
     def ssn(self, text: str) -> str | None:
         area, group, serial = (int(p) for p in text.split("-"))
         if area in (0, 666) or area >= 900 or not group or not serial:
@@ -173,6 +189,18 @@ class Pseudonyms:
         abc = ["23456789", string.digits, string.digits] * 2 + [string.digits] * 4
         return _refill(text, country + self._mixed(own, "phone", abc))
 
+    def abroad(self, text: str) -> str | None:
+        """Numbers with a country code other than 1: the code and a trunk zero stay, the first digit stays no zero."""
+        digits = "".join(c for c in text.replace("(0)", "") if c.isdigit())
+        size = 1 if digits[0] == "7" else 2 if digits[:2] in _TWO else 3 if digits[:2] in _THREE else 0
+        own = digits[size:]
+        if not size or not 8 <= len(digits) <= 15 or len(own) < 6 or own[0] == "0":
+            return None
+        new = self._mixed(own, f"phone:+{digits[:size]}", ["123456789", *[string.digits] * (len(own) - 1)])
+        kept = iter(digits[:size] + new)
+        zero = text.find("(0)")
+        return "".join(c if not c.isdigit() or zero <= i < zero + 3 and zero >= 0 else next(kept) for i, c in enumerate(text))
+
 
 def luhn(digits) -> int:
     """0 for a valid number."""
@@ -205,7 +233,7 @@ def _mails(text: str):
 
 def _ends(m: re.Match) -> list[int]:
     """Where a candidate may end: at its end, or, for kinds written in groups, before a later group."""
-    cuts = [m.start() + i for i, c in enumerate(m[0]) if c in " -"] if m.lastgroup in ("card", "iban") else []
+    cuts = [m.start() + i for i, c in enumerate(m[0]) if c in " -"] if m.lastgroup in ("card", "iban", "abroad") else []
     return [m.end(), *reversed(cuts)]
 
 
@@ -226,7 +254,7 @@ def replacements(text: str, names: Pseudonyms) -> list[tuple[int, int, str, str]
         else:
             for end in _ends(m):
                 if (new := getattr(names, m.lastgroup)(text[m.start():end])) is not None:
-                    out.append((m.start(), end, m.lastgroup, new))
+                    out.append((m.start(), end, "phone" if m.lastgroup == "abroad" else m.lastgroup, new))
                     after = end
                     break
         m = _NUMBERS.search(text, after)
