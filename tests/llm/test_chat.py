@@ -24,8 +24,15 @@ def brute_paths(rows, top):
         trees.setdefault(r[0], []).append(r)
     for tree, nodes in trees.items():
         by = {r[1]: r for r in nodes}
-        parent = {n: by[n][2] if by[n][2] in by and by[n][2] < n else None for n in by}
-        leaves = [n for n in by if n not in {r[2] for r in nodes if r[2] is not None and r[2] < r[1]}]
+        parent = {n: by[n][2] if by[n][2] in by and by[n][2] != n else None for n in by}
+        for n in by:  # a cycle is cut at its smallest message
+            seen, at = [], n
+            while at is not None and at not in seen:
+                seen.append(at)
+                at = parent[at]
+            if at is not None:
+                parent[min(seen[seen.index(at):])] = None
+        leaves = [n for n in by if n not in parent.values()]
         paths = []
         for leaf in leaves:
             path = [leaf]
@@ -44,6 +51,8 @@ def test_paths_against_enumeration(spark):
     for tree in [*range(12), None]:
         for n in range(1, rng.randrange(2, 30)):
             parent = rng.choice([None, 99, n, *range(1, n), *range(1, n)]) if n > 1 else None
+            if tree is not None and tree % 3 == 0:  # any number may be the parent: cycles of any length
+                parent = rng.randrange(1, 30)
             rows.append((tree, n, parent, "user", f"t{n}", rng.choice([None, 0.0, 1.0, 2.0])))
     rows += [(77, n, n - 1 if n else None, "user", "deep", 0.0) for n in range(300)]
     for top in (1, 3):
@@ -80,3 +89,23 @@ def test_query_matches_sql(spark):
 
     sf = "/root/testdata/sf0.001"
     assert compare(spark, sf, op5_chat, OP5_SQL, duck(sf))["hash_match"]
+
+
+def test_replies_may_have_smaller_numbers(spark):
+    rows = [(1, 10, None, "user", "q", 0.0), (1, 3, 10, "assistant", "a", 0.0), (1, 7, 3, "user", "r", 0.0),
+            (2, 5, 4, "user", "cycle", 0.0), (2, 4, 5, "user", "cut", 0.0), (2, 9, 5, "assistant", "below", 0.0), (3, 1, 1, "user", "own parent", 0.0)]
+    got = run_paths(spark, rows, 1)
+    assert got == {(1, 1): [10, 3, 7], (2, 1): [4, 5, 9], (3, 1): [1]}
+
+
+def test_a_long_cycle_with_tails(spark):
+    n = 130
+    rows = [(1, i, i % n + 1, "user", "c", 0.0) for i in range(1, n + 1)] + [(1, n + i, n + i - 1 if i > 1 else 50, "user", "t", 0.0) for i in range(1, 40)]
+    assert run_paths(spark, rows, 5) == brute_paths(rows, 5)
+
+
+def test_repeated_nodes_count_once(spark):
+    rows = [(1, 1, None, "user", "a", 0.0, "x"), (1, 1, None, "user", "b", 0.0, "x"), (1, 2, 1, "assistant", "c", 0.0, "x"), (1, 2, 1, "assistant", "c", 0.0, "x"),
+            (1, 3, 2, "user", "d", 0.0, "x"), (1, None, 3, "user", "nowhere", 0.0, "x")]
+    made = chat.format_chats(spark.createDataFrame(rows, SCHEMA)).select(chat.parse(F.col("formatted")).alias("t")).collect()
+    assert [[x["text"] for x in r["t"]] for r in made] == [["a", "c", "d"]]

@@ -93,3 +93,23 @@ def test_edge_rows(spark):
     rows = secrets.find_secrets(df).collect()
     assert sorted(len(r["spans"]) for r in rows) == [0, 0, 1]
     assert secrets.find_secrets(df.limit(0)).count() == 0
+
+
+def test_one_long_match_takes_little_memory():
+    import tracemalloc
+
+    data = "x " + "ab12" * 500_000 + " password=" + "Z" * 500_000
+    scan = secrets.scanner(secrets.RULES)
+    tracemalloc.start()
+    spans = scan.spans(data)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(x["kind"], x["start"], x["end"]) for x in spans] == [("hex", 2, 2_000_002), ("assign", 2_000_003, 2_500_012)]
+    assert peak < 4 * len(data)
+
+
+def test_clashing_column_is_refused(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        secrets.find_secrets(spark.createDataFrame([(1, "a", "b")], "doc_id long, text string, Spans string"))

@@ -139,3 +139,33 @@ def test_query_matches_sql(spark):
 
     sf = "/root/testdata/sf0.001"
     assert compare(spark, sf, op10_warc, OP10_SQL, duck(sf))["hash_match"]
+
+
+def test_many_marks_are_searched_once():
+    """After damage every mark is a place to go on; the time stays in proportion to the file."""
+    import time
+
+    marks = [b"WARC/1.", b"WARC/1.1\r\n", b"WARC/1.1\r\nContent-Length: 5\r\n", b"WARC/1.1\r\nContent-Length: 10\r\n\r\nxxxx", b"\x1f\x8b\x08", b"\x1f\x8b\x08" + bytes(7)]
+    for mark in marks:
+        took = []
+        for size in (1 << 18, 1 << 20):
+            data = record(b"x" * 200, 1) + mark * (size // len(mark)) + record(b"y" * 200, 2)
+            start = time.process_time()
+            got, gaps = ids(warc.salvage(data))
+            took.append(time.process_time() - start)
+            assert got == ["<urn:page:1>", "<urn:page:2>"] and len(gaps) == 1
+        assert took[1] < 8 * took[0] + 1, (mark, took)
+
+
+def test_gzip_headers_with_names():
+    import struct
+    import zlib
+
+    body = record(b"named" * 50, 3)
+    deflated = zlib.compressobj(9, zlib.DEFLATED, -15)
+    packed = deflated.compress(body) + deflated.flush()
+    tail = struct.pack("<II", zlib.crc32(body), len(body))
+    for flags, head in ((8, b"name.warc\0"), (24, b"name\0comment\0"), (4, b"\x03\0abc"), (30, b"\x02\0xyname\0c\0\x12\x34")):
+        member = b"\x1f\x8b\x08" + bytes([flags]) + b"\0\0\0\0\0\3" + head + packed + tail
+        assert ids(warc.salvage(member + gzip.compress(record(b"z", 4)))) == (["<urn:page:3>", "<urn:page:4>"], [])
+        assert ids(warc.salvage(member[:-6] + b"!!" + gzip.compress(record(b"z" * 300, 4))))[0][-1] == "<urn:page:4>"
