@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .regex import q
+
 PAD, EOS, UNK, OFFSET, FIRST_EXTRA = 0, 1, 2, 3, 259
 # The strings of the special tokens: pad, eos, unk and 125 extra ids.
 SPECIAL = "<pad>|</s>|<unk>|<extra_id_(?:[0-9]|[1-9][0-9]|1[01][0-9]|12[0-4])>"
@@ -67,6 +69,21 @@ def byte_ids_sql(e: str, max_len: int = MAX_LEN) -> str:
     return f"list_concat({body}, list_transform(range({max_len} - len({body})), lambda z_: {PAD}))"
 
 
+def special_ids_sql(e: str, max_len: int = MAX_LEN) -> str:
+    """DuckDB twin for texts with special-token strings: the parts between them as bytes, each followed by its token."""
+    keep = max_len - 1
+    hx = "hex(encode(p_[k_]))"
+    raw = (f"list_transform(range(CAST(length({hx}) / 2 AS BIGINT)), "
+           f"lambda i_: CAST(('0x' || substring({hx}, CAST(i_ * 2 + 1 AS BIGINT), 2)) AS INTEGER) + {OFFSET})")
+    token = (f"CASE s_[k_] WHEN '<pad>' THEN {PAD} WHEN '</s>' THEN {EOS} WHEN '<unk>' THEN {UNK} "
+             f"ELSE CAST(regexp_extract(s_[k_], '[0-9]+') AS INTEGER) + {FIRST_EXTRA} END")
+    mixed = f"flatten(list_transform(range(1, len(p_) + 1), lambda k_: CASE WHEN k_ <= len(s_) THEN list_append({raw}, {token}) ELSE {raw} END))"
+    body = f"list_slice(CASE WHEN m_[-1] = {EOS} THEN m_[:-2] ELSE m_ END, 1, {keep})"
+    return f"""(SELECT list_concat(list_append(b_, {EOS}), list_transform(range({keep} - len(b_)), lambda z_: {PAD})) FROM (
+  SELECT {body} AS b_ FROM (SELECT {mixed} AS m_ FROM (
+    SELECT regexp_split_to_array(t_, {q(SPECIAL)}) AS p_, regexp_extract_all(t_, {q(SPECIAL)}) AS s_ FROM (SELECT coalesce({e}, '') AS t_)))))"""
+
+
 def attention_mask_sql(ids: str) -> str:
     return f"list_transform({ids}, lambda t_: CASE WHEN t_ = {PAD} THEN 0 ELSE 1 END)"
 

@@ -242,6 +242,17 @@ def byte_tokens(spark: SparkSession, sf: str) -> DataFrame:
                     BT.byte_ids(F.col("target_text")).alias("labels"))
 
 
+_MARKED_SQL = "(input_text || '</s>' || target_text || '<extra_id_' || CAST(turn * 7 % 130 AS VARCHAR) || '><pad>' || CASE WHEN turn % 4 = 0 THEN '</s>' ELSE '' END)"
+
+
+@register("byte_tokens_special", f"SELECT conv_id, turn, {BT.special_ids_sql('marked')} AS input_ids FROM (SELECT conv_id, turn, {_MARKED_SQL} AS marked FROM ({_PAIRS_SQL}))")
+def byte_tokens_special(spark: SparkSession, sf: str) -> DataFrame:
+    """B1: both sides of a pair in one sequence, with the strings of special tokens between and behind them."""
+    tail = F.concat(F.lit("<extra_id_"), (F.col("turn") * 7 % 130).cast("string"), F.lit("><pad>"), F.when(F.col("turn") % 4 == 0, "</s>").otherwise(""))
+    marked = F.concat("input_text", F.lit("</s>"), "target_text", tail)
+    return _pairs(spark, sf).select("conv_id", "turn", marked.alias("marked")).select("conv_id", "turn", BT.byte_ids(F.col("marked")).alias("input_ids"))
+
+
 @register("byte_length_stats", ST.length_stats_sql(_SPLIT_SQL, "split", ["input_text", "target_text"]))
 def byte_length_stats(spark: SparkSession, sf: str) -> DataFrame:
     return ST.length_stats(split_exact(spark, sf), "split", ["input_text", "target_text"])
