@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 
 from corpusprep.llm import simhash
@@ -36,20 +37,24 @@ def brute_components(rows, max_bits=2):
 
 
 def test_code_is_perfect():
-    patterns, mask = simhash._covering(2)[0]
-    assert mask.sum() == 2048 and patterns.shape[1] == 1  # each syndrome has one leader of weight <= 3
+    for code, rows in ((simhash.GOLAY, 2048), (simhash.HAMMING, 16)):
+        patterns, mask = simhash._covering(code, 2)[0]
+        assert mask.sum() == rows and patterns.shape[1] == 1  # each syndrome has one leader within the radius
 
 
-def test_covering_finds_every_close_pair():
+@pytest.mark.parametrize("blocks,replicas", [(2, 61), (3, 153)])
+def test_covering_finds_every_close_pair(blocks, replicas):
     rng = np.random.default_rng(3)
+    x = rng.integers(-(2**63), 2**63, size=2000, dtype=np.int64)
+    assert abs(len(simhash.covering_anchors(x, 2, blocks)[0]) / len(x) - replicas) < 3
     for t in (0, 1, 2, 3):
         x = rng.integers(-(2**63), 2**63, size=500, dtype=np.int64)
         flips = [rng.choice(64, size=rng.integers(0, t + 1), replace=False) for _ in x]
         y = np.array([np.int64(np.uint64(a) ^ np.uint64(sum(1 << int(b) for b in f))) if False else a ^ np.array(sum(1 << int(b) for b in f), dtype=np.uint64).astype(np.int64) for a, f in zip(x, flips)])
-        anchors, rows = simhash.covering_anchors(y, t)
+        anchors, rows = simhash.covering_anchors(y, t, blocks)
         have = set(zip(rows.tolist(), anchors.tolist()))
         assert len(have) == len(anchors)
-        assert all((i, int(h)) in have for i, h in enumerate(simhash.home_anchor(x)))
+        assert all((i, int(h)) in have for i, h in enumerate(simhash.home_anchor(x, blocks)))
 
 
 def test_fingerprint_cases(monkeypatch):
@@ -107,3 +112,20 @@ def test_chain_and_empty(spark):
     assert connected_components(links.limit(0)).count() == 0
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.simhash_components(empty).count() == 0 and simhash.near_dedup(empty).count() == 0
+
+
+def test_three_blocks_give_the_same_links(spark):
+    rng = np.random.default_rng(8)
+    base = rng.integers(-(2**63), 2**63, size=150, dtype=np.int64)
+    fps = list(base)
+    for x in base:
+        for _ in range(3):
+            bits = rng.choice(64, size=rng.integers(1, 4), replace=False)
+            fps.append(x ^ np.array(sum(1 << int(b) for b in bits), dtype=np.uint64).astype(np.int64))
+    table = spark.createDataFrame([(int(x),) for x in set(fps)], "fp long")
+    known = [int(x) for x in set(fps)]
+    want = {(u, v) for u in known for v in known if u < v and ((u ^ v) % 2**64).bit_count() <= 2}
+    for blocks in (2, 3):
+        assert {tuple(r) for r in simhash.fingerprint_links(table, 2, blocks).collect()} == want
+    with pytest.raises(ValueError):
+        simhash.fingerprint_links(table, 2, 4)
