@@ -8,6 +8,11 @@ their owner, which walks its range in key order, chains the texts of equal keys,
 and writes its bucket file of finished groups to the shared folder. Copies are merged inside each
 Arrow batch before the shuffle, so a text that fills a third of the table reaches its owner as one
 entry a batch.
+
+The index can be kept: write_index puts directory and bucket files into a folder, look_up finds which texts of a
+table it holds, and add_to_index takes in a further batch, reading and rewriting only the buckets that it
+touches and splitting those that overflow. Every change is a new version; the directory, written last,
+makes it valid, so a run that is lost half-way leaves the index as it was.
 """
 
 from __future__ import annotations
@@ -20,7 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusprep.llm.common import col, for_workers, partitions, private, saved
+from corpusprep.llm.common import col, for_workers, partitions, private, refuse, saved
+from corpusprep.sources.versions import committed
 
 MAX_DEPTH = 16  # directory of at most 2^16 cells: the only thing that reaches the driver
 BUCKET_ROWS = 4096
@@ -212,3 +218,128 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .withColumn("kept", F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1))
         .select("id", "keep_id", "group_size", "kept", "sha")
     )
+
+
+# -- an index kept on shared files ------------------------------------------------------------------
+_BUCKET_SCHEMA = "key long, sha binary, text string, id long, size long"
+_DIRECTORY_SCHEMA = "first int, depth int, keys long, version int"
+
+
+def _cell(key):
+    return F.shiftrightunsigned(key, 64 - MAX_DEPTH).cast("int")
+
+
+def _save_directory(spark, path: str, buckets: list[tuple[int, int, int, int]], version: int) -> None:
+    """buckets: (first cell, local depth, keys, version of its file), at most 2^MAX_DEPTH."""
+    spark.createDataFrame(buckets, _DIRECTORY_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/directory/version={version}")
+
+
+def read_directory(spark, path: str) -> tuple[list[tuple[int, int, int, int]], int]:
+    """The buckets of the last complete version, in key order, and its number."""
+    done = committed(spark, f"{path}/directory")
+    if not done:
+        raise ValueError(f"no index at {path}")
+    rows = spark.read.schema(_DIRECTORY_SCHEMA).parquet(f"{path}/directory/version={done[-1]}").collect()
+    return sorted((r["first"], r["depth"], r["keys"], r["version"]) for r in rows), done[-1]
+
+
+def _cells_of(spark, buckets: list[tuple[int, int, int, int]]) -> DataFrame:
+    """(cell, bucket, version) of all 2^MAX_DEPTH cells: bounded, so it may be broadcast."""
+    rows = spark.createDataFrame(buckets, _DIRECTORY_SCHEMA)
+    width = F.pow(F.lit(2.0), F.lit(MAX_DEPTH) - F.col("depth")).cast("int")
+    return rows.select(F.explode(F.sequence("first", F.col("first") + width - 1)).alias("cell"), F.col("first").alias("bucket"), F.col("version"))
+
+
+def _buckets(spark, path: str, buckets: list[tuple[int, int, int, int]], only: set[int] | None = None) -> DataFrame:
+    """The groups in the files of some buckets, with ``bucket``: only their folders are read."""
+    out = spark.createDataFrame([], _BUCKET_SCHEMA + ", bucket int")
+    by_version: dict[int, list[int]] = {}
+    for first, _, keys, version in buckets:
+        if keys and (only is None or first in only):
+            by_version.setdefault(version, []).append(first)
+    for version, firsts in sorted(by_version.items()):
+        files = spark.read.schema(_BUCKET_SCHEMA + ", bucket int").parquet(f"{path}/buckets/version={version}")
+        out = out.unionByName(files.filter(F.col("bucket").isin(firsts)))
+    return out
+
+
+def _write_buckets(groups: DataFrame, path: str, buckets: list[tuple[int, int, int, int]], version: int) -> None:
+    """One file a bucket, sorted by key. Contiguous runs of buckets go to one task."""
+    spark = groups.sparkSession
+    n = partitions(spark)
+    table = owners([(f, d, k) for f, d, k, _ in buckets], n)
+    own = spark.createDataFrame([(f, int(table[f])) for f, _, _, _ in buckets], "bucket int, part int")
+    cells = _cells_of(spark, buckets).join(own, "bucket").select("cell", "bucket", "part")
+    placed = groups.withColumn("cell", _cell(F.col("key"))).join(F.broadcast(cells), "cell")
+    placed = placed.repartitionById(n, F.col("part")).sortWithinPartitions("bucket", "key", "sha").drop("cell", "part")
+    placed.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/buckets/version={version}")
+
+
+def _groups(docs: DataFrame, buckets: list[tuple[int, int, int]], id_col: str, text_col: str) -> DataFrame:
+    slim = docs.select(col(id_col).cast("long").alias("id"), col(text_col).cast("string").alias("text"))
+    index = build_index(slim, buckets, "id", "text")
+    key, sha, size = index.columns[-3:]
+    return index.select(F.col(key).alias("key"), F.col(sha).alias("sha"), F.coalesce("text", F.lit("")).alias("text"), "id", F.col(size).alias("size"))
+
+
+def write_index(docs: DataFrame, path: str, bucket_rows: int = BUCKET_ROWS, id_col: str = "doc_id", text_col: str = "text") -> None:
+    """A new index of the texts of docs below ``path``: bucket files of (key, sha, text, id, size), one row a distinct
+    text with its largest id and number of rows, and the directory. An empty table gives an empty index."""
+    spark = docs.sparkSession
+    directory = build_directory(text_entries(docs, id_col, text_col), bucket_rows)
+    buckets = [(*b, 1) for b in directory]
+    _write_buckets(_groups(docs, directory, id_col, text_col), path, buckets, 1)
+    _save_directory(spark, path, buckets, 1)
+
+
+def look_up(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", names: tuple[str, str] = ("known_id", "known_size")) -> DataFrame:
+    """docs plus the id and the group size that the index holds for the row's text (null: not in the index). The
+    directory names the bucket of every key; texts meet by bucket and key, and their bytes decide."""
+    refuse(docs, *names)
+    spark = docs.sparkSession
+    for_workers(spark)
+    buckets, _ = read_directory(spark, path)
+    key, bucket, norm, cell = private(docs, "key", "bucket", "norm", "cell")
+    rows = docs.withColumn(norm, _normal(F.coalesce(col(text_col).cast("string"), F.lit(""))))
+    digest = F.substring(F.sha2(F.col(norm).cast("binary"), 256), 1, 16)
+    rows = rows.withColumn(key, _signed_hex(digest)).withColumn(cell, _cell(F.col(key)))
+    rows = rows.join(F.broadcast(_cells_of(spark, buckets).select(F.col("cell").alias(cell), F.col("bucket").alias(bucket))), cell)
+    held = _buckets(spark, path, buckets).select(
+        F.col("bucket").alias(bucket + "2"), F.col("key").alias(key + "2"), _normal(F.col("text")).alias(norm + "2"), F.col("id").alias(names[0]), F.col("size").alias(names[1]))
+    same = (F.col(bucket) == F.col(bucket + "2")) & (F.col(key) == F.col(key + "2")) & (F.col(norm) == F.col(norm + "2"))
+    return rows.join(held, same, "left").select(*[col(c) for c in docs.columns], *names)
+
+
+def _normal(text):
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def _signed_hex(digest):
+    """The signed 64-bit number of 16 hex digits."""
+    half = lambda at: F.conv(F.substring(digest, at, 8), 16, 10).cast("long")
+    return F.shiftleft(half(1), 32).bitwiseOR(half(9))
+
+
+def add_to_index(docs: DataFrame, path: str, bucket_rows: int = BUCKET_ROWS, id_col: str = "doc_id", text_col: str = "text") -> None:
+    """Take the texts of docs into the index: groups grow and keep their largest id, new texts are new groups. Only
+    buckets that docs' keys fall into are read and written again; those that overflow are split."""
+    spark = docs.sparkSession
+    buckets, version = read_directory(spark, path)
+    new = saved(_groups(docs, [b[:3] for b in buckets], id_col, text_col), "exact-batch")
+    cells = new.select(_cell(F.col("key")).alias("cell")).distinct()
+    touched = {r["bucket"] for r in cells.join(F.broadcast(_cells_of(spark, buckets)), "cell").select("bucket").distinct().collect()}  # at most 2^MAX_DEPTH
+    if not touched:
+        return
+    both = _buckets(spark, path, buckets, touched).drop("bucket").unionByName(new)
+    groups = both.groupBy("key", "sha", _normal(F.col("text")).alias("norm")).agg(
+        F.max_by("text", F.struct(F.col("id").isNotNull(), F.col("id"), F.col("text"))).alias("text"), F.max("id").alias("id"), F.sum("size").alias("size")).drop("norm")
+    groups = saved(groups.select("key", "sha", "text", "id", "size"), "exact-grown")
+    counts = {r["cell"]: r["count"] for r in groups.groupBy(_cell(F.col("key")).alias("cell")).count().collect()}
+    grown = []
+    for first, depth, _, _ in (b for b in buckets if b[0] in touched):
+        width = 1 << (MAX_DEPTH - depth)
+        inside = {c - first: n for c, n in counts.items() if first <= c < first + width}
+        grown += [(first + f, depth + d, k, version + 1) for f, d, k in split_directory(inside, bucket_rows, MAX_DEPTH - depth)]
+    kept = [b for b in buckets if b[0] not in touched]
+    _write_buckets(groups, path, sorted(kept + grown), version + 1)
+    _save_directory(spark, path, sorted(kept + grown), version + 1)

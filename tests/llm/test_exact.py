@@ -59,3 +59,70 @@ def test_query_matches_sql(spark):
 
     sf = "/root/testdata/sf0.001"
     assert compare(spark, sf, op2_exact_dedup, OP2_SQL, duck(sf))["hash_match"]
+
+
+def index_rows(spark, path):
+    buckets, version = exact.read_directory(spark, path)
+    rows = {}
+    for r in exact._buckets(spark, path, buckets).collect():
+        norm = exact.normalised(r["text"])
+        assert norm not in rows and r["key"] == exact._key(hashlib.sha256(norm).digest()) and bytes(r["sha"]) == hashlib.sha256(norm).digest()
+        cell = (r["key"] % 2**64) >> (64 - exact.MAX_DEPTH)
+        first, depth = next((f, d) for f, d, _, _ in reversed(buckets) if f <= cell)
+        assert r["bucket"] == first and cell < first + (1 << (exact.MAX_DEPTH - depth))
+        rows[norm] = (r["id"], r["size"])
+    assert sum(k for _, _, k, _ in buckets) == len(rows)
+    return rows, buckets, version
+
+
+def grouped(rows):
+    out = {}
+    for rid, text in rows:
+        norm = exact.normalised(text)
+        old = out.get(norm, (None, 0))
+        out[norm] = (max((x for x in (old[0], rid) if x is not None), default=None), old[1] + 1)
+    return out
+
+
+def test_an_index_is_kept_looked_up_and_extended(spark, tmp_path):
+    path = str(tmp_path / "index")
+    first = [(i, f"text {i % 150}") for i in range(200)] + [(None, "no id"), (None, None), (500, "")]
+    make = lambda rows: spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, key string").repartition(3)
+    exact.write_index(make(first), path, bucket_rows=20)
+    rows, buckets, version = index_rows(spark, path)
+    assert rows == grouped(first) and version == 1 and len(buckets) > 5 and max(b[2] for b in buckets) <= 20
+    # a second batch: copies in another case, new texts, repeated rows; untouched buckets keep their files
+    second = [(900 + i, f"TEXT {i}") for i in range(3)] + [(1000 + i, f"new {i}") for i in range(10)] + [(2, "text 2")]
+    exact.add_to_index(make(second), path, bucket_rows=20)
+    rows, after, version = index_rows(spark, path)
+    assert rows == grouped(first + second) and version == 2
+    assert {b[3] for b in after} == {1, 2} and {b[:2] for b in after if b[3] == 1} <= {b[:2] for b in buckets}
+    # a third one overflows buckets: the directory doubles where they are
+    third = [(5000 + i, f"many {i}") for i in range(600)]
+    exact.add_to_index(make(third), path, bucket_rows=20)
+    rows, last, version = index_rows(spark, path)
+    assert rows == grouped(first + second + third) and len(last) > len(after) and max(b[2] for b in last) <= 20
+    asked = [(1, "Text 7"), (2, "many 599"), (3, "unknown"), (4, None), (None, "NO ID"), (1, "Text 7")]
+    got = sorted(((r["doc_id"], r["text"], r["known_id"], r["known_size"], r["key"]) for r in exact.look_up(make(asked), path).collect()), key=repr)
+    want = grouped(first + second + third)
+    assert got == sorted(((i, t, *want.get(exact.normalised(t), (None, None)), "x") for i, t in asked), key=repr)
+
+
+def test_a_lost_run_leaves_the_index_as_it_was(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "index")
+    docs = spark.createDataFrame([(i, f"t{i}") for i in range(30)], "doc_id long, text string")
+    exact.write_index(docs, path)
+    before = index_rows(spark, path)[0]
+
+    def lost(*args):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(exact, "_save_directory", lost)
+        try:
+            exact.add_to_index(docs, path)
+        except RuntimeError:
+            pass
+    assert index_rows(spark, path)[0] == before
+    exact.add_to_index(docs, path)  # what the lost run left behind is written over
+    assert index_rows(spark, path)[0] == {t: (i, 2 * n) for t, (i, n) in before.items()}
