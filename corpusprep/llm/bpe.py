@@ -18,10 +18,11 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from corpusprep.llm.common import for_workers, refuse
+from corpusprep.llm.common import for_workers, refuse, send_file
 
 # Unicode's White_Space property, and the contractions of the pattern.
 WHITE_SPACE = [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -298,9 +299,9 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def _encode_batches(path: str, text_at: int, offsets: bool, decoded: bool, step: int = 512):
+def _encode_batches(name: str, text_at: int, offsets: bool, decoded: bool, step: int = 512):
     def run(batches):
-        vocab = vocabulary(path)
+        vocab = vocabulary(SparkFiles.get(name))
         for b in batches:
             for at in range(0, b.num_rows, step):
                 part = b.slice(at, step)
@@ -315,9 +316,9 @@ def _encode_batches(path: str, text_at: int, offsets: bool, decoded: bool, step:
     return run
 
 
-def _decode_batches(path: str, ids_at: int, step: int = 512):
+def _decode_batches(name: str, ids_at: int, step: int = 512):
     def run(batches):
-        vocab = vocabulary(path)
+        vocab = vocabulary(SparkFiles.get(name))
         for b in batches:
             for at in range(0, b.num_rows, step):
                 part = b.slice(at, step)
@@ -346,11 +347,11 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
         fields.append(T.StructField(offsets_col, T.ArrayType(T.LongType())))
     if decoded_col:
         fields.append(T.StructField(decoded_col, T.BinaryType()))
-    return docs.mapInArrow(_encode_batches(path, docs.columns.index(text_col), bool(offsets_col), bool(decoded_col)), _with(docs, *fields))
+    return docs.mapInArrow(_encode_batches(send_file(docs.sparkSession, path), docs.columns.index(text_col), bool(offsets_col), bool(decoded_col)), _with(docs, *fields))
 
 
 def decode(tokens: DataFrame, path: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
     """tokens plus the bytes that the ids stand for; null ids give null. A column named like bytes_col is an error."""
     refuse(tokens, bytes_col)
     for_workers(tokens.sparkSession)
-    return tokens.mapInArrow(_decode_batches(path, tokens.columns.index(ids_col)), _with(tokens, T.StructField(bytes_col, T.BinaryType())))
+    return tokens.mapInArrow(_decode_batches(send_file(tokens.sparkSession, path), tokens.columns.index(ids_col)), _with(tokens, T.StructField(bytes_col, T.BinaryType())))

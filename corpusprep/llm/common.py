@@ -58,6 +58,13 @@ def for_workers(spark: SparkSession) -> None:
     ship_package(spark)
 
 
+def send_file(spark: SparkSession, path: str) -> str:
+    """Send a file that the driver can read to all workers, once per application; returns the name by which workers
+    find it with SparkFiles.get()."""
+    spark.sparkContext.addFile(path)
+    return path.rstrip("/").rsplit("/", 1)[-1]
+
+
 def private(df: DataFrame, *names: str) -> list[str]:
     """Column names that do not clash with those of df, however they are cased."""
     taken = {c.lower() for c in df.columns}

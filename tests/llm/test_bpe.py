@@ -88,3 +88,11 @@ def test_edge_rows(spark):
     assert bytes(r["decoded"]) == "it's é".encode() and r["ends"][-1] == 7
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.encode(empty, PATH).count() == 0
+
+
+def test_clashing_columns_are_refused(spark):
+    docs = spark.createDataFrame([(1, "a", "b")], "doc_id long, text string, IDS string")
+    with pytest.raises(ValueError):
+        bpe.encode(docs, PATH)
+    with pytest.raises(ValueError):
+        bpe.decode(bpe.encode(docs, PATH, ids_col="new").withColumnRenamed("IDS", "Decoded"), PATH, ids_col="new")
