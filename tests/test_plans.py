@@ -24,7 +24,7 @@ def test_filters_and_columns_reach_the_scan(spark):
 def test_no_row_at_a_time_python(spark, name):
     p = plan(spark, name)
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
-    if name not in ("predict_blank_passthrough", "prediction_summary", "segment_table"):
+    if name not in ("predict_blank_passthrough", "predict_loaded", "prediction_summary", "segment_table"):
         assert "MapInPandas" not in p and "MapInArrow" not in p
 
 
