@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import forget, saved
+from corpusprep.llm.common import forget, no_broadcast, saved
 
 
 def _roots(links: DataFrame) -> DataFrame:
@@ -16,7 +16,7 @@ def _roots(links: DataFrame) -> DataFrame:
     while True:
         up = ptr.select(F.col("u").alias("p"), F.col("p").alias("pp"))
         new = saved(
-            ptr.join(up, "p").select("u", F.col("pp").alias("p"), (F.col("pp") != F.col("p")).alias("moved")), "cc-ptr"
+            ptr.join(no_broadcast(up), "p").select("u", F.col("pp").alias("p"), (F.col("pp") != F.col("p")).alias("moved")), "cc-ptr"
         )
         forget(old)
         ptr = old = new
@@ -30,8 +30,8 @@ def connected_components(links: DataFrame) -> DataFrame:
 
     Every round contracts each component at least by half, so the number of rounds is logarithmic.
     The root is some node of the component, the same for all its nodes. Only a yes/no per round
-    reaches the driver. Joins read saved tables on both sides, so that adaptive execution can
-    split a root which holds a large share of the nodes. An empty edge list gives no rows.
+    reaches the driver: no join broadcasts a side. Joins read saved tables on both sides, so that adaptive
+    execution can split a root which holds a large share of the nodes. An empty edge list gives no rows.
     """
     nodes = None
     links = saved(links.select("u", "v").filter("u != v").distinct(), "cc-links")
@@ -46,11 +46,11 @@ def connected_components(links: DataFrame) -> DataFrame:
         else:
             step = root.select(F.col("u").alias("root"), F.col("p").alias("next"))
             nodes = saved(
-                nodes.join(step, "root", "left").select("node", F.coalesce("next", "root").alias("root")), "cc-nodes"
+                nodes.join(no_broadcast(step), "root", "left").select("node", F.coalesce("next", "root").alias("root")), "cc-nodes"
             )
         a, b = root.select("u", F.col("p").alias("pu")), root.select(F.col("u").alias("v"), F.col("p").alias("pv"))
         fewer = saved(
-            links.join(a, "u").join(b, "v").filter("pu != pv")
+            links.join(no_broadcast(a), "u").join(no_broadcast(b), "v").filter("pu != pv")
             .select(F.least("pu", "pv").alias("u"), F.greatest("pu", "pv").alias("v")).distinct(),
             "cc-links",
         )

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.llm.common import col, for_workers, private, row_hash, saved
+from corpusprep.llm.common import col, for_workers, no_broadcast, private, row_hash, saved
 from corpusprep.llm.components import connected_components
 
 SEED = 42
@@ -186,7 +186,7 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 2, blocks: int = 2) -> Dat
     home = fps.select("fp").mapInArrow(_anchor_batches(None, blocks), "anchor long, u long").select("anchor", "u")
     near = fps.select("fp").mapInArrow(_anchor_batches(max_bits, blocks), "anchor long, v long").select("anchor", "v")
     close = (F.col("u") < F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_bits)
-    return home.join(near, "anchor").filter(close).select("u", "v").distinct()
+    return home.join(no_broadcast(near), "anchor").filter(close).select("u", "v").distinct()
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
@@ -203,14 +203,14 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     fps = saved(slim.mapInArrow(_fingerprint_batches(shingle), "id long, row long, fp long"), "simhash-fp")
     classes = saved(fps.groupBy("fp").agg(F.min("id").alias("first")), "simhash-class")
     comps = connected_components(fingerprint_links(classes, max_bits, blocks))
-    linked = saved(classes.join(comps.withColumnRenamed("node", "fp"), "fp"), "simhash-linked")
+    linked = saved(classes.join(no_broadcast(comps.withColumnRenamed("node", "fp")), "fp"), "simhash-linked")
     low = linked.groupBy("root").agg(F.min("first").alias("low"))
-    linked = saved(linked.join(low, "root").select("fp", "low"), "simhash-low")
+    linked = saved(linked.join(no_broadcast(low), "root").select("fp", "low"), "simhash-low")
     named = saved(
-        classes.join(linked.withColumn("has", F.lit(True)), "fp", "left")
+        classes.join(no_broadcast(linked.withColumn("has", F.lit(True))), "fp", "left")
         .select("fp", F.when(F.col("has"), F.col("low")).otherwise(F.col("first")).alias("component")), "simhash-named",
     )
-    return fps.join(named, "fp").select("id", "row", "fp", "component")
+    return fps.join(no_broadcast(named), "fp").select("id", "row", "fp", "component")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
@@ -227,7 +227,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rid, rrow = private(docs, "keep_id", "keep_row")
     keep = best.select(F.col("b.id").alias(rid), F.col("b.row").alias(rrow))
     out = docs.withColumn(rrow, row_hash(docs)).join(
-        keep.withColumnRenamed(rrow, rrow + "2"),
+        no_broadcast(keep.withColumnRenamed(rrow, rrow + "2")),
         (F.col(rrow) == F.col(rrow + "2")) & col(id_col).cast("long").eqNullSafe(F.col(rid)), "left_semi")
     # rows equal in all columns share their mark; without any, the texts need no second exchange
     if not marks.groupBy("id", "row").count().filter("count > 1").isEmpty():

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from corpusprep.llm import simhash
+from corpusprep.llm import components, simhash
 
 
 def brute_fingerprint(text, shingle=3):
@@ -129,3 +129,22 @@ def test_three_blocks_give_the_same_links(spark):
         assert {tuple(r) for r in simhash.fingerprint_links(table, 2, blocks).collect()} == want
     with pytest.raises(ValueError):
         simhash.fingerprint_links(table, 2, 4)
+
+
+@pytest.mark.parametrize("query", ["components", "near_dedup"])
+def test_no_table_of_documents_or_fingerprints_is_broadcast(spark, monkeypatch, query):
+    """A broadcast join builds its table in the driver's memory, and it is chosen by the compressed size."""
+    plans, write = [], simhash.saved
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    for module in (simhash, components):
+        monkeypatch.setattr(module, "saved", seen)
+    rng = random.Random(4)
+    df = spark.createDataFrame(list(enumerate(near_texts(rng))), "doc_id long, text string")
+    out = simhash.simhash_components(df) if query == "components" else simhash.near_dedup(df)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert any("SortMergeJoin" in p for p in plans)
+    assert not any("Broadcast" in p for p in plans)
