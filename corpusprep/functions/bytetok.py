@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .regex import q
+from .regex import bound, q
 
 PAD, EOS, UNK, OFFSET, FIRST_EXTRA = 0, 1, 2, 3, 259
 # The strings of the special tokens: pad, eos, unk and 125 extra ids.
@@ -39,7 +39,7 @@ def byte_ids(text: Column, max_len: int | None = MAX_LEN) -> Column:
         F.when(i < F.size(tokens), F.array(_special_id(F.get(tokens, i)))).otherwise(F.array().cast("array<int>")))))
     if max_len is None:
         ids = F.when(t.rlike(SPECIAL), mixed).otherwise(_bytes(raw))
-        return F.when(F.get(ids, F.size(ids) - 1) == EOS, ids).otherwise(F.concat(ids, F.array(F.lit(EOS))))
+        return bound(ids, lambda x: F.when(F.get(x, F.size(x) - 1) == EOS, x).otherwise(F.concat(x, F.array(F.lit(EOS)))))
     keep = max_len - 1
     plain = _bytes(F.substring(raw, 1, keep))  # without specials only the first bytes are looked at
 

@@ -58,6 +58,12 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def bound(value: Column, fn) -> Column:
+    """``fn(value)`` with the value evaluated once, however often ``fn`` reads it: inside a lambda or a branch Spark
+    evaluates a repeated expression anew each time."""
+    return F.get(F.transform(F.array(value), lambda v: fn(v)), F.lit(0))
+
+
 MARK = "\u0001"
 
 

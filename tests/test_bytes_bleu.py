@@ -84,3 +84,11 @@ def test_predict_blank_passthrough(spark):
     assert got == {1: "c b a", 2: "", 3: "", 4: "y x"}
     s = SC.prediction_summary(SC.predict(df, SC.reverse_words, "t")).collect()[0]
     assert (s.rows, s.non_empty) == (4, 2)
+
+
+def test_whole_texts_are_turned_into_ids_once(spark):
+    """The closing eos is looked up in the ids: they stand once in the plan for plain texts and once for texts with specials."""
+    df = spark.createDataFrame([("a</s>b",), ("é",), (None,), ("x</s>",)], "t string")
+    out = df.select(BT.byte_ids(F.col("t"), max_len=None).alias("ids"))
+    assert [r["ids"] for r in out.collect()] == [[100, 1, 101, 1], [198, 172, 1], [1], [123, 1]]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("conv(") == 2
