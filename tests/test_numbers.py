@@ -81,3 +81,11 @@ def test_nearest_fraction_is_limit_denominator(spark):
         for r in got:
             want = Fraction(r.x).limit_denominator(n)
             assert (r.n, r.d) == (want.numerator, want.denominator), (r, n)
+
+
+def test_a_number_is_computed_once(spark):
+    """Its parts, its sign and its form read the same value: the descent stands in the plan once for each path of sub_with."""
+    df = spark.createDataFrame([("1.5 and 0.333 and 2.00001 and 7.77",)], "x string")
+    out = df.select(NU._decimals(df["x"]).alias("o"))
+    assert out.first()["o"] == "1 ½ and ⅓ and 2 and 7.77"
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == 2
