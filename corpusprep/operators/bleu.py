@@ -7,9 +7,10 @@ digit, split on whitespace. Score: Papineni et al. (2002) geometric mean of clip
 precisions (n = 1..4) with brevity penalty; an n with no match gets the "exp" smoothing
 (1 / 2^k for the k-th such n).
 
-Plan: rows are hash-partitioned once by row id; n-grams are generated in-row and exploded
-(narrow); the per-(row, n, gram) counts aggregate on that same partitioning (no further
-exchange); per-n sums fold into one small global aggregate. No join.
+Plan: rows are hash-partitioned once by row id. Each word of either side becomes one record with the three
+words after it, and the 4-grams are counted on that partitioning (no further exchange). Counts of shorter n-grams are
+sums of those of the longer ones they begin, so each order is aggregated from the groups of the next longer one,
+which carry the matches and totals along. The sums fold into one small global aggregate. No join.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.regex import q
-from ..functions.tokens import split_ws, split_ws_sql
+from ..functions.tokens import split_ws_sql
 
 MAX_ORDER = 4
 
@@ -29,6 +30,10 @@ TOKENIZE_13A = [
     (r"([\.,])([^0-9])", " $1 $2"),
     (r"([0-9])(-)", "$1 $2 "),
 ]
+# The same rules and whitespace for Spark. Java looks up the characters below 256 that a class lists one by one in a table, but
+# tries ranges one after another. The space is left out of the first rule: padding it changes no token.
+PUNCTUATION_JAVA = (r'([!"#$%&()*+/:;<=>?@\[\\\]^_`{|}~])', " $1 ")
+SPACES_JAVA = r"[ \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 HTML_ENTITIES = [("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")]
 
 
@@ -38,9 +43,9 @@ def tokenize_13a(c: Column) -> Column:
     for a, b in HTML_ENTITIES:
         t = F.replace(t, F.lit(a), F.lit(b))
     t = F.concat(F.lit(" "), t, F.lit(" "))
-    for pat, rep in TOKENIZE_13A:
+    for pat, rep in [PUNCTUATION_JAVA, *TOKENIZE_13A[1:]]:
         t = F.regexp_replace(t, pat, rep)
-    return split_ws(t)
+    return F.filter(F.split(t, SPACES_JAVA), lambda w: w != "")
 
 
 def tokenize_13a_sql(e: str) -> str:
@@ -54,45 +59,37 @@ def tokenize_13a_sql(e: str) -> str:
     return split_ws_sql(t)
 
 
-def _ngrams(tok: Column, n: int) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.size(tok) - n + 1), lambda i: F.array_join(F.slice(tok, i, n), " "))
-
-
-def ngram_rows(df: DataFrame, row_id: str, hyp: str, ref: str) -> DataFrame:
-    """(row_id, n, gram, h, r): one row per n-gram occurrence on either side."""
-    th, tr = tokenize_13a(F.col(hyp)), tokenize_13a(F.col(ref))
-    t = df.select(F.col(row_id).alias("_rid"), th.alias("_th"), tr.alias("_tr"))
-
-    def tagged(tok: str, n: int, h: int) -> Column:
-        grams = F.when(F.size(F.col(tok)) >= n, _ngrams(F.col(tok), n)).otherwise(F.array().cast("array<string>"))
-        # one-argument lambda: PySpark reads a second parameter as the element index
-        return F.transform(grams, lambda g: F.struct(F.lit(n).alias("n"), g.alias("g"), F.lit(h).alias("h"), F.lit(1 - h).alias("r")))
+def word_rows(df: DataFrame, row_id: str, hyp: str, ref: str) -> DataFrame:
+    """(_rid, w1..w4, h, r): one row per word on either side, with the words after it (null past the end)."""
+    t = df.select(F.col(row_id).alias("_rid"), tokenize_13a(F.col(hyp)).alias("_th"), tokenize_13a(F.col(ref)).alias("_tr"))
 
-    def side(tok: str, h: int) -> Column:
-        return F.flatten(F.array(*[tagged(tok, n, h) for n in range(1, MAX_ORDER + 1)]))
+    def windows(tok: str, h: int) -> Column:
+        return F.arrays_zip(*[F.slice(tok, n, F.size(tok)) for n in range(1, MAX_ORDER + 1)], F.array_repeat(F.lit(h), F.size(tok)))
 
-    # lengths travel as n = 0 records (h = hypothesis length, r = reference length)
-    lengths = F.array(F.struct(F.lit(0).alias("n"), F.lit("").alias("g"), F.size("_th").alias("h"), F.size("_tr").alias("r")))
-    grams = t.select("_rid", F.explode(F.concat(lengths, side("_th", 1), side("_tr", 0))).alias("x"))
-    return grams.select("_rid", "x.*")
+    # the array is built inside explode: of an array column Spark would infer a filter that tokenises anew
+    words = t.select("_rid", F.explode(F.concat(windows("_th", 1), windows("_tr", 0))).alias("_w"))
+    h = F.col(f"_w.`{MAX_ORDER}`").cast("long")
+    return words.select("_rid", *[F.col(f"_w.`{n}`").alias(f"w{n + 1}") for n in range(MAX_ORDER)], h.alias("h"), (1 - h).alias("r"))
 
 
 def bleu_stats(df: DataFrame, row_id: str, hyp: str, ref: str) -> DataFrame:
     """One row: sys_len, ref_len, match_1..4, total_1..4."""
-    base = df.select(row_id, hyp, ref).repartition(row_id)
-    grams = ngram_rows(base, row_id, hyp, ref)
-    per_gram = grams.groupBy("_rid", "n", "g").agg(F.sum("h").alias("h"), F.sum("r").alias("r"))
-    per_n = per_gram.groupBy("n").agg(
-        F.sum(F.least("h", "r")).alias("match"), F.sum("h").alias("total"), F.sum("r").alias("rtotal")
-    )
-
-    def pick(n: int, col: str, name: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("n") == n, F.col(col))), F.lit(0)).cast("long").alias(name)
-
-    return per_n.agg(
-        pick(0, "total", "sys_len"), pick(0, "rtotal", "ref_len"),
-        *[pick(n, "match", f"match_{n}") for n in range(1, MAX_ORDER + 1)],
-        *[pick(n, "total", f"total_{n}") for n in range(1, MAX_ORDER + 1)],
+    grams = word_rows(df.select(row_id, hyp, ref).repartition(row_id), row_id, hyp, ref)
+    done: list[str] = []
+    for n in range(MAX_ORDER, 0, -1):
+        # here the groups of the next longer n-grams are the rows; those cut short by the end of a text count too
+        grams = grams.groupBy("_rid", *[f"w{i}" for i in range(1, n + 1)]).agg(F.sum("h").alias("h"), F.sum("r").alias("r"), *[F.sum(c).alias(c) for c in done])
+        whole = F.col(f"w{n}").isNotNull()
+        grams = grams.select(
+            "*", F.when(whole, F.least("h", "r")).otherwise(0).alias(f"match_{n}"), F.when(whole, F.col("h")).otherwise(0).alias(f"total_{n}"))
+        done += [f"match_{n}", f"total_{n}"]
+
+    def total(col: str, name: str) -> Column:
+        return F.coalesce(F.sum(col), F.lit(0)).cast("long").alias(name)
+
+    return grams.agg(
+        total("h", "sys_len"), total("r", "ref_len"),
+        *[total(c, c) for what in ("match", "total") for c in (f"{what}_{n}" for n in range(1, MAX_ORDER + 1))],
     )
 
 

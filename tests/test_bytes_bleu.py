@@ -1,5 +1,9 @@
 """Byte tokens, decoding, BLEU against a plain-Python scorer, scoring passthrough."""
 
+import random
+
+import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,3 +96,50 @@ def test_whole_texts_are_turned_into_ids_once(spark):
     out = df.select(BT.byte_ids(F.col("t"), max_len=None).alias("ids"))
     assert [r["ids"] for r in out.collect()] == [[100, 1, 101, 1], [198, 172, 1], [1], [123, 1]]
     assert out._jdf.queryExecution().optimizedPlan().toString().count("conv(") == 2
+
+
+def _odd_texts(n, seed):
+    rng = random.Random(seed)
+    marks = [chr(c) for c in range(9, 14)] + [chr(c) for c in range(28, 128)] + list(".,.,--  159aB") + ["\x85", "\xa0", "\u2003", "\u3000", "\u200b", "é", "\u0663", "😀"]
+    whole = ["<skipped>", "-\n", "&quot;", "&amp;", "&lt;", "&gt;", "...", ". .", "5.,5", "1-2", " - "]
+    return ["".join(rng.choice(whole if rng.random() < 0.15 else marks) for _ in range(rng.randrange(40))) for _ in range(n)]
+
+
+def test_bleu_tokenizer_matches_its_sql(spark):
+    texts = ["", None, *_odd_texts(600, 1)]
+    con = duckdb.connect()
+    con.register("texts", pa.table({"i": range(len(texts)), "t": pa.array(texts, pa.string())}))
+    want = [r[0] for r in con.execute(f"SELECT {BL.tokenize_13a_sql('t')} FROM texts ORDER BY i").fetchall()]
+    assert run_col(spark, BL.tokenize_13a, texts) == want
+
+
+def test_bleu_explodes_words_not_ngrams(spark):
+    """One record a word, the texts tokenised once, and a single exchange of rows for all orders."""
+    df = spark.createDataFrame([(1, "a b c d e", "a b c"), (2, "x", ""), (3, None, "y z")], "id int, h string, r string")
+    rows = BL.word_rows(df, "id", "h", "r").collect()
+    assert sorted((r.w1, r.w2, r.w3, r.w4, r.h, r.r) for r in rows if r["_rid"] == 1 and r.h)[:2] == [("a", "b", "c", "d", 1, 0), ("b", "c", "d", "e", 1, 0)]
+    assert len(rows) == 5 + 3 + 1 + 2 and sum(r.h for r in rows) == 6
+    run = BL.bleu_stats(df, "id", "h", "r")._jdf.queryExecution()
+    rules = len(BL.TOKENIZE_13A)
+    assert run.optimizedPlan().toString().count("regexp_replace(") == 2 * rules
+    assert run.executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_bleu_pools_rows_that_share_an_id(spark):
+    rng = random.Random(3)
+    def text():
+        return rng.choice([None, "", " ".join(rng.choice("a b c A . 3.5".split()) for _ in range(rng.randrange(12)))])
+    rows = [(rng.choice([None, *range(60)]), text(), text()) for _ in range(120)] + [(1000 + i, text(), text()) for i in range(40)]
+    got = BL.bleu_stats(spark.createDataFrame(rows, "id int, h string, r string").repartition(5), "id", "h", "r").collect()[0].asDict()
+    con = duckdb.connect()
+    ids, hyps, refs = zip(*rows)
+    con.register("texts", pa.table({"id": pa.array(ids, pa.int32()), "h": pa.array(hyps, pa.string()), "r": pa.array(refs, pa.string())}))
+    cur = con.execute(BL.bleu_stats_sql("SELECT * FROM texts", "id", "h", "r"))
+    assert got == dict(zip([c[0] for c in cur.description], cur.fetchone()))
+    assert got["match_1"] > 0 and got["total_4"] > 0
+
+
+def test_bleu_of_no_rows(spark):
+    df = spark.createDataFrame([], "id int, h string, r string")
+    assert set(BL.bleu_stats(df, "id", "h", "r").collect()[0].asDict().values()) == {0}
+    assert _bleu(spark, [None], [""]).bleu == 0
