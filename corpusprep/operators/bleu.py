@@ -22,6 +22,8 @@ from ..functions.regex import q
 from ..functions.tokens import split_ws_sql
 
 MAX_ORDER = 4
+# A partition's word records take many times the room of its texts: so many times more partitions keep them in memory.
+SMALLER = 8
 
 # The 13a tokenisation rules, in order (pattern, replacement).
 TOKENIZE_13A = [
@@ -74,7 +76,8 @@ def word_rows(df: DataFrame, row_id: str, hyp: str, ref: str) -> DataFrame:
 
 def bleu_stats(df: DataFrame, row_id: str, hyp: str, ref: str) -> DataFrame:
     """One row: sys_len, ref_len, match_1..4, total_1..4."""
-    grams = word_rows(df.select(row_id, hyp, ref).repartition(row_id), row_id, hyp, ref)
+    parts = SMALLER * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grams = word_rows(df.select(row_id, hyp, ref).repartition(parts, row_id), row_id, hyp, ref)
     done: list[str] = []
     for n in range(MAX_ORDER, 0, -1):
         # here the groups of the next longer n-grams are the rows; those cut short by the end of a text count too
