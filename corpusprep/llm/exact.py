@@ -30,6 +30,7 @@ from corpusprep.sources.versions import committed
 
 MAX_DEPTH = 16  # directory of at most 2^16 cells: the only thing that reaches the driver
 BUCKET_ROWS = 4096
+PIECE_ROWS, PIECE_BYTES = 512, 1 << 20  # of the batches that leave a worker
 
 
 def normalised(text: str | None) -> bytes:
@@ -83,28 +84,56 @@ def _pick(rows: list[int], ids, rest) -> int:
 
 
 def _merge_batches(table: np.ndarray, id_at: int, text_at: int):
-    """Rows of docs -> one row for each distinct text of a batch, with owner, key, sha and count."""
+    """Rows of docs -> one row for each distinct text of a batch, with owner, key, sha and count.
+
+    Only digests are held for a batch; texts of equal digests are normalised again and their bytes compared. The rows
+    leave in pieces, so beside the batch a worker holds little."""
 
     def run(batches):
         for b in batches:
-            groups: dict[bytes, list[int]] = {}
-            for i, t in enumerate(b.column(text_at)):
-                groups.setdefault(normalised(t.as_py()), []).append(i)  # a dict compares the bytes
-            ids = b.column(id_at).to_pylist() if any(len(g) > 1 for g in groups.values()) else None
+            texts = b.column(text_at)
+            norm = lambda i, texts=texts: normalised(texts[i].as_py())
+            by_digest: dict[bytes, list[list[int]]] = {}
+            groups, digests, sizes = [], [], []
+            for i in range(b.num_rows):
+                text = norm(i)
+                digest = hashlib.sha256(text).digest()
+                same = by_digest.setdefault(digest, [])
+                group = next((g for g in same if norm(g[0]) == text), None)
+                if group is None:
+                    group = []
+                    same.append(group)
+                    groups.append(group)
+                    digests.append(digest)
+                    sizes.append(len(text))
+                group.append(i)
+            ids = b.column(id_at).to_pylist() if any(len(g) > 1 for g in groups) else None
             rest = lambda i, b=b: repr(b.slice(i, 1).to_pylist())
-            best = [g[0] if len(g) == 1 else _pick_largest(g, ids, rest) for g in groups.values()]
-            digests = [hashlib.sha256(t).digest() for t in groups]
+            best = [g[0] if len(g) == 1 else _pick_largest(g, ids, rest) for g in groups]
             keys = [_key(d) for d in digests]
             cell = (np.array(keys, dtype=np.int64).view(np.uint64) >> np.uint64(64 - MAX_DEPTH)).astype(np.int64)
-            kept = b.take(pa.array(best, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [*kept.columns, pa.array(table[cell], pa.int32()), pa.array(keys, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.array([len(g) for g in groups.values()], pa.int64())],
-                names=[f"c{i}" for i in range(b.num_columns + 4)])
+            for at, to in _pieces(sizes):
+                kept = b.take(pa.array(best[at:to], pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [*kept.columns, pa.array(table[cell[at:to]], pa.int32()), pa.array(keys[at:to], pa.int64()), pa.array(digests[at:to], pa.binary()),
+                     pa.array([len(g) for g in groups[at:to]], pa.int64())],
+                    names=[f"c{i}" for i in range(b.num_columns + 4)])
 
     return run
 
 
+def _pieces(sizes: list[int]):
+    """(from, to) of stretches of at most PIECE_ROWS rows and, but for a single row, PIECE_BYTES bytes of text."""
+    at = held = 0
+    for i, size in enumerate(sizes):
+        if i > at and (i - at >= PIECE_ROWS or held + size > PIECE_BYTES):
+            yield at, i
+            at, held = i, 0
+        held += size
+    if sizes:
+        yield at, len(sizes)
+
+
 def _pick_largest(rows: list[int], ids, rest) -> int:
     top = max((ids[i] for i in rows if ids[i] is not None), default=None)
     tied = [i for i in rows if ids[i] == top]
@@ -112,7 +141,9 @@ def _pick_largest(rows: list[int], ids, rest) -> int:
 
 
 def _chain_batches(n_cols: int, id_at: int, text_at: int):
-    """Entries in key order -> finished groups: the row that stays, its key, sha and the group's size."""
+    """Entries in key order -> finished groups: the row that stays, its key, sha and the group's size.
+
+    No row outlives its batch but those of the chain that is still open, which are copied out of it."""
 
     def run(batches):
         at_key, chain, done = None, [], []  # chain: [text, row, id, sha, size]
@@ -145,11 +176,14 @@ def _chain_batches(n_cols: int, id_at: int, text_at: int):
                 else:
                     chain.append([text, row, rid, shas[i], counts[i]])
                     held += len(text)
-                if len(done) >= 2000 or held > 1 << 24 and done:
+                if len(done) >= PIECE_ROWS or held > PIECE_BYTES and done:
                     held = 0
-                    for e in done:
-                        e[0] = b""
                     yield flush()
+            if done:
+                held = 0
+                yield flush()
+            for e in chain:
+                e[1] = e[1].take(pa.array([0], pa.int64()))  # a slice would keep the whole batch
         done += chain
         if done:
             yield flush()

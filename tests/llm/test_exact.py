@@ -1,5 +1,7 @@
 import hashlib
 
+import pyarrow as pa
+
 from corpusprep.llm import exact
 from oracle import compare, duck
 
@@ -49,6 +51,46 @@ def test_equal_keys_are_told_apart_by_bytes(spark, monkeypatch):
     assert sorted((r["c0"], r["c4"]) for r in out) == [(3, 2), (4, 1), (5, 2)]
 
 
+def test_workers_hold_and_return_small_pieces():
+    """Texts of a whole batch are not held beside it, and batches leave in pieces: an executor's memory does not go by the copies."""
+    texts = [f"{i} " + "wide text " * 500 for i in range(3000)] + ["3 " + "WIDE text " * 500] * 3 + [None, "", "y" * (3 * exact.PIECE_BYTES)]
+    batch = pa.RecordBatch.from_pydict({"c0": pa.array(range(len(texts)), pa.int64()), "c1": pa.array(texts, pa.string())})
+    held = pa.total_allocated_bytes()
+    table, tops, merged = exact.owners([(0, 0, 9)], 1), [], []
+    for b in exact._merge_batches(table, 0, 1)(iter([batch])):
+        tops.append(pa.total_allocated_bytes() - held)
+        assert b.num_rows == 1 or b.num_rows <= exact.PIECE_ROWS and b.column(1).nbytes <= exact.PIECE_BYTES + 8 * b.num_rows
+        merged += b.to_pylist()
+        del b
+    assert len(tops) > 3 and sorted(tops)[-2] < batch.nbytes
+    assert [(r["c0"], r["c5"]) for r in merged if r["c5"] > 1] == [(3002, 4), (3004, 2)] and len(merged) == 3002
+    entries = pa.Table.from_pylist(sorted(merged, key=lambda r: r["c3"])).cast(pa.schema(
+        [("c0", pa.int64()), ("c1", pa.string()), ("c2", pa.int32()), ("c3", pa.int64()), ("c4", pa.binary()), ("c5", pa.int64())])).combine_chunks().to_batches()
+    out = list(exact._chain_batches(2, 0, 1)(iter(entries + entries)))
+    assert max(b.num_rows for b in out) <= exact.PIECE_ROWS + 1 and len(out) > 6
+    assert sum(r["c4"] for b in exact._chain_batches(2, 0, 1)(iter(entries)) for r in b.to_pylist()) == len(texts)
+
+
+def test_an_open_chain_passes_from_batch_to_batch():
+    """Copies of a text that lie in several batches are one group; its row does not keep the batches it came from."""
+    schema = pa.schema([("c0", pa.int64()), ("c1", pa.string()), ("c2", pa.int32()), ("c3", pa.int64()), ("c4", pa.binary()), ("c5", pa.int64())])
+    make = lambda rows: pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema=schema)
+    held, most = pa.total_allocated_bytes(), []
+
+    def batches():
+        yield make([(1, "wide " * 200_000, 0, 4, b"w", 1), (500, "same", 0, 5, b"s", 2)])
+        for i in range(5):
+            yield make([(i, "same", 0, 5, b"s", 2)])
+            most.append(pa.total_allocated_bytes() - held)
+
+    out = []
+    for b in exact._chain_batches(2, 0, 1)(batches()):
+        out += [(r["c0"], r["c4"]) for r in b.select(["c0", "c4"]).to_pylist()]
+        del b
+    assert out == [(1, 1), (500, 12)]
+    assert max(most) < 100_000
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert exact.exact_groups(empty).count() == 0 and exact.exact_dedup(empty).count() == 0
