@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.functions.cleaning import SOURCE, TARGET
 from corpusprep.functions.numbers import number_chain
-from corpusprep.functions.regex import sub_with
+from corpusprep.functions.regex import sub_with, sub_with_long
 from corpusprep.operators import dictionary as DI
 
 
@@ -61,7 +61,16 @@ def test_number_rules_one_by_one_agree_with_the_chain(spark):
     assert run_chain(spark, number_chain(), given) == [r["x"] for r in df.orderBy("i").collect()]
 
 
-def test_marks_in_the_text(spark):
+def test_long_stretches(spark):
+    """A stretch of any length is one match: loops of its pattern do not recurse."""
+    n = 20_000
+    given = ["+".join(map(str, range(n))), "a1.5 + 2" * n, "[" + "x ?" * n + "]", " ".join(["7"] * n), "1." * n, "\n" * n]
+    got = run_chain(spark, SOURCE, given)
+    assert got == [str(n * (n - 1) // 2), "a₃.5" * n, "<gap>", given[3], given[4], ""]
+
+
+@pytest.mark.parametrize("sub_with", [sub_with, sub_with_long])
+def test_marks_in_the_text(spark, sub_with):
     df = spark.createDataFrame([("a\u00011b22\u0001",), ("\u0001",), (None,), ("7",)], "t string")
     got = [r[0] for r in df.select(sub_with(F.col("t"), "[0-9]+", lambda m: F.concat(F.lit("<"), m, F.lit(">")))).collect()]
     assert got == ["a\u0001<1>b<22>\u0001", "\u0001", None, "<7>"]
